@@ -1,0 +1,36 @@
+"""Order-insensitive comparison of a Spark result with DuckDB's."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+
+TABLES = ["nation", "region", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+def connect(sf_dir):
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return db
+
+
+def expected(db, sql):
+    result = db.execute(sql)
+    return [c[0] for c in result.description], result.fetchall()
+
+
+def multiset(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(row[i] for i in order) for row in rows)
+
+
+def assert_same(df, db, sql):
+    columns, rows = expected(db, sql)
+    assert sorted(df.columns) == sorted(columns)
+    got = multiset(df.columns, [tuple(r) for r in df.collect()])
+    want = multiset(columns, rows)
+    assert sum(got.values()) == sum(want.values()), (sum(got.values()), sum(want.values()))
+    extra, lacking = got - want, want - got
+    assert not extra and not lacking, (list(extra)[:3], list(lacking)[:3])
