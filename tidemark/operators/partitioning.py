@@ -78,8 +78,24 @@ class Segment:
             low = high
         return out
 
+    def _aligned_unit(self) -> str | None:
+        """Calendar unit whose beginnings are exactly the partition starts."""
+        first = self.start
+        if self.step.days == 1:
+            return "day"
+        if first.day == 1 and self.step.months == 1:
+            return "month"
+        if first.day == 1 and self.step.months == 3 and first.month % 3 == 1:
+            return "quarter"
+        if first.day == 1 and self.step.months == 12 and first.month == 1:
+            return "year"
+        return None
+
     def start_of(self, day: Column) -> Column:
         """First day of the partition that holds ``day`` (a date column)."""
+        unit = self._aligned_unit()
+        if unit:
+            return day if unit == "day" else F.trunc(day, unit)
         origin = F.lit(self.start)
         if self.step.days:
             past = F.floor(F.date_diff(day, origin) / self.step.days).cast("int")
