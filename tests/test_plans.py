@@ -1,0 +1,183 @@
+"""Physical plans: what is pushed down, what is shuffled, how skew is split."""
+
+from datetime import datetime
+
+import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+
+from tidemark import Layout
+from tidemark.examples import queries as q
+from tidemark.operators import keyed
+from tidemark.operators.partitioning import PART
+from tidemark.sinks.table import arrange
+
+SF_DIR = str(TESTDATA / "sf0.01")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """Plan after adaptive execution has run it."""
+    df.write.format("noop").mode("overwrite").save()
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().execute().count()
+    return execution.executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+@pytest.fixture
+def small_skew_limits(spark, no_broadcast):
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+STATELESS = sorted(n for n in q.QUERIES if not n.startswith("load_run_"))
+
+
+@pytest.mark.parametrize("name", STATELESS)
+def test_no_cross_joins_and_no_python(spark, no_broadcast, name):
+    plan = plan_of(q.QUERIES[name](spark, SF_DIR))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition"):
+        if node == "SinglePartition" and name in ("delta_profile", "table_stats", "load_log_verify"):
+            continue  # one row per task is gathered
+        assert node not in plan
+
+
+@pytest.mark.parametrize(
+    "name, pushed",
+    [
+        ("scan_external_delta", "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00"),
+        ("delta_filter", "LessThanOrEqual(ts,2024-01-20T00:00"),
+        ("delta_filter_auto", "GreaterThanOrEqual(ts,2024-01-20T00:00"),
+        ("partition_filter", "GreaterThanOrEqual(o_orderdate,1999-06-15T00:00"),
+    ],
+)
+def test_windows_reach_the_scan(spark, name, pushed):
+    assert pushed in plan_of(q.QUERIES[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("delta_profile", "l_shipdate"),
+        ("scan_external_full", "p_partkey,p_name,p_brand,p_size"),
+        ("load_log_last_extraction", "event_id,ts,event_type"),
+    ],
+)
+def test_scans_read_only_needed_columns(spark, name, columns):
+    plan = plan_of(q.QUERIES[name](spark, SF_DIR))
+    schema = plan.split("ReadSchema: struct<", 1)[1].split(">")[0]
+    assert [c.split(":")[0] for c in schema.split(",")] == columns.split(",")
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["dedup_latest", "load_delta_merge_rownum", "load_partitions_merge_global", "load_log_complete"],
+)
+def test_one_row_per_key_is_pruned_before_the_shuffle(spark, name):
+    plan = plan_of(q.QUERIES[name](spark, SF_DIR))
+    assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
+
+
+def test_merge_with_ties_uses_no_window(spark):
+    for name in ("load_delta_merge_rank", "load_partitions_merge"):
+        assert "Window" not in plan_of(q.QUERIES[name](spark, SF_DIR))
+
+
+def test_sales_view_shuffles_lines_once(spark, no_broadcast):
+    plan = plan_of(q.sales_view(spark, SF_DIR))
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_measured_keys_are_broadcast_and_large_ones_are_not(spark, no_broadcast):
+    target, delta = q.ledger_orders(spark, SF_DIR), q.ledger_lines(spark, SF_DIR)
+    size = delta.agg(keyed.key_bytes(delta, ["orderkey"])).first()[0]
+    assert size >= delta.count() * 8
+    small = plan_of(keyed.without_matches(target, delta, ["orderkey"], True, size))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    large = keyed.BROADCAST_KEY_BYTES + 1
+    assert "SortMergeJoin" in plan_of(keyed.without_matches(target, delta, ["orderkey"], True, large))
+    assert "SortMergeJoin" in plan_of(keyed.without_matches(target, delta, ["orderkey"]))
+
+
+def hot(df, column, share=3):
+    """The rows of a table, with one key on every third of them."""
+    return df.withColumn(
+        column, F.when(F.xxhash64(*df.columns) % share == 0, F.lit(1)).otherwise(F.col(column))
+    )
+
+
+@pytest.mark.parametrize("match", [True, False])
+def test_hot_target_key_is_split(spark, small_skew_limits, tmp_path, match):
+    path = str(tmp_path / "hot")
+    hot(q.ledger_lines(spark, SF_DIR), "orderkey").repartition(16).write.parquet(path)
+    target = spark.read.parquet(path)
+    delta = q.ledger_orders(spark, SF_DIR).filter("orderkey > 5")
+    out = keyed.without_matches(target, delta, ["orderkey"], match)
+    assert "SortMergeJoin(skew=true)" in final_plan(out)
+    assert out.filter("orderkey = 1").count() == target.filter("orderkey = 1").count()
+
+
+def test_hot_delta_key_joins_as_one_row(spark, no_broadcast):
+    delta = hot(q.ledger_lines(spark, SF_DIR), "orderkey")
+    plan = plan_of(keyed.without_matches(q.ledger_orders(spark, SF_DIR), delta, ["orderkey"]))
+    assert plan.index("HashAggregate") > plan.index("SortMergeJoin")
+
+
+def test_hot_order_is_split_in_the_sales_view(spark, small_skew_limits):
+    orders, lines, customer = q._sales_inputs(spark, SF_DIR)
+    skewed = hot(lines, "orderkey").repartition(16)
+    grain = {
+        "lineitem": {"orderkey": "orderkey", "linenumber": "linenumber", "partkey": "partkey"},
+        "orders": {"orderstatus": "orderstatus"},
+        "customer": {"customer": "name"},
+    }
+    out = q.retail.sales_rows(orders, skewed, customer, grain)
+    assert "SortMergeJoin(skew=true)" in final_plan(out)
+
+
+def test_hot_partition_is_written_by_many_tasks(spark, tmp_path, small_skew_limits):
+    df = q.ledger_lines(spark, SF_DIR).repartition(16)
+    labelled = df.withColumn(PART, F.when(F.col("orderkey") % 3 == 0, "hot").otherwise("cold"))
+    path = tmp_path / "t"
+    arrange(labelled, Layout()).write.partitionBy(PART).parquet(str(path))
+    assert len(list((path / f"{PART}=hot").glob("*.parquet"))) > 1
+
+
+def test_distribution_and_order_of_written_rows(spark):
+    df = q.ledger_orders(spark, SF_DIR)
+    plan = plan_of(arrange(df, Layout(("orderkey",), ("dt",))))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "Sort [dt" in plan
+    assert "Exchange" not in plan_of(arrange(df, Layout()))
+
+
+def test_unmatched_time_zone_does_not_move_windows(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = q.delta_filter_explicit(spark, SF_DIR).agg(F.min("ts"), F.max("ts")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows[0] >= datetime(2024, 1, 10) and rows[1] <= datetime(2024, 1, 20)
