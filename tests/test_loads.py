@@ -96,6 +96,43 @@ def test_upsert_is_idempotent_and_gates_on_empty_delta(env):
     assert env.log.last_extraction(spec.name) == at("2024-02-10")
 
 
+def test_upsert_of_new_keys_inserts_without_rewriting(env):
+    spec = env.spec("delta_upsert")
+    env.run().load(spec, env.frame(*FIRST))
+    table = Table(env.spark, spec.name, env.root)
+    location = table.location()
+    env.run().load(spec, env.frame((8, "c", 80, MAR), (9, "c", 90, MAR)))
+    assert env.rows() == [(1, 10), (2, 20), (3, 30), (8, 80), (9, 90)]
+    assert table.location() == location
+    env.run().load(spec, env.frame((9, "c", 91, MAR)))
+    assert env.rows()[-1] == (9, 91)
+    assert table.location() != location
+
+
+def test_new_partitions_are_taken_as_staged(env):
+    spec = env.spec("partitions", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    writes = []
+    original = Table.write
+
+    def write(self, *args, **kwargs):
+        writes.append(self.name)
+        return original(self, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Table, "write", write)
+        result = env.run().load(spec, env.frame((8, "c", 80, MAR), (9, "c", 90, "2024-04-01")))
+        assert writes.count(spec.name) == 1
+        env.run().load(spec, env.frame((8, "c", 81, MAR), (7, "c", 70, "2024-05-01")))
+        assert writes.count(spec.name) == 3
+    assert result.touched == {"2024-03-01", "2024-04-01"}
+    assert env.parts()[3:] == [
+        ("2024-03-01", 8, 81),
+        ("2024-04-01", 9, 90),
+        ("2024-05-01", 7, 70),
+    ]
+
+
 def test_upsert_null_keys(env):
     both = [(None, "a", 1, JAN), (1, "a", 2, JAN)]
     for match, expected in ((True, [1, 2]), (False, [1, 1, 2])):

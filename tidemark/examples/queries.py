@@ -442,7 +442,12 @@ def load_chain_e2e(spark, sf_dir):
     orders = read(spark, sf_dir, "orders")
     run, tag = _new_run(spark, datetime(2001, 1, 1))
     spec = LoadSpec(
-        f"{tag}_orders", "delta_upsert", ["o_orderkey"], "o_orderdate", safety_period="30 days"
+        f"{tag}_orders",
+        "delta_upsert",
+        ["o_orderkey"],
+        "o_orderdate",
+        partitioning=ExpressionPartitions("o_orderdate", "date_format(o_orderdate, 'yyyy')"),
+        safety_period="30 days",
     )
     run.load(spec, orders.filter(F.col("o_orderdate") < moment(datetime(2001, 1, 1))))
     run = _next_run(run, datetime(2030, 1, 1))

@@ -230,11 +230,17 @@ class LoadLog:
         entries = self.entries()
         count = entries.filter(_cleared(object_name, cutoff)).count()
         if count:
-            kept = without_object(entries, object_name, cutoff)
-            path, _ = self.table.write(kept, _version(), Layout())
-            self.table.point_to(path)
+            self._rewrite(without_object(entries, object_name, cutoff))
         return count
 
+    def compact(self) -> None:
+        """Keep only the latest event of every entry, in few files."""
+        self._rewrite(self.entries())
+
+    def _rewrite(self, rows: DataFrame) -> None:
+        path, _ = self.table.write(rows, _version(), Layout())
+        self.table.point_to(path)
+
     def _of(self, invocation_id: str, object_name: str) -> DataFrame:
         return self.entries().filter(
             (F.col("invocation_id") == invocation_id) & (F.col("object_name") == object_name)

@@ -61,7 +61,6 @@ class LoadRun:
         self.end_date = end_date
         self.full_refresh = full_refresh
         self.invocation_id = invocation_id or uuid.uuid4().hex
-        self._versions = 0
         log.create_or_verify()
 
     def table(self, name: str) -> Table:
@@ -164,8 +163,8 @@ class LoadRun:
         return result
 
     def _version(self) -> str:
-        self._versions += 1
-        return f"v_{self.invocation_id}_{self._versions}"
+        """A directory name that a repeated run does not meet again."""
+        return f"v_{self.invocation_id}_{uuid.uuid4().hex[:12]}"
 
     def _log(self, spec: LoadSpec, result: LoadResult, text: str | None) -> None:
         if spec.strategy in PLAIN:
@@ -278,7 +277,9 @@ class LoadRun:
         touched = None
         if seen.row_cnt:
             staged = table.files(path, delta.schema)
-            if current is None:
+            if current is None and self._brings_new_keys_only(table, spec, staged, seen):
+                table.append(strategies.upsert_rows(staged, spec), spec.layout)
+            elif current is None:
                 combine = getattr(strategies, spec.strategy)
                 rows = combine(table.read(), staged, spec, seen.key_bytes)
                 out, _ = table.write(rows, self._version(), spec.layout)
@@ -294,6 +295,18 @@ class LoadRun:
             self._analyze(table, spec, touched)
         return result
 
+    def _brings_new_keys_only(
+        self, table: Table, spec: LoadSpec, staged: DataFrame, seen: Profile
+    ) -> bool:
+        """Can an upsert simply insert? Finding out reads the key columns only,
+        up to the first match, and saves rewriting the table."""
+        if spec.strategy != "delta_upsert":
+            return False
+        keys = table.read().select(*spec.keys)
+        return keyed.with_matches(
+            keys, staged, spec.keys, spec.null_keys_match, seen.key_bytes
+        ).isEmpty()
+
     def _compared_keys(self, spec: LoadSpec, growing: bool) -> list[str]:
         """The columns by which a target row is matched with the delta."""
         if spec.strategy != "partitions":
@@ -326,23 +339,34 @@ class LoadRun:
         grown = strategies.grow(current, seen)
         target, moved = self._split(table, target, current, grown)
         live = replace(spec, partitioning=current)
-        if not spec.merge_partitions and not spec.delete_duplicates and not moved:
-            stray = DEFAULT in seen.parts and not isinstance(current, ExpressionPartitions)
-            if not stray or spec.unrouted == "drop":
-                # The staged files are the new partitions.
-                labels = seen.parts - {DEFAULT} if stray else seen.parts
-                table.switch_partitions(path, labels, labels)
-                self._save_partitioning(table, current, grown)
-                return labels
-        change = strategies.partitions(target, staged, live, seen, seen.key_bytes)
-        rest = moved - change.touched
-        if rest:
+        taken = frozenset() if moved else self._complete_as_staged(table, live, seen)
+        rest = replace(seen, parts=seen.parts - taken)
+        change = Change(frozenset(), staged)
+        if rest.parts or moved:
+            delta = staged.filter(~in_labels(taken)) if taken else staged
+            change = strategies.partitions(target, delta, live, rest, seen.key_bytes)
+        left = moved - change.touched
+        if left:
             change = Change(
-                change.touched | rest, change.rows.unionByName(target.filter(in_labels(rest)))
+                change.touched | left, change.rows.unionByName(target.filter(in_labels(left)))
             )
-        self._commit(table, spec, change, seen if not moved else None)
+        if change.touched:
+            self._commit(table, spec, change, seen if not moved else None)
+        if taken:
+            table.switch_partitions(path, taken, taken)
         self._save_partitioning(table, current, grown)
-        return change.touched
+        return change.touched | taken
+
+    def _complete_as_staged(self, table: Table, spec: LoadSpec, seen: Profile) -> frozenset[str]:
+        """Partitions whose new content is exactly what has been staged: all of
+        them when overwriting, those the target lacks when merging. They are
+        switched to without being written again."""
+        if spec.delete_duplicates or spec.dedup_scope == "changed" and spec.merge_partitions:
+            return frozenset()
+        parts = seen.parts
+        if not isinstance(spec.partitioning, ExpressionPartitions):
+            parts = parts - {DEFAULT}
+        return parts - table.labels() if spec.merge_partitions else parts
 
     def _split(
         self, table: Table, target: DataFrame, current: Partitions, grown: Partitions

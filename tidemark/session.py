@@ -15,6 +15,9 @@ SETTINGS = {
     # Split a hot join key even where the aggregation above then needs its own
     # shuffle; partial aggregation runs before it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Join by hash instead of sorting both sides where, after the shuffle, every
+    # partition of the smaller side turns out to be below this size.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
