@@ -20,7 +20,9 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("tidemark-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.leafNodeDefaultParallelism", "2")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
         .config("spark.checkpoint.dir", str(home / "shared"))

@@ -130,25 +130,44 @@ class LoadLog:
         self.table.create(path, EVENT_FIELDS)
         return []
 
-    def entries(self) -> DataFrame:
-        return current_state(self.table.read(), ["entry_id"], [F.col("event_no").desc()])
+    def entries(self, *only: Column) -> DataFrame:
+        """Latest event per entry. Conditions on columns that never change
+        within an entry are applied to the events, where the scan uses them."""
+        events = self.table.read()
+        for condition in only:
+            events = events.filter(condition)
+        return current_state(events, ["entry_id"], [F.col("event_no").desc()])
 
     def last_extraction(self, object_name: str) -> datetime | None:
-        mine = self.entries().filter(F.col("object_name") == object_name)
-        row = last_extractions(mine).first()
-        return row["extraction_to"] if row else None
-
-    def open_window(self, invocation_id: str, object_name: str) -> tuple[Window, str] | None:
-        """Window and delta field that this run has logged for an object."""
+        return self.standing("", object_name)[0]
+
+    def standing(
+        self, invocation_id: str, object_name: str
+    ) -> tuple[datetime | None, tuple[Window, str | None] | None]:
+        """An object's high-water mark, and the window and delta field that
+        this run has logged for it, in one pass."""
+        mine = (F.col("invocation_id") == invocation_id) & (F.col("status") == OPEN)
+        first = F.struct(
+            "created_at", "entry_id", "extraction_from", "extraction_to", "delta_field"
+        )
         row = (
-            self._of(invocation_id, object_name)
-            .filter(F.col("status") == OPEN)
-            .orderBy("created_at", "entry_id")
+            self.entries(F.col("object_name") == object_name)
+            .agg(
+                F.max(F.when(F.col("status") == DONE, F.col("extraction_to"))).alias("mark"),
+                F.min(F.when(mine, first)).alias("open"),
+            )
             .first()
         )
-        if row is None:
-            return None
-        return Window(row["extraction_from"], row["extraction_to"]), row["delta_field"]
+        found = row["open"]
+        if found is None:
+            return row["mark"], None
+        window = Window(found["extraction_from"], found["extraction_to"])
+        return row["mark"], (window, found["delta_field"])
+
+    def open_window(
+        self, invocation_id: str, object_name: str
+    ) -> tuple[Window, str | None] | None:
+        return self.standing(invocation_id, object_name)[1]
 
     def open(
         self,
@@ -194,21 +213,14 @@ class LoadLog:
             "model_sql": model_sql,
             "row_cnt": row_cnt,
         }
-        mine = self._of(invocation_id, object_name)
-        if mine.isEmpty():
+        # The entries of one run for one object are one or two.
+        mine = self.entries(
+            F.col("object_name") == object_name, F.col("invocation_id") == invocation_id
+        ).collect()
+        if not mine:
             self._insert(invocation_id=invocation_id, object_name=object_name, **changed)
-            return
-        columns = []
-        for field in EVENT_FIELDS.fields:
-            if field.name in changed:
-                value = changed[field.name]
-                value = str(value) if isinstance(value, datetime) else value
-                columns.append(F.lit(value).cast(field.dataType).alias(field.name))
-            elif field.name == "event_no":
-                columns.append((F.col("event_no") + 1).alias("event_no"))
-            else:
-                columns.append(F.col(field.name))
-        self.table.append(mine.select(columns), Layout())
+        for row in mine:
+            self._write({**row.asDict(), **changed, "event_no": row["event_no"] + 1})
 
     def insert_done(
         self, invocation_id: str, object_name: str, load_type: str, row_cnt: int, model_sql=None
@@ -241,17 +253,19 @@ class LoadLog:
         path, _ = self.table.write(rows, _version(), Layout())
         self.table.point_to(path)
 
-    def _of(self, invocation_id: str, object_name: str) -> DataFrame:
-        return self.entries().filter(
-            (F.col("invocation_id") == invocation_id) & (F.col("object_name") == object_name)
-        )
-
     def _insert(self, **values) -> None:
         now = self.now()
         row = {"created_at": now, "updated_at": now, "entry_id": uuid.uuid4().hex, "event_no": 1}
-        row.update(values)
-        data = [tuple(row.get(field.name) for field in EVENT_FIELDS.fields)]
-        self.table.append(self.spark.createDataFrame(data, EVENT_FIELDS).coalesce(1), Layout())
+        self._write({**row, **values})
+
+    def _write(self, event: dict) -> None:
+        columns = []
+        for field in EVENT_FIELDS.fields:
+            value = event.get(field.name)
+            value = str(value) if isinstance(value, datetime) else value
+            columns.append(F.lit(value).cast(field.dataType).alias(field.name))
+        row = self.spark.range(0, 1, 1, 1).select(columns)
+        row.write.mode("append").insertInto(self.table.name)
 
 
 def _version() -> str:

@@ -69,9 +69,12 @@ class LoadRun:
     # -- windows and filters -------------------------------------------------------
 
     def _window(
-        self, object_name: str | None, load_interval: str, safety_period: str, delta_start=None
+        self,
+        last: datetime | None,
+        load_interval: str,
+        safety_period: str,
+        delta_start=None,
     ) -> Window:
-        last = self.log.last_extraction(object_name) if object_name else None
         return next_window(
             last,
             self.log.now(),
@@ -86,13 +89,15 @@ class LoadRun:
         """Read an external source. Its window is computed from the target's
         log entries and logged before anything is read."""
         source.validate()
+        target = source.model_target
+        last = self.log.last_extraction(target) if target else None
         window = self._window(
-            source.model_target, source.load_interval, source.safety_period, source.delta_start
+            last, source.load_interval, source.safety_period, source.delta_start
         )
-        if source.model_target:
+        if target:
             self.log.open(
                 self.invocation_id,
-                source.model_target,
+                target,
                 window,
                 source.fmt,
                 source.extraction_type,
@@ -111,7 +116,8 @@ class LoadRun:
         if log_dates:
             if not column:
                 raise ValueError("log_dates needs a column")
-            window = self._window(spec.name, spec.load_interval, spec.safety_period)
+            last = self.log.last_extraction(spec.name)
+            window = self._window(last, spec.load_interval, spec.safety_period)
             self.log.open(self.invocation_id, spec.name, window, "filter_delta", None, column)
         else:
             logged = self.log.open_window(self.invocation_id, spec.name)
@@ -122,11 +128,11 @@ class LoadRun:
         return delta_filter(df, column, window.lower, window.upper, spec.lower_exclusive)
 
     def _filter_auto(self, df: DataFrame, spec: LoadSpec) -> DataFrame:
-        logged = self.log.open_window(self.invocation_id, spec.name)
+        last, logged = self.log.standing(self.invocation_id, spec.name)
         if logged:
             window = logged[0]
         else:
-            window = self._window(spec.name, spec.load_interval, spec.safety_period)
+            window = self._window(last, spec.load_interval, spec.safety_period)
             self.log.open(
                 self.invocation_id, spec.name, window, "filter_delta", None, spec.delta_field
             )
