@@ -345,17 +345,18 @@ class LoadRun:
         grown = strategies.grow(current, seen)
         target, moved = self._split(table, target, current, grown)
         live = replace(spec, partitioning=current)
-        taken = frozenset() if moved else self._complete_as_staged(table, live, seen)
+        taken = self._complete_as_staged(table, live, seen, moved)
         rest = replace(seen, parts=seen.parts - taken)
         change = Change(frozenset(), staged)
-        if rest.parts or moved:
+        if rest.parts:
             delta = staged.filter(~in_labels(taken)) if taken else staged
             change = strategies.partitions(target, delta, live, rest, seen.key_bytes)
-        left = moved - change.touched
+        left = moved - change.touched - taken
         if left:
-            change = Change(
-                change.touched | left, change.rows.unionByName(target.filter(in_labels(left)))
-            )
+            rows = target.filter(in_labels(left))
+            if change.touched:
+                rows = change.rows.unionByName(rows)
+            change = Change(change.touched | left, rows)
         if change.touched:
             self._commit(table, spec, change, seen if not moved else None)
         if taken:
@@ -363,16 +364,18 @@ class LoadRun:
         self._save_partitioning(table, current, grown)
         return change.touched | taken
 
-    def _complete_as_staged(self, table: Table, spec: LoadSpec, seen: Profile) -> frozenset[str]:
+    def _complete_as_staged(
+        self, table: Table, spec: LoadSpec, seen: Profile, moved: frozenset[str]
+    ) -> frozenset[str]:
         """Partitions whose new content is exactly what has been staged: all of
-        them when overwriting, those the target lacks when merging. They are
+        them when overwriting, those without target rows when merging. They are
         switched to without being written again."""
         if spec.delete_duplicates or spec.dedup_scope == "changed" and spec.merge_partitions:
             return frozenset()
         parts = seen.parts
         if not isinstance(spec.partitioning, ExpressionPartitions):
             parts = parts - {DEFAULT}
-        return parts - table.labels() if spec.merge_partitions else parts
+        return parts - table.labels() - moved if spec.merge_partitions else parts
 
     def _split(
         self, table: Table, target: DataFrame, current: Partitions, grown: Partitions

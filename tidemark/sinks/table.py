@@ -259,11 +259,19 @@ class Table:
         if labels is None:
             self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS NOSCAN")
             return
-        for label in sorted(set(labels) & self.labels()):
-            self.spark.sql(
-                f"ANALYZE TABLE {self.quoted} PARTITION ({PART} = {_quote(label)}) "
-                "COMPUTE STATISTICS NOSCAN"
-            )
+        present = self.labels()
+        chosen = sorted(set(labels) & present)
+        if len(chosen) * 2 > len(present):
+            # Most of the partitions: all of them in one statement.
+            self._analyze_partitions(PART)
+            return
+        for label in chosen:
+            self._analyze_partitions(f"{PART} = {_quote(label)}")
+
+    def _analyze_partitions(self, which: str) -> None:
+        self.spark.sql(
+            f"ANALYZE TABLE {self.quoted} PARTITION ({which}) COMPUTE STATISTICS NOSCAN"
+        )
 
     # -- old versions ----------------------------------------------------------------
 
