@@ -290,6 +290,54 @@ def test_unrouted_rows(env, merge):
     assert kept == ([(JAN, 1, 9), (JAN, 2, 20)] if merge else [(JAN, 1, 9)])
 
 
+def test_unrouted_rows_and_extra_columns_are_reported(env, caplog):
+    spec = env.spec("partitions", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    delta = env.frame((6, "c", 60, "2023-01-01"), (7, "c", 70, None), (1, "a", 11, "2024-01-05"))
+    result = env.run().load(spec, delta.withColumn("more", F.lit(1)))
+    assert result.unrouted == 2
+    assert "2 delta rows outside every named partition" in caplog.text
+    assert "left out: more" in caplog.text
+
+
+def test_default_partition_only_with_a_number_key(env):
+    spec = env.spec("partitions", partitioning=RangePartitions("id"))
+    env.run().load(spec, env.frame(*FIRST))
+    env.run().load(spec, env.frame(*SECOND))
+    assert env.rows() == [(1, 10), (2, 21), (3, 30), (4, 40)]
+    env.run().load(env.spec("delta", partitioning=RangePartitions("id")), env.frame(SECOND[0]))
+    assert env.rows() == [(1, 10), (2, 21), (2, 21), (3, 30), (4, 40)]
+
+
+def test_zoned_timestamps_mark_in_the_session_zone(env):
+    spec = env.spec("delta_upsert", add_delta=True)
+    zoned = env.frame(*FIRST).withColumn("dt", F.col("dt").cast("timestamp"))
+    env.run().load(spec, zoned)
+    assert env.log.last_extraction(spec.name) == at("2024-02-03")
+    env.run().load(spec, zoned.withColumn("v", F.lit(7).cast("long")))
+    assert env.rows() == [(1, 10), (2, 20), (3, 7)]
+
+
+def test_merge_reads_only_the_touched_partitions(env):
+    spec = env.spec("partitions", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    plans = []
+    original = Table.write
+
+    def write(self, df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(self, df, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Table, "write", write)
+        env.run().load(spec, env.frame((2, "a", 22, "2024-01-02")))
+    merge = plans[-1]
+    assert "BroadcastHashJoin" in merge
+    assert f"PartitionFilters: [isnotnull({PART}" in merge and f"({PART}" in merge
+    assert "2024-01-01" in merge and "2024-02-01" not in merge
+    assert "Exchange hashpartitioning" not in merge.split("BroadcastExchange")[0]
+
+
 def _as_args(spec, **changes):
     names = ("strategy", "partitioning", "merge_partitions", "delete_duplicates")
     return {**{n: getattr(spec, n) for n in names}, **changes}

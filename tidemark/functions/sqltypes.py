@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Mapping
 
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+logger = logging.getLogger(__name__)
+
 # SQL type names and the Spark types they load as.
 SIMPLE_TYPES: dict[str, T.DataType] = {
     "int2": T.ShortType(),
@@ -135,6 +138,10 @@ def align(delta: DataFrame, target: T.StructType) -> DataFrame:
     missing = [f.name for f in target.fields if f.name.lower() not in have]
     if missing:
         raise ValueError(f"delta lacks target columns: {', '.join(missing)}")
+    wanted = {f.name.lower() for f in target.fields}
+    extra = [name for name in delta.columns if name.lower() not in wanted]
+    if extra:
+        logger.warning("columns that the target lacks are left out: %s", ", ".join(extra))
     types = {f.name.lower(): f.dataType for f in delta.schema.fields}
     out = []
     for field in target.fields:

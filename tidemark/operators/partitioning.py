@@ -178,6 +178,8 @@ class RangePartitions:
 
     def overlapping(self, lowest, highest) -> list[RangePartition]:
         """Named partitions that a closed key interval touches, in order."""
+        if not self.segments:
+            return []
         low, high = to_datetime(lowest), to_datetime(highest)
         if low is None or high is None:
             return []
@@ -207,8 +209,11 @@ class RangePartitions:
 
     def extend(self, highest) -> tuple[RangePartitions, list[RangePartition]]:
         """Add partitions after the last one until ``highest`` is covered."""
-        last, step, top = self.last(), self.growth_step(), to_datetime(highest)
-        if last is None or top is None or last.end > top.date():
+        last, step = self.last(), self.growth_step()
+        if last is None:
+            return self, []
+        top = to_datetime(highest)
+        if top is None or last.end > top.date():
             return self, []
         end, count = last.end, 0
         while end <= top.date():

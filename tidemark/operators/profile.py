@@ -8,10 +8,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.intervals import to_datetime
+from tidemark.functions.intervals import NTZ, to_datetime
 from tidemark.operators.keyed import key_bytes
-from tidemark.operators.partitioning import PART
+from tidemark.operators.partitioning import DEFAULT, PART
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,7 @@ class Profile:
     max_delta: datetime | None = None
     parts: frozenset[str] = frozenset()
     key_bytes: int | None = None
+    unrouted: int = 0
 
     @classmethod
     def of_metrics(cls, values: dict) -> Profile:
@@ -34,12 +36,20 @@ class Profile:
             max_delta=values.get("max_delta"),
             parts=frozenset(values.get("parts") or ()),
             key_bytes=values.get("key_bytes"),
+            unrouted=values.get("unrouted") or 0,
         )
 
     def key_range(self) -> tuple[datetime | None, datetime | None]:
         return to_datetime(self.min_key), to_datetime(self.max_key)
 
 
+def _wall_clock(df: DataFrame, name: str) -> Column:
+    """Zoned timestamps in the session's zone, so that the driver's own zone
+    plays no part."""
+    column = F.col(name)
+    return column.cast(NTZ) if isinstance(df.schema[name].dataType, T.TimestampType) else column
+
+
 def profile_columns(
     df: DataFrame,
     partition_key: str | None = None,
@@ -50,11 +60,13 @@ def profile_columns(
     number of partitions, which the driver handles anyway."""
     out = [F.count(F.lit(1)).alias("row_cnt")]
     if partition_key:
-        out += [F.min(partition_key).alias("min_key"), F.max(partition_key).alias("max_key")]
+        key = _wall_clock(df, partition_key)
+        out += [F.min(key).alias("min_key"), F.max(key).alias("max_key")]
     if delta_field:
-        out.append(F.max(delta_field).alias("max_delta"))
+        out.append(F.max(_wall_clock(df, delta_field)).alias("max_delta"))
     if PART in df.columns:
         out.append(F.collect_set(PART).alias("parts"))
+        out.append(F.count_if(F.col(PART) == DEFAULT).alias("unrouted"))
     if keys:
         out.append(key_bytes(df, keys).alias("key_bytes"))
     return out

@@ -3,6 +3,7 @@ that an external source has logged is the one its target filters by."""
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -32,6 +33,8 @@ from tidemark.plans.windows import Window, next_window
 from tidemark.sinks.table import PARTITIONING, Table
 from tidemark.sources.external import SourceSpec, read_source
 
+logger = logging.getLogger(__name__)
+
 Model = DataFrame | str | Callable[[SparkSession], DataFrame]
 
 
@@ -41,6 +44,8 @@ class LoadResult:
     row_cnt: int
     extraction_to: datetime | None = None
     touched: frozenset[str] = frozenset()
+    # Delta rows outside every named partition.
+    unrouted: int = 0
 
 
 class LoadRun:
@@ -281,6 +286,7 @@ class LoadRun:
         )
         result = LoadResult(spec.strategy, seen.row_cnt, as_moment(seen.max_delta))
         touched = None
+        self._report_unrouted(spec, current, seen)
         if seen.row_cnt:
             staged = table.files(path, delta.schema)
             if current is None and self._brings_new_keys_only(table, spec, staged, seen):
@@ -294,13 +300,22 @@ class LoadRun:
                 table.point_to(out)
             else:
                 touched = self._load_parted(table, spec, staged, path, seen, current)
-                result = LoadResult(
-                    spec.strategy, seen.row_cnt, as_moment(seen.max_delta), touched
-                )
+                result = replace(result, touched=touched, unrouted=seen.unrouted)
         if seen.row_cnt or spec.strategy == "delta_merge":
             self._analyze(table, spec, touched)
         return result
 
+    def _report_unrouted(
+        self, spec: LoadSpec, current: Partitions | None, seen: Profile
+    ) -> None:
+        if seen.unrouted and not isinstance(current, ExpressionPartitions):
+            logger.warning(
+                "%s: %d delta rows outside every named partition (unrouted=%s)",
+                spec.name,
+                seen.unrouted,
+                spec.unrouted,
+            )
+
     def _brings_new_keys_only(
         self, table: Table, spec: LoadSpec, staged: DataFrame, seen: Profile
     ) -> bool:
@@ -430,6 +445,7 @@ class LoadRun:
         routed = route(delta, current.open_ended() if growing else current)
         table.move_base(self._version())
         seen = table.append(routed, spec.layout, current.key, spec.delta_field)
+        self._report_unrouted(spec, current, seen)
         if seen.row_cnt:
             grown = strategies.grow(current, seen)
             target, moved = self._split(table, table.read_parts(), current, grown)
@@ -438,6 +454,10 @@ class LoadRun:
             self._save_partitioning(table, current, grown)
             self._analyze(table, spec, seen.parts | moved)
         return LoadResult(
-            "delta", seen.row_cnt, as_moment(seen.max_delta), frozenset(seen.parts)
+            "delta",
+            seen.row_cnt,
+            as_moment(seen.max_delta),
+            frozenset(seen.parts),
+            seen.unrouted,
         )
 

@@ -15,6 +15,8 @@ from tidemark.plans.windows import DEFAULT_NODES, Window, split_predicates
 # Formats by how their schema comes about.
 TYPED_FORMATS = ("parquet", "orc", "avro", "jdbc")
 DECLARED_FORMATS = ("csv", "json", "text")
+# Timestamps without a zone stay without one.
+JDBC_DEFAULTS = {"preferTimestampNTZ": "true"}
 
 
 @dataclass(frozen=True)
@@ -65,11 +67,12 @@ def read_source(spark: SparkSession, source: SourceSpec, window: Window | None =
     if source.fmt == "jdbc":
         predicates = jdbc_predicates(source, window) if window else None
         if predicates:
-            options = dict(source.options)
+            options = {**JDBC_DEFAULTS, **source.options}
             url, table = options.pop("url"), options.pop("dbtable")
             raw = spark.read.jdbc(url, table, predicates=predicates, properties=options)
             return cast_fields(raw, source.fields)
-    reader = spark.read.format(source.fmt).options(**source.options)
+    defaults = JDBC_DEFAULTS if source.fmt == "jdbc" else {}
+    reader = spark.read.format(source.fmt).options(**{**defaults, **source.options})
     if source.fmt in DECLARED_FORMATS:
         reader = reader.schema(struct_of(source.fields))
     raw = reader.load(source.path) if source.path else reader.load()
