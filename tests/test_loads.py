@@ -561,6 +561,30 @@ def test_analyze_columns(env):
     assert "3 rows" in stats.first()["data_type"]
 
 
+def _statistics(spark, name, part=""):
+    rows = spark.sql(f"DESCRIBE EXTENDED {name} {part}").collect()
+    return [r.data_type for r in rows if r.col_name in ("Statistics", "Partition Statistics")]
+
+
+def test_statistics_follow_the_loads(env):
+    spec = env.spec("delta_upsert")
+    env.run().load(spec, env.frame(*FIRST))
+    assert "3 rows" in _statistics(env.spark, spec.name)[0]
+    env.run().load(spec, env.frame(*SECOND))
+    assert "4 rows" in _statistics(env.spark, spec.name)[0]
+
+
+def test_a_grown_partitioned_table_does_not_look_small(env):
+    spec = env.spec("partitions", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    env.run().load(spec, env.frame((1, "a", 11, "2024-01-05")))
+    assert _statistics(env.spark, spec.name) == []
+    part = f"PARTITION ({PART} = '{JAN}')"
+    assert "2 rows" in _statistics(env.spark, spec.name, part)[0]
+    size = Table(env.spark, spec.name, env.root).read_parts()
+    assert size._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 10**12
+
+
 @pytest.mark.parametrize(
     "settings",
     [

@@ -50,8 +50,8 @@ class LoadSpec:
     unrouted: str = "default"
     lower_exclusive: bool = False
     keep_backup: bool = True
-    # True: sizes only, from file listings; "columns": a scan for column
-    # statistics; False: nothing.
+    # True: size and row count; "columns": a scan for column statistics as
+    # well; False: nothing.
     analyze: bool | str = True
     layout: Layout = field(default_factory=Layout)
     pre_hooks: Sequence[Hook] = ()

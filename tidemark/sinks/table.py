@@ -251,13 +251,15 @@ class Table:
         return Profile.of_metrics(seen.get)
 
     def analyze(self, labels: Iterable[str] | None = None, columns: bool = False) -> None:
-        """Refresh the optimizer's statistics: sizes (of the given partitions
-        where there are any), or a scan for column statistics as well."""
+        """Refresh the optimizer's statistics: size and row count, the latter
+        from file footers, of the table or of the given partitions; or a scan
+        for column statistics as well. A switch has dropped the previous ones,
+        so a table that has grown is never taken for a small one."""
         if columns:
             self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS FOR ALL COLUMNS")
             return
         if labels is None:
-            self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS NOSCAN")
+            self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS")
             return
         present = self.labels()
         chosen = sorted(set(labels) & present)
@@ -269,9 +271,7 @@ class Table:
             self._analyze_partitions(f"{PART} = {_quote(label)}")
 
     def _analyze_partitions(self, which: str) -> None:
-        self.spark.sql(
-            f"ANALYZE TABLE {self.quoted} PARTITION ({which}) COMPUTE STATISTICS NOSCAN"
-        )
+        self.spark.sql(f"ANALYZE TABLE {self.quoted} PARTITION ({which}) COMPUTE STATISTICS")
 
     # -- old versions ----------------------------------------------------------------
 
