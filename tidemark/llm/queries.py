@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, sharding
-from tidemark.llm.common import prepare
+from tidemark.llm import exact_dedup, packing, repair, sharding
+from tidemark.llm.common import prepare, scratch
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +25,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(prepare(spark), "repair-tokens")
+    repair.write_tokens(documents(spark, sf_dir), folder, WORD_BPE)
+    return repair.read_tokens(spark.read.parquet(folder))
+
+
+def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack_documents(documents(prepare(spark), sf_dir), WORD_BPE)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(documents(prepare(spark), sf_dir), shards=16)
     return placed.select(
@@ -37,6 +51,8 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_repair_tokens": op2_repair_tokens,
+    "op3_best_two_fit": op3_best_two_fit,
     "op8_virtual_slots": op8_virtual_slots,
 }
 
