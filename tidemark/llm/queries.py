@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing, repair, sharding
+from tidemark.llm import bpe, exact_dedup, packing, repair, sharding
 from tidemark.llm.common import prepare, scratch
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(documents(prepare(spark), sf_dir), BYTE_BPE)
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(documents(prepare(spark), sf_dir), shards=16)
     return placed.select(
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_repair_tokens": op2_repair_tokens,
     "op3_best_two_fit": op3_best_two_fit,
+    "op4_tree_bpe": op4_tree_bpe,
     "op8_virtual_slots": op8_virtual_slots,
 }
 
