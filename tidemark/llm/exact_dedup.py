@@ -73,6 +73,8 @@ class ExactDedup:
             spark__sql__streaming__stateStore__providerClass=ROCKSDB,
             spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
             spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
+            # Else each partition's store reserves some megabytes of disk, however small it is.
+            spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
         ):
             (
                 arrivals.groupBy("digest")
