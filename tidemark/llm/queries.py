@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, packing, repair, sharding
+from tidemark.llm import bpe, exact_dedup, packing, repair, sharding, sketches, toxicity
 from tidemark.llm.common import prepare, scratch
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,10 @@ def op4_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(prepare(spark), sf_dir), BYTE_BPE)
 
 
+def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(documents(prepare(spark), sf_dir))
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(documents(prepare(spark), sf_dir), shards=16)
     return placed.select(
@@ -54,12 +58,19 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = prepare(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity_scores(documents(spark, sf_dir), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_repair_tokens": op2_repair_tokens,
     "op3_best_two_fit": op3_best_two_fit,
     "op4_tree_bpe": op4_tree_bpe,
+    "op6_scaled_sketch": op6_scaled_sketch,
     "op8_virtual_slots": op8_virtual_slots,
+    "op10_string_kernel": op10_string_kernel,
 }
 
 ORACLE: dict[str, str] = {
