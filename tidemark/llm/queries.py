@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, packing, repair, sharding, sketches, toxicity
+from tidemark.llm import bpe, exact_dedup, packing, repair, sharding, simhash, sketches, toxicity
 from tidemark.llm.common import prepare, scratch
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -45,6 +45,11 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprints(documents(prepare(spark), sf_dir))
 
 
+def op7_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(documents(prepare(spark), sf_dir))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(documents(prepare(spark), sf_dir), shards=16)
     return placed.select(
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_two_fit": op3_best_two_fit,
     "op4_tree_bpe": op4_tree_bpe,
     "op6_scaled_sketch": op6_scaled_sketch,
+    "op7_pivot_simhash": op7_pivot_simhash,
     "op8_virtual_slots": op8_virtual_slots,
     "op10_string_kernel": op10_string_kernel,
 }
