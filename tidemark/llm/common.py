@@ -21,6 +21,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the library; Python workers that run on this machine
     find the package where the driver found it."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    # Rows may be long: batches for Python stay small.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return configure(spark)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, packing, repair, sharding, simhash, sketches, toxicity
+from tidemark.llm import bpe, exact_dedup, packing, repair, sharding, simhash, sketches, substrings, toxicity
 from tidemark.llm.common import prepare, scratch
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +63,10 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digests(documents(prepare(spark), sf_dir))
+
+
 def op10_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = prepare(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.toxicity_scores(documents(spark, sf_dir), labels)
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_pivot_simhash": op7_pivot_simhash,
     "op8_virtual_slots": op8_virtual_slots,
+    "op9_suffix_trees": op9_suffix_trees,
     "op10_string_kernel": op10_string_kernel,
 }
 
