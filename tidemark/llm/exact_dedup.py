@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,9 +139,18 @@ class ExactDedup:
         return plain.withColumnRenamed("best", "keep").select(told.columns).unionByName(told)
 
 
+def in_files(documents: DataFrame) -> DataFrame:
+    """The documents if each row is one of a file's, else what they are written to."""
+    try:
+        documents.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return stored(documents, "exact-documents")
+    return documents
+
+
 def exact_groups(documents: DataFrame) -> DataFrame:
     """``ExactDedup`` over one table: doc_id, keep_id, group_size, kept, digest."""
-    found = ExactDedup(documents.sparkSession).add(documents).members()
+    found = ExactDedup(documents.sparkSession).add(in_files(documents)).members()
     return found.select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
@@ -152,6 +162,7 @@ def exact_groups(documents: DataFrame) -> DataFrame:
 
 def without_copies(documents: DataFrame) -> DataFrame:
     """The documents of which ``exact_groups`` keeps the row, all columns."""
+    documents = in_files(documents)
     gone = ExactDedup(documents.sparkSession).add(documents).members().filter("NOT kept").select("file", "row")
     gone = stored(gone, "exact-gone")
     names = documents.columns

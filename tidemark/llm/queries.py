@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, packing, repair, sharding, simhash, sketches, substrings, toxicity
+from tidemark.llm import bpe, exact_dedup, packing, quality, repair, sharding, simhash, sketches, substrings, toxicity
 from tidemark.llm.common import prepare, scratch
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,10 @@ def op4_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(prepare(spark), sf_dir), BYTE_BPE)
 
 
+def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(documents(prepare(spark), sf_dir)).drop("votes")
+
+
 def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprints(documents(prepare(spark), sf_dir))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repair_tokens": op2_repair_tokens,
     "op3_best_two_fit": op3_best_two_fit,
     "op4_tree_bpe": op4_tree_bpe,
+    "op5_weak_labels": op5_weak_labels,
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_pivot_simhash": op7_pivot_simhash,
     "op8_virtual_slots": op8_virtual_slots,

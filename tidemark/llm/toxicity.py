@@ -329,24 +329,25 @@ def fitted(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Sco
 
 def with_scores(documents: DataFrame, scorer: Scorer, name: str = "score") -> DataFrame:
     """The documents, all columns, and their score."""
-    shared = documents.sparkSession.sparkContext.broadcast((scorer.kernel and scorer.kernel.landmarks, scorer.beta, scorer.curve))
-    schema = documents.schema
     if name in documents.columns:
         raise ValueError(f"there is a column {name} already")
+    landmarks = scorer.kernel.landmarks if scorer.kernel else []
+    shared = documents.sparkSession.sparkContext.broadcast((landmarks, scorer.beta, scorer.curve))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         landmarks, beta, curve = shared.value
         own = Scorer(Kernel(landmarks) if landmarks else None, beta, curve)
-        for batch in batches:
-            yield batch.assign(**{name: own.scores(batch["text"].fillna("").tolist())})
+        for some in texts:
+            yield pd.Series(own.scores(some.tolist()), dtype="float64")
 
-    return documents.mapInPandas(score, _with(schema, name))
+    return documents.withColumn(name, score(text_of()))
 
 
-def _with(schema, name: str):
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    return StructType([*schema.fields, StructField(name, DoubleType())])
+def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents scored below the threshold, all columns."""
+    scored = with_scores(documents, fitted(documents, labels), "__toxicity")
+    return scored.filter(F.col("__toxicity") < threshold).select(documents.columns)
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
