@@ -37,9 +37,12 @@ from tidemark.llm.tokens import word_ids
 END = 1
 SHARD_TOKENS = 1 << 20
 ROUNDS = 7
+#: Share of the ids that a round must save for another one to follow.
+GAIN = 0.03
 #: Rules of a round, and how often a pair must occur to become one.
 ROUND_RULES, LEAST = 2000, 12
 TABLE_BITS = 19
+MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 SHARD = (
     "part int, shard int, first long, n_tokens long, base int, doc_ids binary, known binary, lengths binary,"
     " ends binary, sequence binary, left binary, right binary, spans binary"
@@ -49,11 +52,12 @@ SHARD = (
 def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
     """Compressed sequence, end of each document in it, left and right side of
     each rule. Rule ``i`` is the id ``base + i``."""
-    sequence = ids.astype(np.int64)
+    sequence = ids.astype(np.uint32)
     last = np.zeros(len(sequence), bool)
     last[np.cumsum(lengths) - 1] = True
     left, right = [], []
     for _ in range(ROUNDS):
+        before = len(sequence)
         found = _frequent(sequence, last, base + len(left))
         if found is None:
             break
@@ -66,6 +70,8 @@ def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
         keep = np.ones(len(sequence), bool)
         keep[gone] = False
         sequence, last = sequence[keep], last[keep]
+        if before - len(sequence) < GAIN * before:
+            break
     return sequence, np.flatnonzero(last) + 1, np.array(left, np.int64), np.array(right, np.int64)
 
 
@@ -74,15 +80,16 @@ def _frequent(sequence: np.ndarray, last: np.ndarray, next_id: int):
     sides of the new rules; the most frequent pairs first."""
     if len(sequence) < 2:
         return None
-    key = (sequence[:-1] << 32) | sequence[1:]
-    bucket = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-    open_ = ~last[:-1]
-    bucket[~open_] = 0
-    counts = np.bincount(bucket[open_], minlength=1 << TABLE_BITS)
-    some = np.flatnonzero(open_ & (counts[bucket] >= LEAST))
+    one, other = sequence[:-1], sequence[1:]
+    bucket = ((one * MIX[0]) ^ (other * MIX[1])) * MIX[2]
+    bucket >>= np.uint32(32 - TABLE_BITS)
+    place = bucket.astype(np.intp)
+    often = np.bincount(place, minlength=1 << TABLE_BITS) >= LEAST
+    some = np.flatnonzero(often[place] & ~last[:-1])
     if not len(some):
         return None
-    key, bucket = key[some], bucket[some]
+    key = (one[some].astype(np.int64) << 32) | other[some]
+    bucket = place[some]
     # One pair speaks for each bucket; others there wait for the next round.
     speaker = np.zeros(1 << TABLE_BITS, np.int64)
     speaker[bucket] = key

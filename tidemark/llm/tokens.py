@@ -18,7 +18,8 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: characters that str.split() takes for white space and the patterns do not.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 PUNCTUATION = frozenset(".,;:!?")
-REMEMBERED = 400_000
+#: Entries of a worker's memory, and characters of a key, at most.
+REMEMBERED, LONGEST = 400_000, 100
 
 
 def byte_letters() -> list[str]:
@@ -45,6 +46,22 @@ def packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
+class Memory(dict):
+    """Remembers what ``find`` gives for a key; emptied when full."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, key):
+        found = self.find(key)
+        if len(key) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = found
+        return found
+
+
 class WordIds:
     """Ids of a text by a vocabulary with word ends (lower case, white space
     dropped), as little-endian unsigned 32-bit integers."""
@@ -57,35 +74,20 @@ class WordIds:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Memory(lambda piece: packed([t.id for t in self.model.tokenize(lettered(piece))]))
+        self.words = Memory(self.word)
         self.split = re.compile(f"[^{SPACE}]+").findall
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of letters only."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            ids = self.pieces[piece] = packed([t.id for t in self.model.tokenize(lettered(piece))])
-        return ids
-
     def word(self, word: str) -> bytes:
         letters, end = (word[:-1], word[-1]) if word[-1] in PUNCTUATION else (word, "")
         low = letters.lower()
         if low.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters):
-            ids = self.piece(low) + (self.piece(end) if end else b"")
-        else:
-            ids = packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        self.words[word] = ids
-        return ids
+            return self.pieces[low] + (self.pieces[end] if end else b"")
+        return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         words = self.split(text) if NOT_SPACE.search(text) else text.split()
-        known, word = self.words.get, self.word
-        return b"".join([known(w) or word(w) for w in words])
+        return b"".join(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
