@@ -394,7 +394,7 @@ def test_list_partitions(env):
     spec = env.spec("partitions", partitioning=ListPartitions("grp", ("a", "b c/d")))
     env.run().load(spec, env.frame((1, "a", 1, JAN), (2, "b c/d", 2, JAN), (3, "z", 3, JAN)))
     env.run().load(spec, env.frame((2, "b c/d", 22, JAN), (4, "q", 4, JAN)))
-    assert env.parts() == [(DEFAULT, 3, 3), (DEFAULT, 4, 4), ("a", 1, 1), ("b c/d", 2, 22)]
+    assert env.parts() == [(DEFAULT, 3, 3), (DEFAULT, 4, 4), ("a", 1, 1), ("b+c~2Fd", 2, 22)]
 
 
 def test_plain_strategies_write_no_log(env):

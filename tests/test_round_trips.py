@@ -1,0 +1,150 @@
+"""Odd labels, repeated overwrites, strict sources, open rows, the log's columns."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+from test_loads import FIELDS, JAN, RANGES, Env
+
+from tidemark import ExpressionPartitions, ListPartitions, LoadLog, LoadRun, SourceSpec
+from tidemark.operators.partitioning import DEFAULT, END_OF_TIME, RangePartitions, stored_label
+from tidemark.operators.profile import profile_of
+from tidemark.sinks.table import Table
+from tidemark.sources.external import read_source
+
+ODD = ["a/b", "x:y", "p%q", "k=v", "it's", 'say "so"', "two words", "größe", "", "_x", "__default__", "~", "*"]
+
+
+@pytest.fixture
+def env(spark, tmp_path):
+    return Env(spark, tmp_path)
+
+
+def test_labels_are_distinct_and_plain(spark):
+    rows = spark.createDataFrame([(v,) for v in ODD], "v string").select("v", stored_label(F.col("v")).alias("s"))
+    found = {r.v: r.s for r in rows.collect()}
+    assert len(set(found.values())) == len(ODD) and DEFAULT not in found.values()
+    assert all(set(s) <= set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-._+~") for s in found.values())
+
+
+@pytest.mark.parametrize("merge", ["partition", "changed"])
+def test_odd_labels_merge(env, merge):
+    spec = env.spec("partitions", partitioning=ExpressionPartitions("grp", "grp"), dedup_scope=merge)
+    env.run().load(spec, env.frame(*[(i, g, i, JAN) for i, g in enumerate(ODD)], (100, "a/b", 100, JAN)))
+    env.run().load(spec, env.frame((0, "a/b", 1000, JAN), (50, "x:y", 50, JAN)))
+    want = [(i, i) for i in range(1, len(ODD))] + [(0, 1000), (50, 50), (100, 100)]
+    assert env.rows() == sorted(want)
+
+
+def test_odd_labels_upsert_moves_rows(env):
+    spec = env.spec("delta_upsert", partitioning=ExpressionPartitions("grp", "grp"))
+    env.run().load(spec, env.frame((1, "a:b", 1, JAN), (2, "c", 2, JAN)))
+    env.run().load(spec, env.frame((1, "c", 11, JAN)))
+    assert env.rows() == [(1, 11), (2, 2)]
+
+
+@pytest.mark.parametrize("backup", [True, False])
+def test_odd_labels_full_and_vacuum(env, backup):
+    spec = env.spec("full", partitioning=ListPartitions("grp", ("a:b", "c d")), keep_backup=backup)
+    env.run().load(spec, env.frame((1, "a:b", 1, JAN), (2, "c d", 2, JAN)))
+    env.run().load(spec, env.frame((3, "c d", 3, JAN)))
+    assert env.rows() == [(3, 3)]
+    table = Table(env.spark, spec.name, env.root)
+    if backup:
+        assert env.rows(table.backup()) == [(1, 1), (2, 2)]
+    table.vacuum()
+    assert env.rows() == [(3, 3)]
+
+
+@pytest.mark.parametrize("keys", [["id"], []])
+def test_overwrite_again_changes_nothing(env, keys):
+    spec = env.spec("partitions", partitioning=RANGES, merge_partitions=False, merge_keys=keys)
+    env.run().load(spec, env.frame((1, "a", 1, JAN), (9, "a", 9, "2020-01-01")))
+    delta = env.frame((2, "b", 2, JAN), (3, "b", 3, "2020-02-01"), (4, "b", 4, None))
+    for _ in range(2):
+        env.run().load(spec, delta)
+        assert env.rows() == [(2, 2), (3, 3), (4, 4), (9, 9)]
+
+
+def test_open_rows_stay_in_the_default_partition(env):
+    spec = env.spec("partitions", partitioning=RANGES)
+    env.run().load(spec, env.frame((1, "a", 1, JAN)))
+    env.run().load(spec, env.frame((2, "b", 2, "9999-12-31"), (3, "c", 3, "2024-04-05")))
+    assert env.parts() == [("2024-01-01", 1, 1), ("2024-04-01", 3, 3), (DEFAULT, 2, 2)]
+    grown, added = RANGES.extend(datetime(9999, 12, 31))
+    assert grown.last().end == END_OF_TIME and added
+    days = RangePartitions.of("dt", ("2024-01-01", "2024-01-03", "1 day"))
+    assert days.extend(datetime(2024, 1, 9))[0].last().end == date(2024, 1, 10)
+
+
+def test_default_only_table_takes_number_keys(env):
+    spec = env.spec("partitions", partitioning=RangePartitions("id"), delete_duplicates=True)
+    env.run().load(spec, env.frame((1, "a", 1, JAN)))
+    env.run().load(spec, env.frame((1, "a", 2, JAN), (5, "b", 5, JAN)))
+    assert env.rows() == [(1, 2), (5, 5)]
+
+
+@pytest.mark.parametrize("fmt, text", [("csv", "x,2024-99-01\n"), ("json", '{"n": "x"}\n')])
+def test_bad_values_fail(spark, tmp_path, fmt, text):
+    (tmp_path / "rows").write_text(text)
+    source = SourceSpec(fmt, "n int4, d date", path=str(tmp_path))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        read_source(spark, source).collect()
+    loose = SourceSpec(fmt, "n int4, d date", path=str(tmp_path), options={"mode": "PERMISSIVE"})
+    assert read_source(spark, loose).collect() == [(None, None)]
+
+
+def test_log_is_written_by_name(env):
+    env.run()
+    name, columns = env.log.table.name, env.log.table.read().columns
+    swapped = [columns[1], columns[0], *columns[2:]]
+    other = LoadLog(env.spark, env.root, f"{env.tag}_swapped", clock=env.log.clock)
+    env.spark.table(name).select(swapped).write.saveAsTable(other.table.name)
+    run = LoadRun(env.spark, env.root, other)
+    spec = env.spec("delta_upsert")
+    run.load(spec, env.frame((1, "a", 1, JAN)))
+    assert other.last_extraction(spec.name) == datetime(2024, 1, 1)
+    row = other.entries().first()
+    assert (row.object_name, row.invocation_id) == (spec.name, run.invocation_id)
+
+
+def test_lacking_log_column_stops_before_any_write(env):
+    env.run()
+    short = LoadLog(env.spark, env.root, f"{env.tag}_short")
+    env.spark.table(env.log.table.name).drop("load_type").write.saveAsTable(short.table.name)
+    with pytest.raises(ValueError, match="load_type"):
+        LoadRun(env.spark, env.root, short)
+
+
+def test_delete_insert_evaluates_the_delta_once(env):
+    spec = env.spec("delete_insert", partitioning=RANGES)
+    env.run().load(spec, env.frame((1, "a", 1, JAN), (2, "b", 2, "2024-02-03")))
+    seen = env.spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    delta = env.frame((1, "a", 11, JAN), (7, "c", 7, JAN)).mapInPandas(touch, FIELDS)
+    env.run().load(spec, delta)
+    assert env.rows() == [(1, 11), (2, 2), (7, 7)]
+    assert seen.value == 2
+
+
+def test_statistics_take_one_statement(env, monkeypatch):
+    spec = env.spec("partitions", partitioning=ExpressionPartitions("grp", "grp"))
+    env.run().load(spec, env.frame(*[(i, f"g{i}", i, JAN) for i in range(12)]))
+    said = []
+    sql = type(env.spark).sql
+    monkeypatch.setattr(type(env.spark), "sql", lambda self, q, *a, **k: said.append(q) or sql(self, q, *a, **k))
+    env.run().load(spec, env.frame(*[(i, f"g{i}", -i, JAN) for i in range(8)]))
+    assert sum("ANALYZE" in q for q in said) == 1
+    assert sum("DESCRIBE" in q for q in said) == 0
+
+
+def test_profile_ignores_the_end_of_time(spark):
+    rows = spark.createDataFrame([(datetime(2024, 1, 2),), (datetime(9999, 12, 31),)], "dt timestamp_ntz")
+    assert profile_of(rows, "dt").max_key == datetime(2024, 1, 2)
+
+

@@ -72,6 +72,9 @@ SUM_QUANTITY = "CAST(sum(CAST(l.l_quantity AS DECIMAL(19,4))) AS DECIMAL(29,4))
 SUM_DISCOUNT = "CAST(sum(CAST(l.l_discount AS DECIMAL(19,4))) AS DECIMAL(29,4)) AS discount"
 MONTH = "strftime(dt, '%Y%m')"
 
+#: Labels with characters that catalogs escape, as they are stored.
+ODD = "CASE WHEN status IN ('A', 'O') THEN 'a~2Fb' WHEN status IN ('F', 'N') THEN 'x~3Ay+~25' ELSE '~' END"
+
 MERGED_WITH_DEFAULT = f"""SELECT {COLS}, rt FROM (
     SELECT *, rank() OVER (PARTITION BY rt, orderkey ORDER BY rnk) AS k FROM (
         SELECT *, 1 AS rnk FROM d UNION ALL SELECT *, 2 AS rnk FROM t) q) z
@@ -80,7 +83,14 @@ OVERWRITTEN_NAMED = f"""SELECT {COLS}, rt FROM d WHERE rt IS NOT NULL
 UNION ALL
 SELECT {COLS}, rt FROM t
 WHERE rt IS NULL OR rt NOT IN (SELECT rt FROM d WHERE rt IS NOT NULL)"""
-STRAY = f"SELECT {COLS}, rt FROM d WHERE rt IS NULL"
+# Overwriting with rows that no named partition covers: in the default partition
+# they replace those with the same key.
+OVERWRITTEN_WITH_STRAY = f"""SELECT {COLS}, rt FROM d
+UNION ALL
+SELECT {COLS}, rt FROM t WHERE rt NOT IN (SELECT rt FROM d WHERE rt IS NOT NULL)
+UNION ALL
+SELECT {COLS}, rt FROM t WHERE rt IS NULL AND NOT EXISTS (
+    SELECT 1 FROM d WHERE d.rt IS NULL AND d.orderkey IS NOT DISTINCT FROM t.orderkey)"""
 PART_LABEL = "coalesce(strftime(rt, '%Y-%m-%d'), '__default__') AS part"
 
 ORACLE: dict[str, str] = {
@@ -176,7 +186,7 @@ WHERE k = 1 UNION ALL SELECT {COLS} FROM t WHERE rt IS NULL""",
     "load_partitions_overwrite": f"""
 {routed("lt", "ld")} SELECT {COLS} FROM ({OVERWRITTEN_NAMED}) m""",
     "load_partitions_overwrite_unrouted": f"""
-{routed("lt", "ld")} SELECT {COLS} FROM ({OVERWRITTEN_NAMED} UNION ALL {STRAY}) m""",
+{routed("lt", "ld")} SELECT {COLS} FROM ({OVERWRITTEN_WITH_STRAY}) m""",
     "load_partitions_overwrite_distinct": f"""
 {routed("lt", "ld")}
 SELECT DISTINCT {COLS} FROM (SELECT * FROM d UNION ALL SELECT * FROM d) q WHERE rt IS NOT NULL
@@ -261,7 +271,43 @@ GROUP BY 1, 2, 3""",
     "load_run_partitions_merge": f"""
 {routed("lt", "ld")} SELECT {COLS}, {PART_LABEL} FROM ({MERGED_WITH_DEFAULT}) m""",
     "load_run_partitions_overwrite": f"""
-{routed("lt", "ld")} SELECT {COLS}, {PART_LABEL} FROM ({OVERWRITTEN_NAMED} UNION ALL {STRAY}) m""",
+{routed("lt", "ld")} SELECT {COLS}, {PART_LABEL} FROM ({OVERWRITTEN_WITH_STRAY}) m""",
+    "load_run_overwrite_twice": f"""
+{routed("lt", "ld")} SELECT {COLS}, {PART_LABEL} FROM ({OVERWRITTEN_WITH_STRAY}) m""",
+    "load_run_merge_expression": f"""
+{LEDGER}, t AS (SELECT *, {ODD} AS part FROM lt), d AS (SELECT *, {ODD} AS part FROM ld)
+SELECT {COLS}, part FROM d
+UNION ALL
+SELECT {COLS}, part FROM t WHERE NOT EXISTS (
+    SELECT 1 FROM d WHERE d.part = t.part AND d.orderkey IS NOT DISTINCT FROM t.orderkey)""",
+    "load_run_merge_across": f"""
+{LEDGER}, t AS (SELECT *, {ODD} AS part FROM lt), d AS (SELECT *, {ODD} AS part FROM ld)
+SELECT {COLS}, part FROM (
+    SELECT *, row_number() OVER (PARTITION BY orderkey ORDER BY rnk, {TIES}) AS k FROM (
+        SELECT *, 1 AS rnk FROM d
+        UNION ALL
+        SELECT *, 2 AS rnk FROM t WHERE part IN (SELECT part FROM d)) q) z
+WHERE k = 1
+UNION ALL
+SELECT {COLS}, part FROM t WHERE part NOT IN (SELECT part FROM d)""",
+    "load_run_full_list": f"""
+{LEDGER} SELECT {COLS}, CASE WHEN status IN ('A', 'N') THEN status ELSE '__default__' END AS part FROM ld""",
+    "load_run_delete_insert": f"""
+{LEDGER} SELECT *, {label()} AS part
+FROM ({anti("lt", "ld", ["orderkey"], EQUAL)} UNION ALL SELECT * FROM ld) q""",
+    "load_run_truncate_insert": f"""
+{LEDGER} SELECT *, {label()} AS part FROM ld""",
+    "load_run_log": """
+WITH o AS (SELECT count(*) AS n, max(o_orderdate) AS top,
+                  count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_orderdate >= TIMESTAMP '2001-01-01') AS stray
+           FROM orders),
+l AS (SELECT count(*) AS n, max(l_shipdate) AS top, count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1996-01-01') AS stray FROM lineitem)
+SELECT CAST(2 AS BIGINT) AS status, 'init' AS load_type, n AS row_cnt, CAST(0 AS BIGINT) AS unrouted,
+       CAST(NULL AS TIMESTAMP) AS extraction_from, CAST(top AS TIMESTAMP) AS extraction_to FROM o
+UNION ALL
+SELECT 2, 'partitions', l.n, l.stray, CAST(NULL AS TIMESTAMP), CAST(l.top AS TIMESTAMP) FROM l
+UNION ALL
+SELECT 2, 'partitions', 0, 0, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP)""",
     "load_run_upsert_partitioned": f"""
 {LEDGER} SELECT *, {label()} AS part
 FROM ({anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld) q""",

@@ -24,6 +24,7 @@ from tidemark.operators.partitioning import (
     DEFAULT,
     PART,
     ExpressionPartitions,
+    ListPartitions,
     RangePartitions,
     part_start,
     prune,
@@ -44,6 +45,9 @@ RANGES = RangePartitions.of(
     "dt", ("1996-01-01", "2000-01-01", "1 year"), ("2000-01-01", "2001-01-01", "1 month")
 )
 MONTHS = ExpressionPartitions.monthly("dt")
+ODD_LABELS = ExpressionPartitions(
+    "status", "CASE WHEN status IN ('A', 'O') THEN 'a/b' WHEN status IN ('F', 'N') THEN 'x:y %' ELSE '' END"
+)
 LEDGER = ["orderkey", "ref", "status", "amount", "dt"]
 HISTORY = ["event_id", "ts", "k1", "k2", "value"]
 
@@ -468,29 +472,39 @@ def load_chain_e2e(spark, sf_dir):
     return _sales(_sales_inputs(spark, sf_dir, loaded), grain)
 
 
-def _run_ledger(strategy: str, **settings) -> Query:
-    """Load all orders into a range-partitioned table, then all lines by the
-    given strategy; returns the table with its partition labels."""
+def _ledger_runs(spark, sf_dir, strategy: str, times: int = 1, **settings) -> tuple[LoadRun, str]:
+    """Load all orders, then all lines by the given strategy."""
+    run, tag = _new_run(spark, datetime(2030, 1, 1))
+    base = {"partitioning": RANGES, "add_delta": False}
+    spec = LoadSpec(f"{tag}_ledger", strategy, ["orderkey"], "dt", **{**base, **settings})
+    run.load(spec, ledger_orders(spark, sf_dir))
+    for day in range(2, 2 + times):
+        run = _next_run(run, datetime(2030, 1, day))
+        run.load(spec, ledger_lines(spark, sf_dir))
+    return run, spec.name
+
+
+def _run_ledger(strategy: str, times: int = 1, **settings) -> Query:
+    """The table after such loads, with its partition labels."""
 
     def query(spark, sf_dir):
-        run, tag = _new_run(spark, datetime(2030, 1, 1))
-        spec = LoadSpec(
-            f"{tag}_ledger",
-            strategy,
-            ["orderkey"],
-            "dt",
-            partitioning=RANGES,
-            add_delta=False,
-            **settings,
-        )
-        run.load(spec, ledger_orders(spark, sf_dir))
-        run = _next_run(run, datetime(2030, 1, 2))
-        run.load(spec, ledger_lines(spark, sf_dir))
-        return run.table(spec.name).read_parts().withColumnRenamed(PART, "part")
+        run, name = _ledger_runs(spark, sf_dir, strategy, times, **settings)
+        return run.table(name).read_parts().withColumnRenamed(PART, "part")
 
     return query
 
 
+def load_run_log(spark, sf_dir):
+    """What the log says after an initial load, a delta and an empty delta."""
+    run, name = _ledger_runs(spark, sf_dir, "partitions")
+    run = _next_run(run, datetime(2030, 1, 3))
+    spec = LoadSpec(name, "partitions", ["orderkey"], "dt", partitioning=RANGES, add_delta=False)
+    run.load(spec, ledger_lines(spark, sf_dir).filter("orderkey IS NULL AND orderkey IS NOT NULL"))
+    return run.log.entries(F.col("object_name") == name).select(
+        "status", "load_type", "row_cnt", F.coalesce("unrouted", F.lit(0)).alias("unrouted"), "extraction_from", "extraction_to"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "scan_external_full": scan_external_full,
     "scan_external_delta": scan_external_delta,
@@ -558,6 +572,13 @@ QUERIES: dict[str, Query] = {
     "load_chain_e2e": load_chain_e2e,
     "load_run_partitions_merge": _run_ledger("partitions"),
     "load_run_partitions_overwrite": _run_ledger("partitions", merge_partitions=False),
+    "load_run_overwrite_twice": _run_ledger("partitions", 2, merge_partitions=False),
+    "load_run_merge_expression": _run_ledger("partitions", partitioning=ODD_LABELS),
+    "load_run_merge_across": _run_ledger("partitions", partitioning=ODD_LABELS, dedup_scope="changed"),
+    "load_run_full_list": _run_ledger("full", partitioning=ListPartitions("status", ("A", "N"))),
+    "load_run_delete_insert": _run_ledger("delete_insert"),
+    "load_run_truncate_insert": _run_ledger("truncate_insert"),
+    "load_run_log": load_run_log,
     "load_run_upsert_partitioned": _run_ledger("delta_upsert"),
     "load_run_delta_append": _run_ledger("delta"),
 }

@@ -2,8 +2,9 @@
 
 A partition is stored under a text label in the column ``PART``: the first day
 of a date range (``2001-03-01``), the value of an expression (``200103``) or a
-listed value. Rows outside every range or list, and NULL keys, carry the label
-``DEFAULT``. Specs are small driver-side values; routing is a column expression
+listed value, the latter two written so that every catalog shows them as they
+are (``stored_label``). Rows outside every range or list, and NULL keys, carry
+the label ``DEFAULT``. Specs are small driver-side values; routing is a column expression
 with one branch per segment, whatever the number of partitions.
 """
 
@@ -24,13 +25,31 @@ PART = "_part"
 DEFAULT = "__default__"
 END_OF_TIME = date(9999, 12, 31)
 
+#: What stands for an empty label and for a leading underscore.
+EMPTY_LABEL, UNDERSCORE = "~", "~5F"
+
 _EVERY = re.compile(r"^\s*(\d+)\s*(day|mon|month|year)s?\s*$", re.IGNORECASE)
 
 
+def stored_label(value: Column) -> Column:
+    """A value as a partition label of letters, digits and ``-._+~`` only.
+
+    Anything else would be escaped by catalogs and file systems, each in its own
+    way, and a label read back would not be the label that was written. Other
+    characters become ``~`` and their UTF-8 bytes in hexadecimal, blanks ``+``.
+    Different values get different labels, and none that of the default partition.
+    """
+    safe = F.replace(F.translate(F.url_encode(value), "%", "~"), F.lit("*"), F.lit("~2A"))
+    safe = F.when(safe.startswith("_"), F.concat(F.lit(UNDERSCORE), F.substring(safe, 2, 1 << 30))).otherwise(safe)
+    return F.when(value == "", EMPTY_LABEL).otherwise(safe)
+
+
 def add_months(day: date, months: int) -> date:
-    """Calendar months, clamped to the end of the month."""
+    """Calendar months, clamped to the end of the month; ``END_OF_TIME`` at most."""
     index = day.year * 12 + day.month - 1 + months
     year, month = divmod(index, 12)
+    if (year, month) >= (END_OF_TIME.year, 11):
+        return min(END_OF_TIME, date(min(year, 9999), month + 1, min(day.day, 28)) if year < 10000 else END_OF_TIME)
     following = date(year + (month == 11), (month + 1) % 12 + 1, 1)
     return date(year, month + 1, min(day.day, (following - timedelta(days=1)).day))
 
@@ -53,7 +72,18 @@ class Step:
     def after(self, day: date, times: int = 1) -> date:
         if self.months:
             return add_months(day, self.months * times)
-        return day + timedelta(days=self.days * times)
+        left = (END_OF_TIME - day).days
+        return day + timedelta(days=min(self.days * times, left))
+
+    def times_beyond(self, day: date, top: date) -> int:
+        """The least number of steps from ``day`` to beyond ``top``."""
+        if self.days:
+            return (top - day).days // self.days + 1
+        months = (top.year - day.year) * 12 + top.month - day.month
+        times = max(1, months // self.months)
+        while self.after(day, times) <= top:
+            times += 1
+        return times
 
 
 @dataclass(frozen=True)
@@ -200,6 +230,7 @@ class RangePartitions:
         last = self.last()
         if last is None:
             return None
+        # Lengths in days that tell days, months, quarters and years apart.
         days = (last.end - last.start).days
         if days < 28:
             return Step(days=1)
@@ -213,12 +244,11 @@ class RangePartitions:
         if last is None:
             return self, []
         top = to_datetime(highest)
-        if top is None or last.end > top.date():
+        if top is None or last.end > top.date() or last.end >= END_OF_TIME:
             return self, []
-        end, count = last.end, 0
-        while end <= top.date():
-            count += 1
-            end = step.after(last.end, count)
+        # The end of time marks open rows; no partition is made for it.
+        day = min(top.date(), END_OF_TIME - timedelta(days=1))
+        end = step.after(last.end, step.times_beyond(last.end, day))
         added = Segment(last.end, end, step)
         tail = self.segments[-1]
         if tail.step == step and tail.ranges()[-1][1] == step.after(tail.ranges()[-1][0]):
@@ -257,7 +287,7 @@ class ListPartitions:
 
     def label(self) -> Column:
         text = F.col(self.key).cast("string")
-        return F.when(text.isin(list(self.values)), text).otherwise(F.lit(DEFAULT))
+        return F.when(text.isin(list(self.values)), stored_label(text)).otherwise(F.lit(DEFAULT))
 
     def to_json(self) -> str:
         return json.dumps({"kind": "list", "key": self.key, "values": list(self.values)})
@@ -266,7 +296,9 @@ class ListPartitions:
 @dataclass(frozen=True)
 class ExpressionPartitions:
     """One partition per value of a SQL expression over the row, for example
-    ``date_format(orderdate, 'yyyyMM')``."""
+    ``date_format(orderdate, 'yyyyMM')``. The values must be few, as partitions
+    are: each is a directory and a catalog entry, and their labels pass through
+    the driver."""
 
     key: str
     expression: str
@@ -276,7 +308,7 @@ class ExpressionPartitions:
         return cls(key, f"date_format(`{key}`, 'yyyyMM')")
 
     def label(self) -> Column:
-        return F.coalesce(F.expr(self.expression).cast("string"), F.lit(DEFAULT))
+        return F.coalesce(stored_label(F.expr(self.expression).cast("string")), F.lit(DEFAULT))
 
     def to_json(self) -> str:
         return json.dumps({"kind": "expression", "key": self.key, "expression": self.expression})
@@ -331,6 +363,7 @@ def changed_partitions(delta: DataFrame, spec: Partitions) -> DataFrame:
 
 
 def _name(start: date, step: Step) -> str:
+    # Names of partitions by the length of their step.
     if step.days:
         return f"d_{start:%d_%m_%Y}"
     if step.months == 1:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.intervals import NTZ, to_datetime
 from tidemark.operators.keyed import key_bytes
-from tidemark.operators.partitioning import DEFAULT, PART
+from tidemark.operators.partitioning import DEFAULT, END_OF_TIME, PART
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,9 @@ def profile_columns(
     out = [F.count(F.lit(1)).alias("row_cnt")]
     if partition_key:
         key = _wall_clock(df, partition_key)
+        if isinstance(df.schema[partition_key].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            # Open rows are marked by the end of time; it is no key to grow to.
+            key = F.when(key < F.lit(END_OF_TIME), key)
         out += [F.min(key).alias("min_key"), F.max(key).alias("max_key")]
     if delta_field:
         out.append(F.max(_wall_clock(df, delta_field)).alias("max_delta"))

@@ -138,10 +138,16 @@ def partitions(
             rows = rows.dropDuplicates()
         touched = set(named)
         if stray:
-            # Nothing bounds the default partition, so it is added to.
+            # Nothing bounds the default partition, so it is not overwritten: the
+            # delta's rows replace those with the same key, or without keys those
+            # equal to them, and the same delta may come again.
             touched.add(DEFAULT)
-            rows = rows.unionByName(target.filter(F.col(PART) == DEFAULT)).unionByName(
-                delta.filter(F.col(PART) == DEFAULT)
+            own = delta.filter(F.col(PART) == DEFAULT)
+            keys = list(spec.merge_keys or comparable_columns(delta))
+            if spec.delete_duplicates:
+                own = own.dropDuplicates()
+            rows = rows.unionByName(
+                keyed.replace_matching(target.filter(F.col(PART) == DEFAULT), own, keys)
             )
         return Change(frozenset(touched), rows)
 
@@ -151,7 +157,7 @@ def partitions(
         return Change(touched, merge_across_partitions(old, delta, spec))
 
     touched = set(named)
-    if spec.delete_duplicates and isinstance(spec.partitioning, RangePartitions):
+    if spec.delete_duplicates and getattr(spec.partitioning, "segments", ()):
         # Every partition in the delta's range also loses its own duplicates.
         grown = grow(spec.partitioning, profile)
         touched |= labels_of(grown.overlapping(*profile.key_range()))
@@ -161,6 +167,11 @@ def partitions(
     return Change(frozenset(touched), merge_within_partitions(old, delta, spec, delta_key_bytes))
 
 
+def comparable_columns(df: DataFrame) -> list[str]:
+    """Columns that rows can be compared by."""
+    return [f.name for f in df.schema.fields if f.name != PART and "map<" not in f.dataType.simpleString()]
+
+
 def upsert_partitions(
     target: DataFrame,
     delta: DataFrame,

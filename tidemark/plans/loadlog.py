@@ -45,6 +45,7 @@ EVENT_FIELDS = T.StructType(
         *LOG_FIELDS.fields,
         T.StructField("entry_id", T.StringType()),
         T.StructField("event_no", T.LongType()),
+        T.StructField("unrouted", T.LongType()),
     ]
 )
 DEFAULT_TABLE = "load_info"
@@ -122,9 +123,11 @@ class LoadLog:
 
     def create_or_verify(self) -> list[str]:
         """Create the log when there is none; otherwise report the columns it
-        lacks."""
+        lacks, in whatever order it has the others. It may have more."""
         if self.table.exists():
-            return missing_columns(self.table.read().columns)
+            have = {name.lower() for name in self.table.read().columns}
+            own = [f.name for f in EVENT_FIELDS.fields[len(LOG_FIELDS) : -1]]
+            return missing_columns(list(have)) + [name for name in own if name not in have]
         empty = self.spark.createDataFrame([], EVENT_FIELDS)
         path, _ = self.table.write(empty.coalesce(1), _version(), Layout())
         self.table.create(path, EVENT_FIELDS)
@@ -201,6 +204,7 @@ class LoadLog:
         extraction_to: datetime | None,
         delta_field: str | None,
         model_sql: str | None = None,
+        unrouted: int = 0,
     ) -> None:
         """Complete all entries of this run for the object, or add one. A NULL
         high-water mark (empty delta) is ignored when marks are looked up."""
@@ -212,6 +216,7 @@ class LoadLog:
             "delta_field": delta_field,
             "model_sql": model_sql,
             "row_cnt": row_cnt,
+            "unrouted": unrouted,
         }
         # The entries of one run for one object are one or two.
         mine = self.entries(
@@ -220,7 +225,8 @@ class LoadLog:
         if not mine:
             self._insert(invocation_id=invocation_id, object_name=object_name, **changed)
         for row in mine:
-            self._write({**row.asDict(), **changed, "event_no": row["event_no"] + 1})
+            own = {name.lower(): value for name, value in row.asDict().items()}
+            self._write({**own, **changed, "event_no": row["event_no"] + 1})
 
     def insert_done(
         self, invocation_id: str, object_name: str, load_type: str, row_cnt: int, model_sql=None
@@ -260,8 +266,8 @@ class LoadLog:
 
     def _write(self, event: dict) -> None:
         columns = []
-        for field in EVENT_FIELDS.fields:
-            value = event.get(field.name)
+        for field in self.table.read().schema.fields:  # in the log's own order
+            value = event.get(field.name.lower())
             value = str(value) if isinstance(value, datetime) else value
             columns.append(F.lit(value).cast(field.dataType).alias(field.name))
         row = self.spark.range(0, 1, 1, 1).select(columns)

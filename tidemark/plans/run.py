@@ -66,7 +66,9 @@ class LoadRun:
         self.end_date = end_date
         self.full_refresh = full_refresh
         self.invocation_id = invocation_id or uuid.uuid4().hex
-        log.create_or_verify()
+        lacking = log.create_or_verify()
+        if lacking:
+            raise ValueError(f"{log.table.name} lacks the columns {', '.join(lacking)}")
 
     def table(self, name: str) -> Table:
         return Table(self.spark, name, self.root)
@@ -147,8 +149,7 @@ class LoadRun:
 
     def load(self, spec: LoadSpec, model: Model) -> LoadResult:
         spec.validate()
-        for hook in spec.pre_hooks:
-            hook(self.spark)
+        self._hooks(spec.pre_hooks)
         text = model if isinstance(model, str) else None
         if isinstance(model, str):
             df = self.spark.sql(model)
@@ -169,10 +170,14 @@ class LoadRun:
                 df = self._filter_auto(df, spec)
             result = self._load_delta(table, spec, align(df, table.schema()))
         self._log(spec, result, text)
-        for hook in spec.post_hooks:
-            hook(self.spark)
+        self._hooks(spec.post_hooks)
         return result
 
+    def _hooks(self, hooks) -> None:
+        """Callables get the session; text is run as SQL."""
+        for hook in hooks:
+            self.spark.sql(hook) if isinstance(hook, str) else hook(self.spark)
+
     def _version(self) -> str:
         """A directory name that a repeated run does not meet again."""
         return f"v_{self.invocation_id}_{uuid.uuid4().hex[:12]}"
@@ -191,6 +196,7 @@ class LoadRun:
             result.extraction_to,
             spec.delta_field,
             text,
+            result.unrouted,
         )
 
     def _new_content(self, spec: LoadSpec, df: DataFrame) -> DataFrame:
@@ -239,12 +245,37 @@ class LoadRun:
                 delta = route(delta, current)
                 table.move_base(self._version())
             seen = table.append(delta, spec.layout)
+        elif spec.strategy == "delete_insert":
+            return self._delete_insert(table, spec, delta, current)
         else:
-            target = table.read()
-            rows = getattr(strategies, spec.strategy)(target, delta, spec)
-            seen = self._replace_all(table, spec, rows, current, keep_backup=False)
+            seen = self._replace_all(table, spec, delta, current, keep_backup=False)
         return LoadResult(spec.strategy, seen.row_cnt)
 
+    def _delete_insert(
+        self, table: Table, spec: LoadSpec, delta: DataFrame, current: Partitions | None
+    ) -> LoadResult:
+        """The delta is staged first, so it is evaluated once and what is deleted
+        is what is inserted. Of partitions only those with a matching key or a
+        delta row are written."""
+        if current is not None:
+            delta = route(delta, current)
+        path, seen = table.write(delta, self._version(), spec.layout, keys=spec.keys)
+        touched: frozenset[str] = frozenset()
+        if seen.row_cnt:
+            staged = table.files(path, delta.schema)
+            plain = replace(spec, null_keys_match=False, delete_duplicates=False)
+            if current is None:
+                rows = strategies.delta_upsert(table.read(), staged, plain, seen.key_bytes)
+                out, _ = table.write(rows, self._version(), spec.layout)
+                table.point_to(out)
+            else:
+                change = strategies.upsert_partitions(
+                    table.read_parts(), staged, plain, seen, seen.key_bytes
+                )
+                self._commit(table, plain, change, seen)
+                touched = change.touched
+        return LoadResult(spec.strategy, seen.row_cnt, touched=touched)
+
     def _replace_all(
         self,
         table: Table,
@@ -320,8 +351,12 @@ class LoadRun:
         self, table: Table, spec: LoadSpec, staged: DataFrame, seen: Profile
     ) -> bool:
         """Can an upsert simply insert? Finding out reads the key columns only,
-        up to the first match, and saves rewriting the table."""
-        if spec.strategy != "delta_upsert":
+        up to the first match, and saves rewriting the table. It is only asked
+        where the delta's keys are broadcast: else the question alone would
+        shuffle all keys of the target."""
+        if spec.strategy != "delta_upsert" or seen.key_bytes is None:
+            return False
+        if seen.key_bytes > keyed.BROADCAST_KEY_BYTES:
             return False
         keys = table.read().select(*spec.keys)
         return keyed.with_matches(

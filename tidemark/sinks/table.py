@@ -25,7 +25,9 @@ PARTITIONING = "tidemark.partitioning"
 
 # Characters that Spark escapes in partition directory names.
 _ESCAPED = re.compile(r"[\x01-\x1f\"#%'*/:=?\\\x7f{\[\]^]")
-_ADD_BATCH = 200
+_BATCH = 200
+# Changed partitions up to which each gets a statement for its statistics.
+_SINGLY = 3
 
 
 def directory_name(label: str) -> str:
@@ -220,20 +222,22 @@ class Table:
                 f"SET LOCATION {_quote(f'{path}/{directory_name(label)}')}"
             )
         self._add({label: f"{path}/{directory_name(label)}" for label in written - present})
-        for label in sorted((set(touched) - written) & present):
-            self.spark.sql(
-                f"ALTER TABLE {self.quoted} DROP IF EXISTS PARTITION ({PART} = {_quote(label)})"
+        emptied = sorted((set(touched) - written) & present)
+        for at in range(0, len(emptied), _BATCH):
+            clauses = ", ".join(
+                f"PARTITION ({PART} = {_quote(label)})" for label in emptied[at : at + _BATCH]
             )
+            self.spark.sql(f"ALTER TABLE {self.quoted} DROP {clauses}")
         self.spark.catalog.refreshTable(self.name)
 
     def _add(self, places: dict[str, str]) -> None:
         ordered = sorted(places)
-        for at in range(0, len(ordered), _ADD_BATCH):
+        for at in range(0, len(ordered), _BATCH):
             clauses = " ".join(
                 f"PARTITION ({PART} = {_quote(label)}) LOCATION {_quote(places[label])}"
-                for label in ordered[at : at + _ADD_BATCH]
+                for label in ordered[at : at + _BATCH]
             )
-            self.spark.sql(f"ALTER TABLE {self.quoted} ADD IF NOT EXISTS {clauses}")
+            self.spark.sql(f"ALTER TABLE {self.quoted} ADD {clauses}")
         if ordered:
             self.spark.catalog.refreshTable(self.name)
 
@@ -263,8 +267,8 @@ class Table:
             return
         present = self.labels()
         chosen = sorted(set(labels) & present)
-        if len(chosen) * 2 > len(present):
-            # Most of the partitions: all of them in one statement.
+        if len(chosen) > _SINGLY:
+            # All partitions in one statement and one job, which reads file footers.
             self._analyze_partitions(PART)
             return
         for label in chosen:
