@@ -148,3 +148,12 @@ def test_profile_ignores_the_end_of_time(spark):
     assert profile_of(rows, "dt").max_key == datetime(2024, 1, 2)
 
 
+
+
+def test_rows_that_differ_in_a_map_are_ordered(spark):
+    from tidemark.operators.keyed import latest_per_key
+
+    rows = "SELECT 1 AS id, map('a', 1, 'b', 2) AS m UNION ALL SELECT 1, map('a', 1, 'b', 3)"
+    for parts in (1, 7):
+        found = latest_per_key(spark.sql(rows).repartition(parts), ["id"]).first()
+        assert found.m == {"a": 1, "b": 3}

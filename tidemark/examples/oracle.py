@@ -183,6 +183,19 @@ WHERE k = 1 UNION ALL SELECT {COLS} FROM t WHERE rt IS NULL""",
         SELECT *, 1 AS rnk FROM d WHERE rt IS NOT NULL
         UNION ALL SELECT *, 2 AS rnk FROM t WHERE rt IS NOT NULL) q) z
 WHERE k = 1 UNION ALL SELECT {COLS} FROM t WHERE rt IS NULL""",
+    "load_partitions_merge_rownum_unrouted": f"""
+{routed("ld", "lt")} SELECT {COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY rt, orderkey ORDER BY rnk, {TIES}) AS k FROM (
+        SELECT *, 1 AS rnk FROM d UNION ALL SELECT *, 2 AS rnk FROM t) q) z
+WHERE k = 1""",
+    "load_partitions_overwrite_distinct_unrouted": f"""
+{routed("lt", "ld")}
+SELECT DISTINCT {COLS} FROM (SELECT * FROM d UNION ALL SELECT * FROM d) q
+UNION ALL
+SELECT {COLS} FROM t WHERE rt NOT IN (SELECT rt FROM d WHERE rt IS NOT NULL)
+UNION ALL
+SELECT {COLS} FROM t WHERE rt IS NULL AND NOT EXISTS (
+    SELECT 1 FROM d WHERE d.rt IS NULL AND d.orderkey IS NOT DISTINCT FROM t.orderkey)""",
     "load_partitions_overwrite": f"""
 {routed("lt", "ld")} SELECT {COLS} FROM ({OVERWRITTEN_NAMED}) m""",
     "load_partitions_overwrite_unrouted": f"""

@@ -36,7 +36,7 @@ from tidemark.plans.loadlog import LoadLog
 from tidemark.plans.run import LoadRun
 from tidemark.plans.spec import LoadSpec
 from tidemark.plans.windows import Window
-from tidemark.session import configure, shared_folder
+from tidemark.session import configure
 from tidemark.sources.external import SourceSpec, read_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,8 +224,8 @@ def _sales_inputs(spark, sf_dir, orders=None):
         F.col("l_partkey").alias("partkey"),
         F.col("l_suppkey").alias("suppkey"),
         F.col("l_returnflag").alias("returnflag"),
-        F.col("l_quantity").cast("decimal(15,4)").alias("quantity"),
-        F.col("l_discount").cast("decimal(15,4)").alias("discount"),
+        F.col("l_quantity").cast("decimal(19,4)").alias("quantity"),
+        F.col("l_discount").cast("decimal(19,4)").alias("discount"),
     )
     customer = read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name")
@@ -234,10 +234,7 @@ def _sales_inputs(spark, sf_dir, orders=None):
 
 
 def _sales(inputs, grain):
-    """Decimals of up to 18 digits are summed as plain numbers, so the inputs
-    are kept that narrow and only the sums are widened."""
-    sums = {c: F.col(c).cast("decimal(29,4)") for c in ("quantity", "discount")}
-    return retail.sales_rows(*inputs, grain).withColumns(sums)
+    return retail.sales_rows(*inputs, grain)
 
 
 def sales_view(spark, sf_dir):
@@ -437,7 +434,9 @@ def load_log_verify(spark, sf_dir):
 def _new_run(spark: SparkSession, now: datetime) -> tuple[LoadRun, str]:
     configure(spark)
     tag = f"tm_{uuid.uuid4().hex[:12]}"
-    root = f"{shared_folder(spark)}/{tag}"
+    # Tables live where the cluster keeps tables, or in a folder set for the library.
+    home = spark.conf.get("tidemark.table.root", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{home.rstrip('/')}/{tag}"
     log = LoadLog(spark, root, f"{tag}_log", clock=lambda: now)
     return LoadRun(spark, root, log), tag
 
@@ -538,6 +537,12 @@ QUERIES: dict[str, Query] = {
     "load_partitions_merge_rownum": _combine_parts(
         ledger_lines, ledger_orders, delete_duplicates=True, unrouted="drop"
     ),
+    "load_partitions_merge_rownum_unrouted": _combine_parts(
+        ledger_lines, ledger_orders, delete_duplicates=True
+    ),
+    "load_partitions_overwrite_distinct_unrouted": _combine_parts(
+        ledger_orders, ledger_lines, twice=True, merge_partitions=False, delete_duplicates=True
+    ),
     "load_partitions_overwrite": _combine_parts(
         ledger_orders, ledger_lines, merge_partitions=False, unrouted="drop"
     ),

@@ -193,6 +193,7 @@ def stamped(rows: DataFrame, now: datetime) -> DataFrame:
 def external_source(table: str, fmt: str, path: str | None = None, **options) -> SourceSpec:
     """Dimensions without a change date are read in full, the others by
     window."""
+    # Change date, target, interval and safety period of each table.
     by_window = {
         "customer": ("c_modifiedts", "customer", "", "0 days"),
         "partsupp": ("ps_modifiedts", "partsupp", "1 day", "0 days"),
@@ -213,6 +214,7 @@ def external_source(table: str, fmt: str, path: str | None = None, **options) ->
     )
 
 
+# Key of the ledger.
 LEDGER_KEYS = [
     "ac_doc_ln",
     "ac_doc_nr",
@@ -230,6 +232,7 @@ LEDGER_KEYS = [
 
 
 def _ranges(key: str, first_year: int) -> RangePartitions:
+    # Years, and months of the running year.
     return RangePartitions.of(
         key,
         (f"{first_year}-01-01", "2023-01-01", "1 year"),
@@ -241,6 +244,7 @@ def _layout(*columns: str) -> Layout:
     return Layout(distributed_by=columns, compression="zstd", compression_level=1)
 
 
+# Strategies, keys and layouts of the example tables.
 LOADS = {
     "nation": LoadSpec("nation", "full"),
     "region": LoadSpec("region", "full"),

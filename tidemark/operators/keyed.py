@@ -101,12 +101,17 @@ def latest_order(df: DataFrame, keys: Sequence[str], delta_field: str | None) ->
     """A total order within a key: newest first, NULLs before values, then the
     remaining columns, so that a recomputed task picks the same row again."""
     first = [delta_field] if delta_field else []
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in keys and f.name not in first and not isinstance(f.dataType, T.MapType)
-    ]
-    return [F.col(name).desc_nulls_first() for name in [*first, *rest]]
+    rest = [f.name for f in df.schema.fields if f.name not in keys and f.name not in first]
+
+    def sortable(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if "map<" not in kind.simpleString():
+            return F.col(name)
+        if isinstance(kind, T.MapType) and "map<" not in kind.valueType.simpleString():
+            return F.array_sort(F.map_entries(name))
+        return F.to_json(F.struct(name))  # maps inside other types
+
+    return [sortable(name).desc_nulls_first() for name in [*first, *rest]]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], delta_field: str | None = None) -> DataFrame:
