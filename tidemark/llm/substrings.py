@@ -28,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_of
 
 WINDOW = 20
-GROUP = 1_000_000
+GROUP = 2_000_000
 PREFIXES, CODE_BITS = (1, 2, 4, 8), 10
 #: Bytes of text that are hashed at once.
 BLOCK_BYTES = 4 << 20
@@ -180,7 +181,8 @@ def plan_groups(counts: np.ndarray, group: int = GROUP) -> tuple[np.ndarray, int
 def ascending(values: np.ndarray) -> bytes:
     """Ascending numbers by their steps, in the width the largest step needs."""
     steps = np.diff(values.astype(np.int64), prepend=0)
-    width = next(w for w in ("<u1", "<u2", "<u4", "<i8") if w == "<i8" or not len(steps) or (steps[0] >= 0 and steps.max() < 256 ** int(w[2])))
+    top = int(steps.max()) if len(steps) and steps[0] >= 0 else -(len(steps) > 0)
+    width = next((w for w in ("<u1", "<u2", "<u4") if 0 <= top < 256 ** int(w[2])), "<i8")
     return width.encode() + steps.astype(width).tobytes()
 
 
@@ -189,16 +191,27 @@ def ascended(data: bytes) -> np.ndarray:
 
 
 SUFFIXES = (
-    "group int, doc_ids binary, known binary, text_hashes binary, firsts binary, places binary, paths binary, again binary"
+    "group int, block long, doc_ids binary, known binary, text_hashes binary, firsts binary, places binary,"
+    " paths binary, again binary"
 )
+BLOCKS = "block long, doc_ids binary, known binary, text_hashes binary, firsts binary, places binary"
+
+
+def repeated_ids(rows: DataFrame) -> bool:
+    """Does an identifier occur twice? Only then do suffixes carry text hashes."""
+    return not rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
 
 
 def suffixes(rows: DataFrame, groups: np.ndarray, number: int, rest: int) -> DataFrame:
     """A row for each block and group: distinct paths and their first places.
-    ``rest`` groups hold what has no prefix of its own."""
+    ``rest`` groups hold what has no prefix of its own. Groups below 0 hold what
+    documents the blocks consist of."""
+    told_apart = repeated_ids(rows)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for keys, text_hashes, texts in _blocks(batches):
+        names = [x.split()[0] for x in SUFFIXES.split(", ")]
+        for number_of, (keys, text_hashes, texts) in enumerate(_blocks(batches)):
+            block = (TaskContext.get().partitionId() << 32) | number_of
             words = Words(texts)
             _, at = words.windows()
             if not len(at):
@@ -216,7 +229,20 @@ def suffixes(rows: DataFrame, groups: np.ndarray, number: int, rest: int) -> Dat
             known = np.array([k[1] for k in keys], np.uint8)
             hashes = np.array(text_hashes, np.int64)
             cuts = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
-            out = []
+            nothing = ascending(at[:0])
+            out = [
+                (
+                    -1 - block % number,
+                    block,
+                    ascending(ids),
+                    known.tobytes(),
+                    hashes.tobytes(),
+                    ascending(words.first[:-1]),
+                    nothing,
+                    b"",
+                    nothing,
+                )
+            ]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 fresh = new[a:b]
                 place, own = at[a:b][fresh], path[a:b][fresh]
@@ -226,33 +252,38 @@ def suffixes(rows: DataFrame, groups: np.ndarray, number: int, rest: int) -> Dat
                 out.append(
                     (
                         int(to[a]),
+                        block,
                         ascending(ids[used]),
                         known[used].tobytes(),
-                        hashes[used].tobytes(),
+                        hashes[used].tobytes() if told_apart else b"",
                         ascending(words.first[used]),
                         ascending(place[by_place]),
                         own[by_place].tobytes(),
                         ascending(again),
                     )
                 )
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in SUFFIXES.split(", ")])
+            yield pd.DataFrame(out, columns=names)
 
     return rows.mapInPandas(send, SUFFIXES)
 
 
 def repeats(group: pd.DataFrame) -> pd.DataFrame:
-    """Places of a group's suffixes whose path stands earlier too."""
-    ids, known, hashes, document, place, path, again_document, again_place = ([] for _ in range(8))
-    count = 0
+    """Places in each block of a group's suffixes whose path stands earlier too."""
+    if group["group"].iloc[0] < 0:
+        return group[[x.split()[0] for x in BLOCKS.split(", ")]]
+    ids, known, hashes, document, place, path = ([] for _ in range(6))
+    again, sizes, count = [], [], 0
     for row in group.itertuples():
-        firsts, at, again = ascended(row.firsts), ascended(row.places), ascended(row.again)
-        for places, documents, own in ((at, document, place), (again, again_document, again_place)):
-            k = np.searchsorted(firsts, places, side="right") - 1
-            documents.append(k + count)
-            own.append(places - firsts[k])
+        firsts, at = ascended(row.firsts), ascended(row.places)
+        k = np.searchsorted(firsts, at, side="right") - 1
+        document.append(k + count)
+        place.append(at - firsts[k])
+        again.append(ascended(row.again))
+        sizes.append(len(at))
         ids.append(ascended(row.doc_ids))
         known.append(np.frombuffer(row.known, np.uint8))
-        hashes.append(np.frombuffer(row.text_hashes, np.int64))
+        own = np.frombuffer(row.text_hashes, np.int64)
+        hashes.append(own if len(own) else np.zeros(len(firsts), np.int64))
         path.append(np.frombuffer(row.paths, np.uint64))
         count += len(firsts)
     ids, known, hashes, document, place, path = map(np.concatenate, (ids, known, hashes, document, place, path))
@@ -264,39 +295,54 @@ def repeats(group: pd.DataFrame) -> pd.DataFrame:
     rank[order] = np.cumsum(change) - 1
     when = (rank[document] << 32) | place
     order = np.lexsort((when, path))
-    path, sorted_when = path[order], when[order]
+    path, when = path[order], when[order]
     start = np.flatnonzero(np.diff(path, prepend=path[:1] ^ U(1)) != 0)
-    earliest = np.repeat(sorted_when[start], np.diff(np.append(start, len(path))))
-    later = order[sorted_when != earliest]
-    document = np.concatenate([document[later], *again_document])
-    place = np.concatenate([place[later], *again_place])
-    order = np.lexsort((place, document))
-    document, place = document[order], place[order]
+    earliest = np.repeat(when[start], np.diff(np.append(start, len(path))))
+    later = np.zeros(len(path), bool)
+    later[order] = when != earliest
+    found, a = [], 0
+    for row, own, n in zip(group.itertuples(), again, sizes, strict=True):
+        at = ascended(row.places)[later[a : a + n]]
+        a += n
+        if len(at) or len(own):
+            found.append((row.block, b"", b"", b"", b"", ascending(np.sort(np.concatenate([at, own])))))
+    return pd.DataFrame(found, columns=[x.split()[0] for x in BLOCKS.split(", ")])
+
+
+def by_document(block: pd.DataFrame) -> pd.DataFrame:
+    """A block's places, document by document."""
+    is_table = block["firsts"].map(len) > 0
+    table = block[is_table].iloc[0]
+    places = np.sort(np.concatenate([np.zeros(0, np.int64), *map(ascended, block["places"][~is_table])]))
+    firsts = ascended(table.firsts)
+    document = np.searchsorted(firsts, places, side="right") - 1
     start = np.flatnonzero(np.diff(document, prepend=-1))
-    found = [p.astype("<u4").tobytes() for p in np.split(place, start[1:])] if len(start) else []
     which = document[start]
-    doc_ids = pd.array(ids[which], dtype="Int64")
-    doc_ids[known[which] == 0] = pd.NA
-    return pd.DataFrame({"doc_id": doc_ids, "text_hash": hashes[which], "places": found})
+    own = np.split(places - firsts[document], start[1:]) if len(start) else []
+    doc_ids = pd.array(ascended(table.doc_ids)[which], dtype="Int64")
+    doc_ids[np.frombuffer(table.known, np.uint8)[which] == 0] = pd.NA
+    text_hashes = np.frombuffer(table.text_hashes, np.int64)[which]
+    return pd.DataFrame({"doc_id": doc_ids, "text_hash": text_hashes, "places": list(map(ascending, own))})
 
 
 def repeated_places(documents: DataFrame, group: int = GROUP) -> DataFrame:
     """doc_id, text_hash, places: words at which a window starts that also starts
-    earlier; several rows for a document."""
+    earlier, as ``ascending`` writes them."""
     rows = _rows(documents)
     counts = census(rows)
     groups, number = plan_groups(counts, group)
     # What no prefix places is at most what the longest prefixes leave.
     common = int(counts[-1][counts[-1] > group].sum())
     sent = suffixes(rows, groups, number, 1 + common // group)
-    return sent.groupBy("group").applyInPandas(repeats, FLAGS)
+    found = sent.groupBy("group").applyInPandas(repeats, BLOCKS)
+    return found.groupBy("block").applyInPandas(by_document, FLAGS)
 
 
 def covered(n_words: int, places: list[bytes]) -> np.ndarray:
     """Which words a window starting at one of the places covers."""
     steps = np.zeros(n_words + 1, np.int64)
     for own in places:
-        at = np.frombuffer(own, "<u4").astype(np.int64)
+        at = ascended(own)
         np.add.at(steps, at, 1)
         np.add.at(steps, at + WINDOW, -1)
     return np.cumsum(steps[:-1]) > 0
