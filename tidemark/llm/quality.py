@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored, text_of
@@ -39,44 +39,52 @@ BELIEF = np.array([[0.25, 0.08, 0.67], [0.004, 0.046, 0.95]])
 TRUST = 0.25
 
 
-def labellers(text: Column) -> dict[str, Column]:
-    """Votes of each labeller."""
-    n = F.length(text)
-    words = F.size(F.split(text, r"\s+"))
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
-    marks = F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s]", ""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
-    tokens = F.split(text, r"\s+")
-    follow = F.size(F.array_distinct(tokens)) / F.size(tokens)
-    upper = F.length(F.regexp_replace(text, r"[^\p{Lu}]", "")) / F.greatest(letters, F.lit(1))
-    mean_word = letters / F.greatest(words, F.lit(1))
-    ends = F.length(F.regexp_replace(text, r"[^.!?]", ""))
-
-    def vote(good: Column, bad: Column) -> Column:
-        return F.when(bad, -1).when(good, 1).otherwise(0).cast("int")
-
-    return {
-        "symbols": vote(marks < 0.05 * n, marks > 0.15 * n),
-        "letters": vote(letters > 0.75 * n, letters < 0.6 * n),
-        "variety": vote((follow > 0.45) & (words > 20), (follow < 0.3) & (words > 20)),
-        "lines": vote(
-            F.size(F.array_distinct(lines)) == F.size(lines), F.size(F.array_distinct(lines)) < 0.7 * F.size(lines)
-        ),
-        "case": vote(upper < 0.1, upper > 0.4),
-        "word_length": vote(mean_word.between(2.5, 8), ~mean_word.between(1.5, 14)),
-        "sentences": vote((ends > 0) & (words / F.greatest(ends, F.lit(1)) < 60), (words > 80) & (words > 200 * ends)),
-        "length": vote(words > 30, words < 4),
-    }
+#: Classes of bytes: letters (and all of what is not ASCII), marks, capitals, ends of sentences.
+LETTERS, MARKS, CAPITALS, ENDS = (np.zeros(256, np.int64) for _ in range(4))
+LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 1
+CAPITALS[65:91] = 1
+ENDS[[33, 46, 63]] = 1
+NAMES = ("symbols", "letters", "variety", "lines", "case", "word_length", "sentences", "length")
+
+
+def votes_of(text: str) -> list[int]:
+    """Votes of the labellers, in the order of ``NAMES``."""
+    data = text.encode("utf-8", "surrogatepass")
+    count = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
+    n, letters, marks = max(1, len(data)), int(LETTERS @ count), int(MARKS @ count)
+    capitals, ends = int(CAPITALS @ count), int(ENDS @ count)
+    words = data.split()
+    lines = [x for x in data.split(b"\n") if x.strip()]
+    new_words = len(set(words)) / max(1, len(words))
+    new_lines = len(set(lines)) / max(1, len(lines))
+    mean = letters / max(1, len(words))
+
+    def vote(good: bool, bad: bool) -> int:
+        return -1 if bad else int(good)
+
+    return [
+        vote(marks < 0.05 * n, marks > 0.12 * n),
+        vote(letters > 0.75 * n, letters < 0.62 * n),
+        vote(new_words > 0.45, len(words) > 20 and new_words < 0.3),
+        vote(new_lines == 1, new_lines < 0.7),
+        vote(capitals < 0.1 * letters, capitals > 0.4 * max(1, letters)),
+        vote(2.5 <= mean <= 9, not 1.5 <= mean <= 15),
+        vote(ends > 0 and len(words) < 60 * ends, len(words) > 80 and len(words) > 200 * ends),
+        vote(len(words) > 30, len(words) < 4),
+    ]
 
 
-NAMES = tuple(("symbols", "letters", "variety", "lines", "case", "word_length", "sentences", "length"))
+def with_votes(documents: DataFrame) -> DataFrame:
+    """doc_id, h (a hash of the text) and votes of each document."""
 
+    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[["doc_id", "h"]].assign(votes=[votes_of(t) for t in batch["text"]])
 
-def with_votes(documents: DataFrame) -> DataFrame:
-    """doc_id, text, votes (array, in the order of ``NAMES``)."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    votes = labellers(F.col("text"))
-    return rows.select("doc_id", "text", F.array(*[votes[n] for n in NAMES]).alias("votes"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    return rows.mapInPandas(vote, "doc_id long, h long, votes array<int>")
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, dict]:
@@ -125,7 +133,12 @@ def buckets(text: str) -> np.ndarray:
 
 def linear(text: str, weights: np.ndarray) -> float:
     """Weights of the text's buckets, by the length of its count vector."""
-    place, count = np.unique(buckets(text), return_counts=True)
+    own = buckets(text)
+    if len(own) < BUCKETS // 8:
+        place, count = np.unique(own, return_counts=True)
+    else:
+        count = np.bincount(own, minlength=BUCKETS)
+        place = slice(BUCKETS)
     return float(weights[place] @ count / np.sqrt((count * count).sum()))
 
 
@@ -152,7 +165,7 @@ def train(texts: list[str], posterior: np.ndarray, epochs: int = 12, rate: float
 def quality_scores(documents: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, posterior, score, keep, predicted, votes of each document. The score
     is the mean of what the labellers' posterior and the hashed scorer say."""
-    votes = stored(with_votes(documents).select("doc_id", "votes", F.xxhash64("text").alias("h")), "quality-votes")
+    votes = stored(with_votes(documents), "quality-votes")
     by_pattern, _ = posteriors(votes)
     chosen = votes.select("doc_id", "votes", "h").orderBy("h", "doc_id").limit(rows)  # the documented bound of the fit
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
@@ -170,7 +183,8 @@ def quality_scores(documents: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, w = shared.value
         for batch in batches:
-            posterior = np.array([table[tuple(v)] for v in batch["votes"]])
+            votes = [votes_of(t) for t in batch["text"]]
+            posterior = np.array([table[tuple(v)] for v in votes])
             z = np.array([linear(t, w) for t in batch["text"]]) + w[-1]
             hashed = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             value = (posterior + hashed) / 2
@@ -181,9 +195,9 @@ def quality_scores(documents: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
                     "score": value,
                     "keep": value >= THRESHOLD,
                     "predicted": (value >= THRESHOLD).astype("int32"),
-                    "votes": batch["votes"],
+                    "votes": votes,
                 }
             )
 
     schema = "doc_id long, posterior double, score double, keep boolean, predicted int, votes array<int>"
-    return with_votes(documents).mapInPandas(score, schema)
+    return own.mapInPandas(score, schema)
