@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_of
-from tidemark.llm.tokens import LETTERS, REMEMBERED, SPACE, lettered
+from tidemark.llm.tokens import LETTERS, SPACE, Memory, lettered
 
 LEAF = 16_384
 #: Longest string given to the library's merges in one go.
@@ -37,6 +37,8 @@ UNIT = 2048
 #: Fixed value: how the vocabulary cuts texts into pre-tokens.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PUNCTUATION = frozenset(".,;:!?")
+#: What a worker remembers at most.
+CHUNKS, PIECES = 300_000, 300_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 LEAVES = "row long, doc_id long, segment int, leaf int, special boolean, text binary"
 
@@ -65,27 +67,22 @@ class ByteBpe:
         self.bytes_of = [
             special[i].encode() if i in special else bytes(byte_of[c] for c in tokenizer.id_to_token(i)) for i in range(size)
         ]
+        self.decimal = list(map(str, range(size)))
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.chunks = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
         space = f"[{SPACE}]", f"[^{SPACE}]"
         pattern = PRETOKEN.replace(r"[^\s", "[^" + SPACE).replace(r"\s", space[0]).replace(r"\S", space[1])
         self.pretokens = regex.compile(pattern).findall
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known = Memory(self.chunk, CHUNKS)
+        self.pieces = Memory(self.piece, PIECES)
 
     # Pre-tokens.
 
     def piece(self, piece: str) -> bytes:
         """Ids of one pre-token."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(piece) > UNIT:
-                return self.halves(piece)
-            ids = packed([t.id for t in self.model.tokenize(lettered(piece))])
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
+        if len(piece) > UNIT:
+            return self.halves(piece)
+        return packed([t.id for t in self.model.tokenize(lettered(piece))])
 
     def halves(self, piece: str) -> bytes:
         """Ids of a long pre-token, from its halves."""
@@ -118,47 +115,39 @@ class ByteBpe:
 
     # Texts.
 
-    def chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids of what stands between two cuts at white space, and their decimals."""
-        known = self.known.get(chunk)
-        if known is None:
-            word, end = (chunk[:-1], chunk[-1]) if chunk[-1] in PUNCTUATION else (chunk, "")
-            bare = word[1:] if word[:1] == " " else word
-            if bare.isalpha():
-                ids = self.piece(word) + (self.piece(end) if end else b"")
-            else:
-                ids = b"".join(map(self.piece, self.pretokens(chunk)))
-            known = ids, ",".join(map(str, unpacked(ids)))
-            if len(chunk) <= UNIT:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[chunk] = known
-        return known
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of what stands between two cuts at white space."""
+        word, end = (chunk[:-1], chunk[-1]) if chunk[-1] in PUNCTUATION else (chunk, "")
+        bare = word[1:] if word[:1] == " " else word
+        if bare.isalpha():
+            return self.pieces[word] + self.pieces[end] if end else self.pieces[word]
+        return b"".join(map(self.pieces.__getitem__, self.pretokens(chunk)))
 
     def segments(self, text: str) -> list[str]:
         """The text cut before and after special tokens; every second is one."""
         return self.cut_special.split(text)
 
-    def encoded(self, text: str) -> list[tuple[bytes, str]]:
-        """Ids and decimals, chunk by chunk."""
-        out: list[tuple[bytes, str]] = []
+    def encoded(self, text: str) -> bytes:
+        """Ids, chunk by chunk."""
+        out: list[bytes] = []
         for k, segment in enumerate(self.segments(text)):
             if k % 2:
-                i = self.special[segment]
-                out.append((packed([i]), str(i)))
+                out.append(packed([self.special[segment]]))
             else:
-                out.extend(map(self.chunk, self.chunks(segment)))
-        return out
+                out.extend(map(self.known.__getitem__, self.chunks(segment)))
+        return b"".join(out)
+
+    def decoded(self, ids: list[int]) -> str:
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
-    def decoded(self, ids: bytes) -> str:
-        table = self.bytes_of
-        return b"".join([table[i] for i in unpacked(ids)]).decode("utf-8", errors="replace")
+    def decimals(self, ids: list[int]) -> str:
+        return ",".join(map(self.decimal.__getitem__, ids))
 
     # Leaves of a tree.
 
     def leaf(self, text: str) -> Part:
         pieces = self.pretokens(text)
-        return Part(pieces, [self.piece(p) for p in pieces])
+        return Part(pieces, [self.pieces[p] for p in pieces])
 
     def tree(self, parts: list[Part]) -> Part:
         """Neighbours are joined, then neighbours of these, up to the whole."""
@@ -188,7 +177,7 @@ class ByteBpe:
             if piece == across and len(piece) > UNIT:
                 ids.append(packed(self.join_ids(unpacked(left.ids[-1]), unpacked(right.ids[0]))))
             else:
-                ids.append(self.piece(piece))
+                ids.append(self.pieces[piece])
         return Part(left.pieces[:-a] + window + right.pieces[b:], left.ids[:-a] + ids + right.ids[b:])
 
 
@@ -211,11 +200,12 @@ def halved(text: str, leaf: int = LEAF) -> list[str]:
     return halved(text[:middle], leaf) + halved(text[middle:], leaf)
 
 
-def _digest(bpe: ByteBpe, doc_id, ids: bytes, decimals: list[str]) -> tuple:
+def _digest(bpe: ByteBpe, doc_id, packed_ids: bytes) -> tuple:
+    ids = unpacked(packed_ids)
     return (
         None if pd.isna(doc_id) else int(doc_id),
-        len(ids) // 4,
-        hashlib.sha256(",".join(decimals).encode()).hexdigest(),
+        len(ids),
+        hashlib.sha256(bpe.decimals(ids).encode()).hexdigest(),
         hashlib.sha256(bpe.decoded(ids).encode()).hexdigest(),
     )
 
@@ -235,11 +225,8 @@ def token_digests(documents: DataFrame, tokenizer: str, leaf: int = LEAF) -> Dat
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer)
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                parts = bpe.encoded(text)
-                out.append(_digest(bpe, doc_id, b"".join([p[0] for p in parts]), [p[1] for p in parts if p[1]]))
-            yield _results(out)
+            rows = zip(batch["doc_id"], batch["text"], strict=True)
+            yield _results([_digest(bpe, doc_id, bpe.encoded(text)) for doc_id, text in rows])
 
     short = rows.filter(F.length("text") <= leaf).mapInPandas(whole, RESULT)
     return short.unionByName(long_digests(rows.filter(F.length("text") > leaf), tokenizer, leaf))
@@ -295,9 +282,8 @@ def long_digests(rows: DataFrame, tokenizer: str, leaf: int = LEAF) -> DataFrame
             for own, counts in zip(segment["ids"], segment["counts"], strict=True):
                 ends = (4 * np.cumsum(np.frombuffer(counts, "<u4"))).tolist()
                 pieces = [own[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-                parts.append(Part([bpe.decoded(p) for p in pieces], pieces))
+                parts.append(Part([bpe.decoded(unpacked(p)) for p in pieces], pieces))
             ids.extend(bpe.tree(parts).ids)
-        whole = b"".join(ids)
-        return _results([_digest(bpe, leaves["doc_id"].iloc[0], whole, list(map(str, unpacked(whole))))])
+        return _results([_digest(bpe, leaves["doc_id"].iloc[0], b"".join(ids))])
 
     return encoded_leaves(rows, tokenizer, leaf).groupBy("row").applyInPandas(joined, RESULT)

@@ -49,14 +49,14 @@ def packed(ids: list[int]) -> bytes:
 class Memory(dict):
     """Remembers what ``find`` gives for a key; emptied when full."""
 
-    def __init__(self, find):
+    def __init__(self, find, size: int = REMEMBERED):
         super().__init__()
-        self.find = find
+        self.find, self.size = find, size
 
     def __missing__(self, key):
         found = self.find(key)
         if len(key) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.size:
                 self.clear()
             self[key] = found
         return found
