@@ -22,7 +22,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     find the package where the driver found it."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     # Rows may be long: batches for Python stay small.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return configure(spark)
 
 
@@ -56,6 +56,21 @@ def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def hand_back() -> None:
+    """Returns memory that a finished task has freed to the system. Workers live
+    on for other tasks, and what they keep counts against the executor."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str):
     """Session settings for a while. Keys are given with ``__`` for dots."""

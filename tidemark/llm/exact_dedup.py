@@ -74,6 +74,7 @@ class ExactDedup:
             spark__sql__streaming__stateStore__providerClass=ROCKSDB,
             spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
             spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
+            spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="100",
             # Else each partition's store reserves some megabytes of disk, however small it is.
             spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
         ):

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small, stored, text_of
+from tidemark.llm.common import hand_back, small, stored, text_of
 from tidemark.llm.graph import components
 
 SHINGLE_WORDS, RADIUS = 3, 2
@@ -98,7 +98,7 @@ def pivots_allow(left: str, right: str, radius: int) -> Column:
     allowed = F.lit(True)
     for i in range(PIVOTS):
         one, other = (
-            F.shiftright(F.col(f"{side}.p{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255)) for side in (left, right)
+            F.shiftright(F.col(f"{side}p{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255)) for side in (left, right)
         )
         allowed = allowed & (F.abs(one - other) <= radius)
     return allowed
@@ -126,7 +126,7 @@ def linked(classes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Da
     near = F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp"))) <= radius
     same_key = (F.col("l.kind") == F.col("r.kind")) & (F.col("l.key") == F.col("r.key"))
     pairs = rows.alias("l").join(
-        rows.alias("r"), same_key & (F.col("l.fp") < F.col("r.fp")) & pivots_allow("l", "r", radius) & near
+        rows.alias("r"), same_key & (F.col("l.fp") < F.col("r.fp")) & pivots_allow("l.", "r.", radius) & near
     )
     return pairs.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
 
@@ -191,6 +191,7 @@ def wide_signatures(documents: DataFrame) -> DataFrame:
             for k in range(WORDS64):
                 out[f"w{k}"] = wide[:, k]
             yield out.assign(keys=list(keys))
+        hand_back()
 
     rows = documents.select(*_key(), text_of().alias("text")).filter(F.length(F.trim("text")) > 0)
     schema = "doc_id long, text_hash long, w0 long, w1 long, w2 long, w3 long, keys array<int>"
@@ -206,13 +207,14 @@ def apart(left: str, right: str) -> Column:
 
 def candidates(signatures: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
     """Pairs of nodes within the radius that share a key: a, b."""
-    spread = signatures.select("node", *pivot_table(F.col("w0")), "w0", "w1", "w2", "w3", F.posexplode("keys").alias("t", "key"))
+    spread = signatures.select("node", F.posexplode("keys").alias("t", "key"))
     counts = stored(spread.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), "wide-keys")
-    # The key's row tells which way its members take.
-    shared = spread.join(counts, ["t", "key"])
+    # Most keys belong to one document: those rows end here, before fingerprints are attached.
+    rows = stored(spread.join(small(counts, 32), ["t", "key"]), "wide-shared")
+    shared = rows.join(signatures.select("node", *pivot_table(F.col("w0")), "w0", "w1", "w2", "w3"), "node")
     few = shared.filter(F.col("n") <= CROWD)
     one, other = (few.select(*[F.col(c).alias(f"{s}_{c}") for c in few.columns]) for s in ("l", "r"))
-    near = apart("l_", "r_") <= radius
+    near = pivots_allow("l_", "r_", radius) & (apart("l_", "r_") <= radius)
     pairs = one.join(
         other, (F.col("l_t") == F.col("r_t")) & (F.col("l_key") == F.col("r_key")) & (F.col("l_node") < F.col("r_node")) & near
     ).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"))

@@ -32,13 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import hand_back, text_of
 
 WINDOW = 20
 GROUP = 2_000_000
 PREFIXES, CODE_BITS = (1, 2, 4, 8), 10
 #: Bytes of text that are hashed at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 U = np.uint64
 FLAGS = "doc_id long, text_hash long, places binary"
 
@@ -69,7 +69,7 @@ class Powers:
 
     def __call__(self, n: int) -> np.ndarray:
         if n > len(self.values):
-            steps = np.full(2 * n, self.base, np.uint64)
+            steps = np.full(n + n // 8, self.base, np.uint64)
             steps[0] = 1
             self.values = np.multiply.accumulate(steps)
         return self.values[:n]
@@ -263,6 +263,7 @@ def suffixes(rows: DataFrame, groups: np.ndarray, number: int, rest: int) -> Dat
                     )
                 )
             yield pd.DataFrame(out, columns=names)
+        hand_back()
 
     return rows.mapInPandas(send, SUFFIXES)
 

@@ -25,6 +25,7 @@ texts are scored: no other column is an input.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import nlargest
 from itertools import combinations
@@ -34,11 +35,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
-from tidemark.llm.tokens import REMEMBERED
+from tidemark.llm.common import hand_back, text_of
 
 #: Most labelled documents that the fit uses.
-FIT_ROWS = 3_000
+FIT_ROWS = 2_000
+#: Words whose numbers a task remembers at most.
+REMEMBERED = 200_000
 #: Words of a sentence at most; a longer one counts as several.
 SENTENCE = 30
 TOXIC_LANDMARKS, PLAIN_LANDMARKS = 64, 32
@@ -51,7 +53,7 @@ THRESHOLD = 0.3
 HELD_OUT = 2
 FEATURES = 6
 SENTENCES = re.compile(r"(?<=[.!?])\s+|\n+").split
-LETTER_RUN = re.compile(r"(?<!\S)\w(?:[\s\W_]+\w){2,}(?!\w)").findall
+LETTER_RUN = re.compile(r"(?<!\S)[^\W_](?:[\W_]+[^\W_]){2,}(?![^\W_])").findall
 NOT_WORD = re.compile(r"[\W_]+").sub
 
 
@@ -214,22 +216,34 @@ def sentence_words(text: str) -> Iterator[list[str]]:
         yield [run]
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 2.0) -> np.ndarray:
-    """Linear machine with squared hinge loss, by Newton steps; the last weight
-    is the offset."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(x.shape[1])
+def train_svm(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray, cost: float = 2.0, block: int = 1 << 14
+) -> np.ndarray:
+    """Linear machine with squared hinge loss, by Newton steps over blocks of
+    rows from the machine ``w`` on; rows of weight 0 do not count, and the last
+    weight is the offset. Ends when one row in a thousand changes sides."""
+    width = x.shape[1] + 1
+    ridge = np.eye(width)
     ridge[-1, -1] = 1e-6
-    active = np.ones(len(x), bool)
+
+    def inside(w: np.ndarray) -> np.ndarray:
+        return (weight > 0) & (y * (x @ w[:-1].astype(np.float32) + w[-1]) < 1)
+
+    active = inside(w)
     for _ in range(20):
-        own = x[active] * weight[active, None]
-        new = np.linalg.solve(ridge + 2 * cost * own.T @ x[active], 2 * cost * own.T @ y[active])
-        now = y * (x @ new) < 1
-        w = new
-        if (now == active).all():
-            break
+        square, right = ridge.copy(), np.zeros(width)
+        for i in range(0, len(x), block):
+            some = np.flatnonzero(active[i : i + block]) + i
+            own = np.column_stack([x[some], np.ones(len(some), np.float32)])
+            weighted = own * (2 * cost * weight[some, None]).astype(np.float32)
+            square += weighted.T @ own
+            right += weighted.T @ y[some].astype(np.float32)
+        w = np.linalg.solve(square, right)
+        now = inside(w)
+        moved = (now != active).sum()
         active = now
+        if moved * 1000 <= len(x):
+            break
     return w
 
 
@@ -239,40 +253,39 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 4) -> Scorer:
         return Scorer(None, np.zeros(0), np.zeros(FEATURES + 1))
     kernel = Kernel(choose_landmarks(texts, toxic))
     table: dict[str, int] = {}
-    sentence_of, word_of, document_of = [], [], []
+    words, sizes, document_of = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
-        for words in sentence_words(text):
-            own = set(words)
-            word_of += [table.setdefault(w, len(table)) for w in own]
-            sentence_of += [len(document_of)] * len(own)
+        for sentence in sentence_words(text):
+            own = set(sentence)
+            words.extend(table.setdefault(w, len(table)) for w in own)
+            sizes.append(len(own))
             document_of.append(d)
     if not document_of:
         return Scorer(None, np.zeros(0), np.zeros(FEATURES + 1))
-    similar = np.zeros((len(table), len(kernel.landmarks)), np.float32)
+    words, sizes, document_of = (np.frombuffer(v, np.int32) for v in (words, sizes, document_of))
+    similar = np.zeros((len(table), len(kernel.landmarks)), np.float16)
     order = list(table)
     for i in range(0, len(order), 4096):
-        own = [parts(plain(w)) for w in order[i : i + 4096]]
-        first = np.cumsum([0] + [len(ps) for ps in own[:-1]])
-        similar[i : i + 4096] = np.maximum.reduceat(kernel([p for ps in own for p in ps]), first)
+        cut = [parts(plain(w)) for w in order[i : i + 4096]]
+        first = np.cumsum([0] + [len(ps) for ps in cut[:-1]])
+        similar[i : i + 4096] = np.maximum.reduceat(kernel([p for ps in cut for p in ps]), first)
     among = kernel(kernel.landmarks).astype(np.float64)
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     root = (vectors / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    x = np.zeros((len(document_of), len(kernel.landmarks)), np.float32)
-    starts = np.flatnonzero(np.diff(np.array(sentence_of), prepend=-1))
-    filled = np.array(sentence_of)[starts]
-    for i in range(0, len(starts), 65536):
-        stop = starts[i + 65536] if i + 65536 < len(starts) else len(word_of)
-        own = similar[np.array(word_of[starts[i] : stop])]
-        x[filled[i : i + 65536]] = np.add.reduceat(own, starts[i : i + 65536] - starts[i], axis=0)
-    mapped = x @ root.astype(np.float32)
-    document_of = np.array(document_of)
+    starts = np.cumsum(sizes) - sizes
+    mapped = np.zeros((len(sizes), len(kernel.landmarks)), np.float32)
+    for i in range(0, len(sizes), 8192):
+        stop = starts[i + 8192] if i + 8192 < len(sizes) else len(words)
+        own = similar[words[starts[i] : stop]].astype(np.float32)
+        mapped[i : i + 8192] = np.add.reduceat(own, starts[i : i + 8192] - starts[i], axis=0) @ root
+    del similar, order, table, words
     positive = toxic[document_of]
     picked = positive.copy()
+    w = np.zeros(mapped.shape[1] + 1)
     for _ in range(rounds):
-        use = picked | ~positive
-        y = np.where(picked[use], 1.0, -1.0)
-        weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * 2000
-        w = train_svm(mapped[use].astype(np.float64), y, weight)
+        y = np.where(picked, 1.0, -1.0)
+        weight = np.where(picked, 1000 / max(1, picked.sum()), np.where(positive, 0, 1000 / max(1, (~positive).sum())))
+        w = train_svm(mapped, y, weight, w)
         score = mapped @ w[:-1] + w[-1]
         best = np.full(len(texts), -np.inf)
         np.maximum.at(best, document_of, score)
@@ -340,6 +353,8 @@ def with_scores(documents: DataFrame, scorer: Scorer, name: str = "score") -> Da
         own = Scorer(Kernel(landmarks) if landmarks else None, beta, curve)
         for some in texts:
             yield pd.Series(own.scores(some.tolist()), dtype="float64")
+        del own
+        hand_back()
 
     return documents.withColumn(name, score(text_of()))
 
