@@ -149,7 +149,7 @@ def test_file_formats_by_window(spark, tmp_path, fmt):
 
 def test_invalid_sources():
     for bad in (
-        SourceSpec("gopher", FIELDS),
+        SourceSpec("", FIELDS),
         SourceSpec("csv", FIELDS, extraction_type="SOME"),
         SourceSpec("csv", FIELDS, node_cnt=0),
         SourceSpec("csv", "id thing"),
@@ -204,7 +204,7 @@ def test_log_columns(spark, tmp_path):
     old = [f for f in LOG_FIELDS.fieldNames() if f not in ("load_method", "model_sql")]
     spark.sql(f"CREATE TABLE {name} ({', '.join(f.upper() + ' string' for f in old)}) USING parquet")
     stale = LoadLog(spark, str(tmp_path), name)
-    assert stale.create_or_verify() == ["model_sql", "load_method"]
+    assert stale.create_or_verify() == ["model_sql", "load_method", "entry_id", "event_no"]
     spark.sql(f"DROP TABLE {name}")
     assert missing_columns(LOG_FIELDS.fieldNames()) == []
 
