@@ -325,6 +325,31 @@ def test_a_crowd_goes_to_its_middle(spark):
     assert [r.doc_id for r in simhash.without_near_duplicates(docs).collect()] == [0]
 
 
+def kept_by_all_pairs(texts):
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    alike = [(a, b) for a, b in combinations(range(len(sets)), 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    roots = grouped(len(texts), alike)
+    return {min(i for i, r in enumerate(roots) if r == root) for root in set(roots)}, alike
+
+
+def kept_of(spark, texts):
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    return {r.doc_id for r in simhash.without_near_duplicates(docs.repartition(3)).collect()}
+
+
+def test_replaced_added_and_cut_stretches(spark):
+    draw = random.Random(16)
+    texts = []
+    for i in range(60):
+        own, n = words(draw, draw.choice([6, 60, 400]), 5000).split(), 0
+        n = round(len(own) * draw.choice([0.05, 0.08, 0.1, 0.15, 0.2, 0.24]))
+        new = words(draw, n, 5000).split()
+        texts += [own, [own + new, new + own, own[n:], own[: len(own) - n], own[:2] + new + own[2 + n :]][i % 5]]
+    want, alike = kept_by_all_pairs(texts)
+    assert len(alike) >= 30
+    assert kept_of(spark, texts) == want
+
+
 # 8
 
 

@@ -9,12 +9,12 @@ each, so pairs are only looked for among fingerprints that agree in all but as m
 blocks of bits as the radius: of 64 bits in 5 blocks, a pair within 2 bits agrees
 in 3. That is exact, and such keys are shared by few fingerprints.
 
-``near_duplicates`` is meant for texts that share most, not all, of their words. It
-takes wider fingerprints over single words, finds pairs by samples of their bits,
-and verifies that the five-word shingles of both texts have a Jaccard similarity of
-``SIMILARITY`` or more. Groups of more than ``CROWD`` fingerprints under one key are
-compared with the member nearest to their majority, not pair by pair.
-
+``near_duplicates`` is meant for texts that share most, not all, of their words; it
+uses no fingerprints. Texts are linked if their five-word shingles have a Jaccard
+similarity of ``SIMILARITY`` or more. Candidates come from a prefix filter, which is
+exact: of a text's shingles in one order for all, rarest first, those up to the first
+that a similar text must have are its keys, and pairs under a key are kept if their
+sizes and the places of the key allow the similarity.
 Defined results: a NULL text is an empty text; texts without words have the
 fingerprint 0; repeated rows share their group; a group's id is its smallest
 identifier, NULL only if it has no other; an empty input gives no rows.
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import hand_back, small, stored, text_of
 from tidemark.llm.graph import components
+from tidemark.llm.substrings import Words
 
 SHINGLE_WORDS, RADIUS = 3, 2
 BLOCKS, PIVOTS = 5, 16
@@ -145,32 +146,42 @@ def near_groups(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
 # Near duplicates that share most of their words.
 
 SIMILARITY, SIMILAR_SHINGLE = 0.8, 5
-WORDS64 = 4
-TABLES, TABLE_BITS = 40, 32
-#: Bits that may differ before texts are compared: of 256, about three standard
-#: deviations above what a similarity of 0.8 gives.
-WIDE_RADIUS = 40
-CROWD = 48
-
-
-def bit_samples() -> np.ndarray:
-    """The bits of each table, by a fixed rule."""
-    draw = np.random.default_rng(SEED)
-    return np.stack([draw.permutation(64 * WORDS64)[:TABLE_BITS] for _ in range(TABLES)])
-
-
-def wide_bits(words: list[bytes]) -> np.ndarray:
-    """256 bits over the distinct words of a text."""
-    from xxhash import xxh64_intdigest
-
-    own = set(words)
-    one = np.fromiter(map(partial(xxh64_intdigest, seed=SEED), own), np.uint64, len(own))
-    bits = []
-    for k in range(WORDS64):
-        mixed = (one ^ (one >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x5851F42D4C957F2D & (2**64 - 1))
-        number = majority(mixed ^ (mixed >> np.uint64(29)))
-        bits.append(np.unpackbits(np.array([number], "<u8").view(np.uint8), bitorder="little"))
-    return np.concatenate(bits)
+#: One of so many more shingles than its prefix has is looked at, to leave
+#: unrelated documents out early.
+FURTHER = 16
+#: Bytes of text that are hashed at once.
+TEXT_BYTES = 2 << 20
+NODE = "doc_id long, text_hash long"
+
+
+def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """Ascending hashes of the distinct shingles of each text; a shorter text is
+    one shingle, a text without words has none."""
+    some, held = [], 0
+    for text in [*texts, None]:
+        if text is not None:
+            some.append(text.encode("utf-8", "surrogatepass").lower())
+            held += len(some[-1])
+        if some and (text is None or held >= TEXT_BYTES):
+            words = Words(some)
+            counts = np.diff(words.first)
+            many = np.maximum(counts - SIMILAR_SHINGLE + 1, 0)
+            ends = np.cumsum(many)
+            at = np.arange(many.sum()) + np.repeat(words.first[:-1] - (ends - many), many)
+            hashes = words.paths(at, SIMILAR_SHINGLE)
+            for first, n, k, end in zip(words.first[:-1], counts, many, ends, strict=True):
+                own = hashes[end - k : end] if k or not n else words.paths(np.array([first]), int(n))
+                yield np.unique(own)
+            some, held = [], 0
+
+
+def needed(size, similarity: float):
+    """Shingles that a text of ``size`` shares with any similar one, at least."""
+    return np.ceil(size * similarity - 1e-9)
+
+
+def _needed(size: Column, similarity: float) -> Column:
+    return F.ceil(size * similarity - 1e-9)
 
 
 def _key() -> list[Column]:
@@ -178,86 +189,103 @@ def _key() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_hash")]
 
 
-def wide_signatures(documents: DataFrame) -> DataFrame:
-    """node (identifier and text hash), w0..w3 (fingerprint), keys (its samples)."""
-    samples = bit_samples()
+def _hashed(documents: DataFrame, take) -> DataFrame:
+    """node, size (number of shingles), keys (what ``take`` leaves of them)."""
 
-    def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bits = np.array([wide_bits(words_of(t)) for t in batch["text"]], np.uint8).reshape(-1, 64 * WORDS64)
-            wide = np.packbits(bits, axis=1, bitorder="little").view("<i8")
-            keys = np.packbits(bits[:, samples], axis=2, bitorder="little").view("<i4")[:, :, 0]
+            sets = list(shingle_sets(batch["text"].tolist()))
             out = pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"]})
-            for k in range(WORDS64):
-                out[f"w{k}"] = wide[:, k]
-            yield out.assign(keys=list(keys))
+            yield out.assign(size=[len(x) for x in sets], keys=[take(x).view(np.int64) for x in sets])
         hand_back()
 
+    found = documents.mapInPandas(hashes, f"{NODE}, size int, keys array<long>").filter("size > 0")
+    return found.select(F.struct("doc_id", "text_hash").alias("node"), "size", "keys")
+
+
+def possible(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """node of each document that can have a similar one. Of its m smallest hashes
+    a similar text has all but as many as it may lack at all; so many, at least,
+    must stand in a second document."""
+
+    def smallest(own: np.ndarray) -> np.ndarray:
+        return own[: len(own) - int(needed(len(own), similarity)) + 1 + len(own) // FURTHER]
+
     rows = documents.select(*_key(), text_of().alias("text")).filter(F.length(F.trim("text")) > 0)
-    schema = "doc_id long, text_hash long, w0 long, w1 long, w2 long, w3 long, keys array<int>"
-    found = rows.mapInPandas(signatures, schema).distinct()
-    return found.select(F.struct("doc_id", "text_hash").alias("node"), "w0", "w1", "w2", "w3", "keys")
-
-
-def apart(left: str, right: str) -> Column:
-    """Hamming distance of wide fingerprints."""
-    each = [F.bit_count(F.col(f"{left}w{k}").bitwiseXOR(F.col(f"{right}w{k}"))) for k in range(WORDS64)]
-    return each[0] + each[1] + each[2] + each[3]
-
-
-def candidates(signatures: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
-    """Pairs of nodes within the radius that share a key: a, b."""
-    spread = signatures.select("node", F.posexplode("keys").alias("t", "key"))
-    counts = stored(spread.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1"), "wide-keys")
-    # Most keys belong to one document: those rows end here, before fingerprints are attached.
-    rows = stored(spread.join(small(counts, 32), ["t", "key"]), "wide-shared")
-    shared = rows.join(signatures.select("node", *pivot_table(F.col("w0")), "w0", "w1", "w2", "w3"), "node")
-    few = shared.filter(F.col("n") <= CROWD)
-    one, other = (few.select(*[F.col(c).alias(f"{s}_{c}") for c in few.columns]) for s in ("l", "r"))
-    near = pivots_allow("l_", "r_", radius) & (apart("l_", "r_") <= radius)
-    pairs = one.join(
-        other, (F.col("l_t") == F.col("r_t")) & (F.col("l_key") == F.col("r_key")) & (F.col("l_node") < F.col("r_node")) & near
-    ).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"))
-    crowds = shared.filter(F.col("n") > CROWD)
-    half = F.count("*") / 2
-    most = F.lit(0).cast("long")
-    for i in range(64):
-        bit = F.sum(F.shiftrightunsigned(F.col("w0"), i).bitwiseAND(F.lit(1))) > half
-        most = most.bitwiseOR(F.when(bit, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    middles = crowds.groupBy("t", "key").agg(most.alias("middle"))
-    off = F.bit_count(F.col("w0").bitwiseXOR(F.col("middle")))
-    leaders = crowds.join(middles, ["t", "key"]).groupBy("t", "key").agg(F.min_by("node", F.struct(off, "node")).alias("leader"))
-    stars = crowds.join(leaders, ["t", "key"]).filter("node != leader").selectExpr("least(node, leader) AS a", "greatest(node, leader) AS b")
-    return pairs.union(stars).distinct()
-
-
-def similar_pairs(documents: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs whose five-word shingles are similar: a, b."""
-    nodes = stored(pairs.select("a").union(pairs.select("b")).distinct(), "near-nodes")
-    rows = documents.select(F.struct(*_key()).alias("node"), text_of().alias("text"))
-    asked = rows.join(small(nodes.withColumnRenamed("a", "node"), 64), "node", "left_semi")
+    rows = stored(_hashed(rows, smallest), "near-prefixes")
+    spread = rows.select("node", "size", F.explode("keys").alias("key"))
+    twice = stored(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "near-keys")
+    shared = spread.join(small(twice, 16), "key").groupBy("node", "size").agg(F.count("*").alias("n"))
+    least = F.least(F.floor(F.col("size") / FURTHER) + 1, _needed(F.col("size"), similarity))
+    return stored(shared.filter(F.col("n") >= least).select("node"), "near-nodes")
 
-    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [np.unique(shingle_hashes(words_of(t), SIMILAR_SHINGLE)).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "set": own})
 
-    sets = asked.select("node.doc_id", "node.text_hash", "text").mapInPandas(
-        hashes, "doc_id long, text_hash long, set binary"
+def shingles_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, size and keys (all of them) of the given nodes."""
+    rows = documents.select(F.struct(*_key()).alias("node"), text_of().alias("text"))
+    asked = rows.join(small(nodes, 64), "node", "left_semi").select("node.doc_id", "node.text_hash", "text")
+    return stored(_hashed(asked, lambda own: own).dropDuplicates(["node"]), "near-sets")
+
+
+def prefixes(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """key, node, size, place, alone: the rarest shingles of each document, one of
+    which any similar one has; how many come before, and the share of shingles
+    that no other document has."""
+    spread = sets.select("node", "size", F.explode("keys").alias("key"))
+    known = stored(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "near-known")
+    ranked = spread.join(small(known, 24), "key").groupBy("node", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "key"))).alias("ranked")
+    )
+    before = F.col("size") - F.size("ranked")
+    length = F.col("size") - _needed(F.col("size"), similarity) + 1
+    first = F.slice("ranked", F.lit(1), F.greatest(F.lit(0), (length - before).cast("int")))
+    rows = ranked.select("node", "size", before.alias("before"), F.posexplode(first).alias("k", "one"))
+    return stored(
+        rows.select(
+            F.col("one.key").alias("key"),
+            "node",
+            "size",
+            (F.col("k") + F.col("before")).alias("place"),
+            (F.col("before") / F.col("size")).alias("alone"),
+        ),
+        "near-rare",
     )
-    sets = stored(sets.select(F.struct("doc_id", "text_hash").alias("node"), "set").dropDuplicates(["node"]), "near-sets")
+
+
+def may_be_similar(left: str, right: str, similarity: float) -> Column:
+    """Do both texts have enough shingles from this common one on, if it is their first?"""
+    sizes, rest = [F.col(f"{s}size") for s in (left, right)], [F.col(f"{s}size") - F.col(f"{s}place") for s in (left, right)]
+    return F.least(*rest) >= _needed(sizes[0] + sizes[1], similarity / (1 + similarity))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.selectExpr("least(l_node, r_node) AS a", "greatest(l_node, r_node) AS b").distinct()
+
+
+def _sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns]) for s, df in (("l", left), ("r", right)))
+
+
+def all_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs of nodes that can be similar: a, b."""
+    one, other = _sides(rows, rows)
+    joined = one.join(other, F.col("l_key") == F.col("r_key"))
+    return _pairs(joined.filter((F.col("l_node") < F.col("r_node")) & may_be_similar("l_", "r_", similarity)))
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs whose shingles are similar: a, b."""
 
     def jaccard(one: pd.Series, other: pd.Series) -> pd.Series:
         out = []
-        for x, y in zip(one, other, strict=True):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for a, b in zip(one, other, strict=True):
             both = len(np.intersect1d(a, b, assume_unique=True))
             out.append(both / max(1, len(a) + len(b) - both))
         return pd.Series(out, dtype="float64")
 
     alike = F.pandas_udf(jaccard, "double")
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"
+    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("keys").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("keys").alias("y")), "b"
     )
     return joined.filter(alike("x", "y") >= similarity).select("a", "b")
 
@@ -265,9 +293,9 @@ def similar_pairs(documents: DataFrame, pairs: DataFrame, similarity: float = SI
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, root_id, root_hash of each document in a group of two or
     more: the member with the smallest identifier (then hash) is the root."""
-    signatures = stored(wide_signatures(documents), "wide-signatures")
-    pairs = stored(candidates(signatures), "near-candidates")
-    found = components(similar_pairs(documents, pairs, similarity))
+    sets = shingles_of(documents, possible(documents, similarity))
+    rows = prefixes(sets, similarity)
+    found = components(similar(stored(all_pairs(rows, similarity), "near-candidates"), sets, similarity))
     return found.select(
         "node.doc_id", "node.text_hash", F.col("root.doc_id").alias("root_id"), F.col("root.text_hash").alias("root_hash")
     )
