@@ -350,6 +350,39 @@ def test_replaced_added_and_cut_stretches(spark):
     assert kept_of(spark, texts) == want
 
 
+def test_family_of_two_sub_families_and_a_base_with_a_large_identifier(spark):
+    draw = random.Random(17)
+    first = words(draw, 300, 5000).split()
+    second = words(draw, 75, 5000).split() + first[75:]
+    bridge = second[:30] + first[30:]
+
+    def copies(base, n):
+        return [[*base[:p], f"new{draw.random()}", *base[p + 1 :]] for p in (draw.randrange(120, 290) for _ in range(n))]
+
+    far = []
+    for _ in range(70):  # similar to the base alone, not to each other
+        copy = list(first)
+        for place in draw.sample(range(300), 6):
+            copy[place] = f"new{draw.random()}"
+        far.append(copy)
+    for texts in (copies(first, 60) + copies(second, 60), copies(first, 60) + copies(second, 60) + [bridge], [*far, first]):
+        want, _ = kept_by_all_pairs(texts)
+        assert kept_of(spark, texts) == want
+
+
+def test_members_that_only_link_to_each_other(spark):
+    # A chain of versions: only neighbours are similar, and most shingles are shared by many.
+    draw = random.Random(18)
+    version, texts = words(draw, 200, 5000).split(), []
+    for i in range(80):
+        version = [*version[: 10 * i % 190], *words(draw, 10, 5000).split(), *version[10 * i % 190 + 10 :]]
+        texts.append(version)
+    texts += [[*words(draw, 35, 5000).split(), *texts[40][35:]] for _ in range(60)]
+    draw.shuffle(texts)
+    want, _ = kept_by_all_pairs(texts)
+    assert kept_of(spark, texts) == want
+
+
 # 8
 
 

@@ -15,6 +15,9 @@ similarity of ``SIMILARITY`` or more. Candidates come from a prefix filter, whic
 exact: of a text's shingles in one order for all, rarest first, those up to the first
 that a similar text must have are its keys, and pairs under a key are kept if their
 sizes and the places of the key allow the similarity.
+Under a key each text is first compared with one leader, the one with the fewest
+shingles of its own; then pairs under a key that this has left in different groups
+are compared, all of them, so no link between groups is lost.
 Defined results: a NULL text is an empty text; texts without words have the
 fingerprint 0; repeated rows share their group; a group's id is its smallest
 identifier, NULL only if it has no other; an empty input gives no rows.
@@ -266,11 +269,27 @@ def _sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns]) for s, df in (("l", left), ("r", right)))
 
 
-def all_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs of nodes that can be similar: a, b."""
-    one, other = _sides(rows, rows)
-    joined = one.join(other, F.col("l_key") == F.col("r_key"))
-    return _pairs(joined.filter((F.col("l_node") < F.col("r_node")) & may_be_similar("l_", "r_", similarity)))
+def led_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: each node under a key, and the one there with the fewest shingles of
+    its own."""
+    leaders = rows.groupBy("key").agg(F.min(F.struct("alone", "node", "size")).alias("leader"))
+    led = rows.join(leaders.select("key", F.col("leader.node").alias("r_node"), F.col("leader.size").alias("r_size")), "key")
+    sizes = F.least("size", "r_size") >= _needed(F.greatest("size", "r_size"), similarity)
+    return _pairs(led.withColumnRenamed("node", "l_node").filter((F.col("l_node") != F.col("r_node")) & sizes))
+
+
+def pairs_across(rows: DataFrame, roots: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs of nodes that can be similar and have different roots: a, b. Under
+    each key those outside its largest group are compared with all others."""
+    rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = stored(rows.drop("alone"), "near-rooted")
+    parts = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("parts"))
+    largest = largest.filter("parts > 1").select("key", F.col("most.root").alias("most"))
+    odd = rows.join(largest, "key").filter("root != most").drop("most")
+    one, other = _sides(odd, rows)
+    apart = (F.col("l_root") != F.col("r_root")) & may_be_similar("l_", "r_", similarity)
+    return _pairs(one.join(other, (F.col("l_key") == F.col("r_key")) & apart))
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -295,7 +314,10 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     more: the member with the smallest identifier (then hash) is the root."""
     sets = shingles_of(documents, possible(documents, similarity))
     rows = prefixes(sets, similarity)
-    found = components(similar(stored(all_pairs(rows, similarity), "near-candidates"), sets, similarity))
+    led = stored(similar(stored(led_pairs(rows, similarity), "near-led"), sets, similarity), "near-links")
+    roots = stored(components(led), "near-roots")
+    across = stored(pairs_across(rows, roots, similarity), "near-across")
+    found = components(led.union(similar(across, sets, similarity)))
     return found.select(
         "node.doc_id", "node.text_hash", F.col("root.doc_id").alias("root_id"), F.col("root.text_hash").alias("root_hash")
     )
