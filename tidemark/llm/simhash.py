@@ -18,6 +18,7 @@ sizes and the places of the key allow the similarity.
 Under a key each text is first compared with one leader, the one with the fewest
 shingles of its own; then pairs under a key that this has left in different groups
 are compared, all of them, so no link between groups is lost.
+
 Defined results: a NULL text is an empty text; texts without words have the
 fingerprint 0; repeated rows share their group; a group's id is its smallest
 identifier, NULL only if it has no other; an empty input gives no rows.
