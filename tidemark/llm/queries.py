@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, packing, quality, repair, sharding, simhash, sketches, substrings, toxicity
+from tidemark.llm import (
+    bpe,
+    exact_dedup,
+    licenses,
+    packing,
+    quality,
+    repair,
+    sharding,
+    simhash,
+    sketches,
+    substrings,
+    toxicity,
+)
 from tidemark.llm.common import prepare, scratch
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +88,62 @@ def op10_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, sf_dir), labels)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(documents(prepare(spark), sf_dir)).drop("text_key")
+
+
+def _license_sql() -> str:
+    """Every block against every template, without any filter."""
+
+    def words(list_of: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in list_of) + "]"
+
+    templates = []
+    for label, text in licenses.TEMPLATES.values():
+        spelled = licenses.plain_words(text)
+        own = sorted(set(spelled))
+        templates.append(
+            f"('{label}', {words(own)}, {licenses.block_words(len(spelled))}, {licenses.least_shared(len(own))})"
+        )
+    phrases = []
+    for phrase, label in licenses.PHRASES.items():
+        spelled = phrase.split(" ")
+        same = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(spelled, 1))
+        phrases.append(f"SELECT r, i, '{label}' AS label FROM positions WHERE {same}")
+    return f"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        positions AS (SELECT r, w, unnest(range(len(w))) AS i FROM texts),
+        base AS ({" UNION ALL ".join(phrases)}),
+        templates(label, own, length, least) AS (VALUES {", ".join(templates)}),
+        places AS (
+            SELECT r, label, own, least,
+                   w[s + 1 : s + length] AS block
+            FROM (SELECT r, w, label, own, least, length,
+                         unnest(range(0, greatest(0, len(w) - length // 2 - 1) + 1, length // 2)) AS s
+                  FROM texts, templates)
+        ),
+        met AS (
+            SELECT r, label, len(list_intersect(own, block)) / len(own) AS containment
+            FROM places WHERE len(list_intersect(own, block)) >= least
+        ),
+        b AS (SELECT r, count(*) AS n, min(i) AS first_word, max(i) AS last_word,
+                     string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+        m AS (SELECT r, max(containment) AS best FROM met GROUP BY r),
+        l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+              FROM (SELECT r, label FROM base UNION ALL SELECT r, label FROM met) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
+               coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+               CAST(CASE WHEN n > 0 THEN 1 ELSE coalesce(best, 0) END AS DOUBLE) AS score
+        FROM texts LEFT JOIN b USING (r) LEFT JOIN m USING (r) LEFT JOIN l USING (r)
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_repair_tokens": op2_repair_tokens,
@@ -87,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_virtual_slots": op8_virtual_slots,
     "op9_suffix_trees": op9_suffix_trees,
     "op10_string_kernel": op10_string_kernel,
+    "op11_license_scan": op11_license_scan,
 }
 
 ORACLE: dict[str, str] = {
@@ -102,4 +171,5 @@ ORACLE: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM rows
     """,
+    "op11_license_scan": _license_sql(),
 }
