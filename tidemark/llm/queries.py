@@ -20,6 +20,7 @@ from tidemark.llm import (
     sketches,
     substrings,
     toxicity,
+    whitening,
 )
 from tidemark.llm.common import prepare, scratch
 
@@ -92,6 +93,12 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_labels(documents(prepare(spark), sf_dir)).drop("text_key")
 
 
+def op13_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = whitening.whiten(vectors)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def _license_sql() -> str:
     """Every block against every template, without any filter."""
 
@@ -156,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_trees": op9_suffix_trees,
     "op10_string_kernel": op10_string_kernel,
     "op11_license_scan": op11_license_scan,
+    "op13_lanczos_whitening": op13_lanczos_whitening,
 }
 
 ORACLE: dict[str, str] = {
