@@ -1,0 +1,162 @@
+"""Repair of conversations: odd rows, long ones, and a search over all edits."""
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tidemark.llm import conversations as C
+from tidemark.llm.common import prepare, stored
+
+SCHEMA = "conv_id long, turn long, role string, text string, order int, fault string, place string, signature int"
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+
+
+def damaged(rows, damage=True):
+    """conv -> rows (turn, role, text) in order, after damage if any."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(name.encode()) % 20 if damage else -1
+        place = (turn is not None, turn or 0, role, hashlib.sha256(text.encode()).hexdigest())
+        own = {1: (role, ""), 2: (role, re.sub("[.!?]", "", text)), 4: ("user", text)}.get(kind, (role, text))
+        for copy in range(0 if kind == 0 else 2 if kind == 3 else 1):
+            out[conv].append(((*place, copy), turn, *own))
+    return {conv: [r[1:] for r in sorted(own, key=lambda r: r[0])] for conv, own in out.items()}
+
+
+def faults(rows):
+    seen, out = set(), []
+    for _, role, text in rows:
+        solid = re.sub(r"[\x20\x09-\x0D]", "", text)
+        fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else None
+        seen.add((role, text))
+        out.append(fault)
+    return out
+
+
+def viable(initials):
+    """Can this still become a legal conversation?"""
+    return re.fullmatch(r"s?(ua)*u?", initials) is not None
+
+
+def cheapest(rows, marks):
+    """Uniform-cost search over edit strings: cost, audit, repaired rows."""
+    heap, settled = [(0, "", 0, ())], set()
+    while heap:
+        cost, audit, at, roles = heapq.heappop(heap)
+        initials = "".join(r[:1] for r, _ in roles)
+        state = (at, initials[-1:], len(initials) > 0)
+        if at == len(rows) and GRAMMAR.fullmatch(initials):
+            return cost, audit, roles
+        if state in settled:
+            continue
+        settled.add(state)
+        offers = [(cost + 2, audit + "I", at, (*roles, (r, ""))) for r in ("user", "assistant")]
+        if at < len(rows):
+            _, role, text = rows[at]
+            extra = marks[at] == "truncated"
+            offers.append((cost + 3, audit + "D", at + 1, roles))
+            if marks[at] not in ("blank", "duplicate"):
+                if role[:1] in ("s", "u", "a"):
+                    offers.append((cost + extra, audit + "K", at + 1, (*roles, (role, text))))
+                offers += [(cost + 2 + extra, audit + "R", at + 1, (*roles, (r, text))) for r in ("user", "assistant")]
+        for offer in offers:
+            if viable("".join(r[:1] for r, _ in offer[3])):
+                heapq.heappush(heap, offer)
+    raise AssertionError
+
+
+def brute(rows):
+    out = {}
+    for conv, own in damaged(rows).items():
+        marks = faults(own)
+        turns = {t for t, _, _ in own if t is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        pairs = zip(own, own[1:], strict=False)
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in pairs)
+        cost, audit, kept = cheapest(own, marks)
+        text = "\n".join(f"{r}:{t}" for r, t in kept)
+        counts = [marks.count(f) for f in ("blank", "duplicate", "truncated")]
+        out[conv] = (gaps, *counts, illegal, cost, audit, hashlib.sha256(text.encode()).hexdigest())
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
+    return {conv: out.get(conv, nothing) for conv, *_ in rows}
+
+
+def sample_rows():
+    draw = random.Random(12)
+    texts = ["One.", "Two!", "Three", "Four?  \n", "", " \t ", None, "é…", "Five.\x85", "a: b\nc."]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "User", "admin"]
+    rows = []
+    for conv in range(120):
+        for i in range(draw.randrange(1, 9)):
+            turn = draw.choice([i, i, i, i, i + draw.randrange(3), None])
+            role = draw.choice(roles[: draw.choice([2, 4, 10])]) if draw.random() < 0.5 else ("user", "assistant")[i % 2]
+            rows.append((conv, turn, role, draw.choice(texts) if draw.random() < 0.5 else f"Text {draw.random()}."))
+    rows += [(None, i, "user", f"Q{i}.") for i in range(4)] + [(None, None, "assistant", "A.")] * 3
+    rows += [(500, 1, "user", "Same.")] * 5 + [(501, i, "system", "S.") for i in range(3)]
+    rows += [(600, i, ("user", "assistant")[i % 2], f"Turn {i}.") for i in range(700)]
+    rows += [(601, 3, draw.choice(["user", "assistant", "x"]), draw.choice(["Yes.", "No"]) + " " * draw.randrange(9)) for _ in range(900)]
+    rows += [(602, i, draw.choice(["user", "assistant", "system"]), draw.choice(["Yes.", "No", f"T{i}"])) for i in range(800)]
+    rows += [(700, 0, "user", "x" * 3_000_000 + "."), (700, 1, "assistant", "y. " * 400_000)]
+    dropped = next(c for c in range(1000, 2000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    rows.append((dropped, 0, "user", "Gone."))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rows = [(*r, 1, "f", "p", 2) for r in sample_rows()]
+    return stored(prepare(spark).createDataFrame(rows, SCHEMA).repartition(7), "conversations")
+
+
+def check(found, rows):
+    want = brute(rows)
+    assert len(found) == len(want)
+    for r in found:
+        assert tuple(r)[1:] == want[r.conv_id], r.conv_id
+
+
+def test_repair(table):
+    check(C.repair(table, damage=True).collect(), sample_rows())
+
+
+def test_small_segments(table, monkeypatch):
+    monkeypatch.setattr(C, "SEGMENT_ROWS", 3)
+    few = table.filter("conv_id IS NULL OR conv_id < 600 OR conv_id = 602")
+    rows = [r for r in sample_rows() if r[0] is None or r[0] < 600 or r[0] == 602]
+    check(C.repair(few, damage=True).collect(), rows)
+
+
+def test_nodes_are_made_once():
+    draw = random.Random(5)
+    signatures = ["".join(draw.choice("suaoSUAOx") for _ in range(draw.randrange(1, 12))) for _ in range(400)]
+    automaton = C.Automaton()
+    for signature in sorted(set(signatures), key=lambda s: s[::-1]):
+        ways = automaton.edits(signature)
+        node = C.NOTHING
+        for letter in reversed(signature):
+            node = C.before(letter, node)
+        assert ways == node
+    assert automaton.made == len({s[i:] for s in signatures for i in range(len(s))})
+
+
+def test_repaired_rows(table):
+    found, want = defaultdict(list), {}
+    for r in sorted(C.repaired_rows(table).collect(), key=lambda r: (r.part, r.number, r["at"])):
+        found[r.conv_id].append((r.role, r.text))
+    for conv, own in damaged(sample_rows(), damage=False).items():
+        want[conv] = list(cheapest(own, faults(own))[2])
+    assert dict(found) == {conv: rows for conv, rows in want.items() if rows}
+    assert len(found[600]) == 700
+
+
+def test_empty_table(table):
+    assert C.repair(table.limit(0), damage=True).count() == 0
+    assert C.repair(table.limit(0)).count() == 0
+    assert C.repaired_rows(table.limit(0)).count() == 0

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe,
+    conversations,
     exact_dedup,
     licenses,
     packing,
@@ -93,6 +94,11 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_labels(documents(prepare(spark), sf_dir)).drop("text_key")
 
 
+def op12_suffix_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair(table, damage=True)
+
+
 def op13_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
     found = whitening.whiten(vectors)
@@ -163,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_trees": op9_suffix_trees,
     "op10_string_kernel": op10_string_kernel,
     "op11_license_scan": op11_license_scan,
+    "op12_suffix_dawg": op12_suffix_dawg,
     "op13_lanczos_whitening": op13_lanczos_whitening,
 }
 
