@@ -606,3 +606,292 @@ def test_invalid_specs(env, settings):
 
 def test_merge_keys_default():
     assert LoadSpec("t", "full").keys == ["id"]
+
+
+# -- marks, unrouted rows --------------------------------------------------------------
+
+
+OPEN_ROW = (7, "open", 70, "9999-12-31")
+
+
+@pytest.mark.parametrize("strategy", ["delta_upsert", "partitions", "delta"])
+def test_open_rows_are_no_mark(env, strategy):
+    parts = None if strategy == "delta_upsert" else RANGES
+    spec = env.spec(strategy, partitioning=parts, add_delta=True)
+    env.run().load(spec, env.frame(*FIRST, OPEN_ROW))
+    assert env.log.last_extraction(spec.name) == at("2024-02-03")
+    env.run().load(spec, env.frame((8, "c", 80, "2024-02-20"), (9, "old", 90, "2024-01-01")))
+    assert (8, 80) in env.rows() and (9, 90) not in env.rows() and (7, 70) in env.rows()
+    assert env.log.last_extraction(spec.name) == at("2024-02-20")
+
+
+def test_rows_ahead_of_the_clock_do_not_move_the_mark_beyond_the_window(env, caplog):
+    spec = env.spec("delta_upsert", add_delta=True)
+    env.run().load(spec, env.frame(*FIRST, (5, "z", 50, "2031-01-01")))
+    assert env.log.last_extraction(spec.name) == env.time
+    env.time = at("2024-06-05")
+    env.run().load(spec, env.frame((8, "c", 80, "2024-06-02")))
+    assert (8, 80) in env.rows()
+    env.time = at("2024-01-01")
+    env.run().load(spec, env.frame((9, "c", 90, "2024-06-03")))
+    assert "is empty" in caplog.text
+
+
+def test_a_mark_at_the_end_of_time_in_an_older_log_is_passed_over(env):
+    env.run().load(env.spec("delta_upsert", add_delta=True), env.frame(*FIRST))
+    env.log.complete("older", env.name(), "delta_upsert", 1, at("9999-12-31"), "dt")
+    assert env.log.last_extraction(env.name()) == at("2024-02-03")
+
+
+STRAY = (6, "c", 60, "2023-01-01")
+PARTED = ["partitions", "delta", "delta_upsert", "delta_merge", "full", "append", "delete_insert", "truncate_insert"]
+
+
+@pytest.mark.parametrize("strategy", PARTED)
+def test_unrouted_rows_in_every_partitioned_load(env, strategy, caplog):
+    def spec(unrouted):
+        return env.spec(strategy, partitioning=RANGES, unrouted=unrouted)
+
+    with pytest.raises(ValueError, match="1 delta rows outside every partition"):
+        env.run().load(spec("error"), env.frame(*FIRST, STRAY))
+    table = Table(env.spark, env.name(), env.root)
+    assert not table.exists()
+    result = env.run().load(spec("drop"), env.frame(*FIRST, STRAY))
+    assert (result.row_cnt, result.unrouted) == (3, 1)
+    assert env.rows() == [(1, 10), (2, 20), (3, 30)]
+    before = env.parts()
+    with pytest.raises(ValueError, match="outside every partition"):
+        env.run().load(spec("error"), env.frame(SECOND[1], STRAY))
+    assert env.parts() == before
+    result = env.run().load(spec("drop"), env.frame(SECOND[1], STRAY))
+    assert result.unrouted == 1 and (6, 60) not in env.rows() and (4, 40) in env.rows()
+    result = env.run().load(spec("default"), env.frame(STRAY))
+    assert result.unrouted == 1 and (DEFAULT, 6, 60) in env.parts()
+    assert "outside every named partition" in caplog.text
+
+
+def test_init_logs_unrouted_rows(env):
+    env.run().load(env.spec("partitions", partitioning=RANGES), env.frame(*FIRST, STRAY))
+    (row,) = env.logged()
+    assert (row.row_cnt, row.unrouted) == (4, 1)
+
+
+# -- batches -----------------------------------------------------------------------------
+
+
+MORE = [(4, "b", 40, "2024-02-10"), (5, "c", 50, "2024-04-02"), (6, "c", 60, "2023-05-05")]
+
+
+@pytest.mark.parametrize("strategy", ["delta", "append"])
+def test_appending_again_in_one_invocation_adds_nothing(env, strategy):
+    spec = env.spec(strategy, partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST, (9, "d", 90, "2024-04-01")))
+    env.run(invocation_id="second").load(spec, env.frame(*MORE))
+    once = env.parts()
+    assert len(once) == 7
+    env.run(invocation_id="second").load(spec, env.frame(*MORE))
+    assert env.parts() == once
+    env.run(invocation_id="third").load(spec, env.frame(MORE[0]))
+    assert [p for p in env.parts() if p[1] == 4] == [(FEB, 4, 40)] * 2
+    # A batch that comes with fewer partitions leaves none of the first behind.
+    env.run(invocation_id="third").load(spec, env.frame((1, "a", 11, JAN)))
+    assert [p for p in env.parts() if p[1] == 4] == [(FEB, 4, 40)]
+
+
+def test_a_repeated_run_reads_the_window_that_it_had(env):
+    spec = env.spec("delta", partitioning=RANGES, add_delta=True)
+    env.run().load(spec, env.frame(*FIRST))
+    source = env.frame(*FIRST, (4, "b", 40, "2024-02-10"))
+    for _ in range(2):
+        result = env.run(invocation_id="again").load(spec, source)
+        assert result.row_cnt == 2 and env.rows() == [(1, 10), (2, 20), (3, 30), (3, 30), (4, 40)]
+
+
+def test_append_without_partitions_by_batches(env):
+    spec = env.spec("append")
+    table = Table(env.spark, spec.name, env.root)
+    env.run().load(spec, env.frame(*FIRST))
+    for _ in range(2):
+        env.run(invocation_id="x").load(spec, env.frame(SECOND[1]))
+    assert env.rows() == [(1, 10), (2, 20), (3, 30), (4, 40)]
+    assert table.read().columns == ["id", "grp", "v", "dt"]
+    env.run().load(env.spec("delta_upsert"), env.frame((4, "b", 41, FEB)))
+    assert env.rows() == [(1, 10), (2, 20), (3, 30), (4, 41)]
+    env.run().load(spec, env.frame((5, "b", 50, FEB)))
+    env.run().load(env.spec("full"), env.frame(*SECOND))
+    assert env.rows() == [(2, 21), (4, 40)]
+    assert env.rows(table.backup()) == [(1, 10), (2, 20), (3, 30), (4, 41), (5, 50)]
+    table.vacuum()
+    assert env.rows() == [(2, 21), (4, 40)] and len(env.rows(table.backup())) == 5
+
+
+def test_merge_folds_batches_in(env):
+    spec = env.spec("delta", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    for i in range(3):
+        env.run().load(spec, env.frame((10 + i, "b", i, "2024-02-10"), (20 + i, "a", i, JAN)))
+    table = Table(env.spark, spec.name, env.root)
+    assert len(table.stored_labels()) == 8 and table.labels() == {JAN, FEB}
+    plans = []
+    original = Table.write
+
+    def write(self, df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(self, df, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Table, "write", write)
+        env.run().load(env.spec("partitions", partitioning=RANGES), env.frame((11, "b", 99, "2024-02-01")))
+    assert "PartitionFilters: [" in plans[-1] and "substring_index" in plans[-1].split("PartitionFilters")[1]
+    assert {s for s in table.stored_labels() if s.startswith(FEB)} == {FEB}
+    assert [p for p in env.parts() if p[0] == FEB] == [(FEB, 3, 30), (FEB, 10, 0), (FEB, 11, 99), (FEB, 12, 2)]
+    assert len([p for p in env.parts() if p[0] == JAN]) == 5
+
+
+class Lost(Exception):
+    pass
+
+
+def dying(after):
+    """A session that is lost after some statements that change partitions."""
+    said = []
+
+    def sql(self, query, *args, **kwargs):
+        if "_part" in query and ("ADD" in query or "DROP" in query or "SET LOCATION" in query):
+            if len(said) == after:
+                raise Lost
+            said.append(query)
+        return type(self)._plain_sql(self, query, *args, **kwargs)
+
+    return sql
+
+
+@pytest.fixture
+def lose(env, monkeypatch):
+    kind = type(env.spark)
+    monkeypatch.setattr(kind, "_plain_sql", kind.sql, raising=False)
+
+    def load(after, run, spec, df):
+        with monkeypatch.context() as patch:
+            patch.setattr(kind, "sql", dying(after))
+            with pytest.raises(Lost):
+                run.load(spec, df)
+
+    return load
+
+
+@pytest.mark.parametrize("after", [0, 1])
+def test_a_lost_append_is_finished_and_logged_by_the_next_run(env, lose, after):
+    spec = env.spec("delta", partitioning=RANGES, add_delta=True)
+    env.run().load(spec, env.frame(*FIRST, (5, "c", 50, "2024-04-02")))
+    env.log.clear(spec.name, "2025-01-01")
+    source = env.frame((7, "c", 70, "2024-04-09"), (8, "d", 80, "2024-05-09"))
+    # Two statements: the row that waited in the default partition, and the batch.
+    lose(after, env.run(invocation_id="lost"), spec, source)
+    env.run().load(spec, env.frame((9, "d", 90, "2024-05-10")))
+    rows = [(1, 10), (2, 20), (3, 30), (5, 50), (7, 70), (8, 80), (9, 90)]
+    assert env.rows() == rows
+    done = [r for r in env.logged() if r.invocation_id == "lost"]
+    assert [(r.status, r.row_cnt, r.extraction_to) for r in done] == [(2, 2, at("2024-05-09"))]
+    assert env.logged()[-1].extraction_from_original == at("2024-05-09")
+    names = [p.name for p in Table(env.spark, spec.name, env.root).partitioning().ranges()]
+    assert names[-1] == "m_05_2024"
+
+
+def test_append_lost_before_the_switch_leaves_no_rows(env, monkeypatch):
+    spec = env.spec("delta", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    before = env.parts()
+    with monkeypatch.context() as patch:
+        patch.setattr(Table, "switch", lambda *a: (_ for _ in ()).throw(Lost()))
+        with pytest.raises(Lost):
+            env.run(invocation_id="x").load(spec, env.frame(*MORE))
+    assert env.parts() == before
+    env.run(invocation_id="x").load(spec, env.frame(*MORE))
+    assert len(env.parts()) == len(before) + len(MORE)
+
+
+@pytest.mark.parametrize("after", [1, 3, 5])
+def test_half_a_switch_is_finished_by_the_next_load(env, lose, after):
+    spec = env.spec("partitions", partitioning=ExpressionPartitions("grp", "grp"), dedup_scope="changed")
+    first = [(i, f"g{i}", i, JAN) for i in range(5)]
+    env.run().load(spec, env.frame(*first))
+    delta = [(i, f"g{i}", -i - 1, JAN) for i in range(4)] + [(0, "g9", 7, JAN), (4, "g4", 7, JAN)]
+    lose(after, env.run(), spec, env.frame(*delta))
+    table = Table(env.spark, spec.name, env.root)
+    assert table.unfinished() is not None
+    result = env.run().load(spec, env.frame())
+    assert result.row_cnt == 0 and table.unfinished() is None
+    want = {(i, f"g{i}") for i in range(1, 5)}
+    got = {(r.id, r.grp): r.v for r in table.read().collect()}
+    assert want <= got.keys() and len(got) == 5
+    assert all(got[i, f"g{i}"] == -i - 1 for i in range(1, 4))
+
+
+def test_a_journal_cut_short_is_passed_over(env):
+    spec = env.spec("partitions", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    table = Table(env.spark, spec.name, env.root)
+    files, path = table._journal()
+    out = files.create(path, True)
+    out.write(bytearray(b'{"places": {"2024-01'))
+    out.close()
+    env.run().load(spec, env.frame(*SECOND))
+    assert env.rows() == [(1, 10), (2, 21), (3, 30), (4, 40)]
+
+
+# -- refresh by rename -------------------------------------------------------------------
+
+
+def test_a_failing_create_leaves_the_old_table(env, monkeypatch):
+    spec = env.spec("delta_upsert")
+    env.run().load(spec, env.frame(*FIRST))
+    env.spark.sql(f"ALTER TABLE {spec.name} SET TBLPROPERTIES ('owner.team' = 'blue')")
+    wider = env.frame(*SECOND).withColumn("extra", F.lit(1))
+    with monkeypatch.context() as patch:
+        patch.setattr(Table, "create", lambda *a, **k: (_ for _ in ()).throw(Lost()))
+        with pytest.raises(Lost):
+            env.run(full_refresh=True).load(spec, wider)
+    assert env.rows() == [(1, 10), (2, 20), (3, 30)]
+    env.run(full_refresh=True).load(spec, wider)
+    table = Table(env.spark, spec.name, env.root)
+    assert env.rows() == [(2, 21), (4, 40)] and table.read().columns[-1] == "extra"
+    assert table.properties()["owner.team"] == "blue"
+    assert not table.beside("stg").exists()
+
+
+@pytest.mark.parametrize("after", [0, 1])
+def test_renames_lost_half_way_are_finished(env, monkeypatch, after):
+    spec = env.spec("full", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    kind, said = type(env.spark), []
+    plain = kind.sql
+
+    def sql(self, query, *args, **kwargs):
+        if "RENAME" in query:
+            if len(said) == after:
+                raise Lost
+            said.append(query)
+        return plain(self, query, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(kind, "sql", sql)
+        with pytest.raises(Lost):
+            env.run().load(spec, env.frame(*SECOND))
+    table = Table(env.spark, spec.name, env.root)
+    assert table.exists() == (after == 0)
+    env.run().load(env.spec("partitions", partitioning=RANGES), env.frame())
+    assert env.rows() == [(2, 21), (4, 40)]
+    assert env.rows(table.backup()) == [(1, 10), (2, 20), (3, 30)]
+    assert table.partitioning() == RANGES
+
+
+def test_statistics_cost_follows_the_change(env, monkeypatch):
+    spec = env.spec("partitions", partitioning=ExpressionPartitions("grp", "grp"))
+    env.run().load(spec, env.frame(*[(i, f"g{i:02}", i, JAN) for i in range(20)]))
+    said = []
+    sql = type(env.spark).sql
+    monkeypatch.setattr(type(env.spark), "sql", lambda self, q, *a, **k: said.append(q) or sql(self, q, *a, **k))
+    env.run().load(spec, env.frame(*[(i, f"g{i:02}", -i, JAN) for i in range(5)]))
+    asked = [q for q in said if "ANALYZE" in q]
+    assert len(asked) == 5 and all(f"g{i:02}" in "".join(asked) for i in range(5))

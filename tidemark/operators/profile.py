@@ -50,6 +50,15 @@ def _wall_clock(df: DataFrame, name: str) -> Column:
     return column.cast(NTZ) if isinstance(df.schema[name].dataType, T.TimestampType) else column
 
 
+def _before_the_end(df: DataFrame, name: str) -> Column:
+    """Open rows are marked by the end of time. It is no key to grow to, and no mark
+    to read on from: nothing would ever come after it."""
+    column = _wall_clock(df, name)
+    if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        column = F.when(column < F.lit(END_OF_TIME), column)
+    return column
+
+
 def profile_columns(
     df: DataFrame,
     partition_key: str | None = None,
@@ -60,13 +69,10 @@ def profile_columns(
     number of partitions, which the driver handles anyway."""
     out = [F.count(F.lit(1)).alias("row_cnt")]
     if partition_key:
-        key = _wall_clock(df, partition_key)
-        if isinstance(df.schema[partition_key].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            # Open rows are marked by the end of time; it is no key to grow to.
-            key = F.when(key < F.lit(END_OF_TIME), key)
+        key = _before_the_end(df, partition_key)
         out += [F.min(key).alias("min_key"), F.max(key).alias("max_key")]
     if delta_field:
-        out.append(F.max(_wall_clock(df, delta_field)).alias("max_delta"))
+        out.append(F.max(_before_the_end(df, delta_field)).alias("max_delta"))
     if PART in df.columns:
         out.append(F.collect_set(PART).alias("parts"))
         out.append(F.count_if(F.col(PART) == DEFAULT).alias("unrouted"))

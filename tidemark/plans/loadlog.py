@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.intervals import as_moment, to_datetime
 from tidemark.operators.filters import moment
+from tidemark.operators.partitioning import END_OF_TIME
 from tidemark.plans.spec import Layout
 from tidemark.plans.windows import Window
 from tidemark.sinks.table import Table
@@ -148,24 +149,43 @@ class LoadLog:
         self, invocation_id: str, object_name: str
     ) -> tuple[datetime | None, tuple[Window, str | None] | None]:
         """An object's high-water mark, and the window and delta field that
-        this run has logged for it, in one pass."""
-        mine = (F.col("invocation_id") == invocation_id) & (F.col("status") == OPEN)
+        this run has logged for it and not completed, in one pass."""
+        return self.history(invocation_id, object_name)[:2]
+
+    def history(
+        self, invocation_id: str, object_name: str
+    ) -> tuple[datetime | None, tuple[Window, str | None] | None, Window | None]:
+        """``standing``, and the window of a load that this run has completed: a run
+        that is repeated reads what it has read before. The end of time, which older
+        logs may hold, is no mark."""
+        own = F.col("invocation_id") == invocation_id
+        done = F.col("status") == DONE
         first = F.struct(
             "created_at", "entry_id", "extraction_from", "extraction_to", "delta_field"
         )
+        original = F.struct(
+            "created_at", "entry_id", "extraction_from_original", "extraction_to_original"
+        )
+        had_window = F.col("extraction_to_original").isNotNull()
+        real = done & (F.col("extraction_to") < F.lit(END_OF_TIME))
         row = (
             self.entries(F.col("object_name") == object_name)
             .agg(
-                F.max(F.when(F.col("status") == DONE, F.col("extraction_to"))).alias("mark"),
-                F.min(F.when(mine, first)).alias("open"),
+                F.max(F.when(real, F.col("extraction_to"))).alias("mark"),
+                F.min(F.when(own & (F.col("status") == OPEN), first)).alias("open"),
+                F.min(F.when(own & done & had_window, original)).alias("done"),
             )
             .first()
         )
-        found = row["open"]
-        if found is None:
-            return row["mark"], None
-        window = Window(found["extraction_from"], found["extraction_to"])
-        return row["mark"], (window, found["delta_field"])
+        found, ended = row["open"], row["done"]
+        logged = found and (
+            Window(found["extraction_from"], found["extraction_to"]),
+            found["delta_field"],
+        )
+        repeated = ended and Window(
+            ended["extraction_from_original"], ended["extraction_to_original"]
+        )
+        return row["mark"], logged, repeated
 
     def open_window(
         self, invocation_id: str, object_name: str

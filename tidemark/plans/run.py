@@ -30,7 +30,7 @@ from tidemark.operators.strategies import Change
 from tidemark.plans.loadlog import LoadLog
 from tidemark.plans.spec import PLAIN, LoadSpec
 from tidemark.plans.windows import Window, next_window
-from tidemark.sinks.table import PARTITIONING, Table
+from tidemark.sinks.table import FLAT, PARTITIONING, Table, directory_name
 from tidemark.sources.external import SourceSpec, read_source
 
 logger = logging.getLogger(__name__)
@@ -66,6 +66,7 @@ class LoadRun:
         self.end_date = end_date
         self.full_refresh = full_refresh
         self.invocation_id = invocation_id or uuid.uuid4().hex
+        self._windows: dict[str, Window] = {}
         lacking = log.create_or_verify()
         if lacking:
             raise ValueError(f"{log.table.name} lacks the columns {', '.join(lacking)}")
@@ -82,7 +83,7 @@ class LoadRun:
         safety_period: str,
         delta_start=None,
     ) -> Window:
-        return next_window(
+        window = next_window(
             last,
             self.log.now(),
             load_interval,
@@ -91,17 +92,23 @@ class LoadRun:
             self.start_date,
             self.end_date,
         )
+        if window.upper < window.lower:
+            logger.warning("the window from %s to %s is empty", window.lower, window.upper)
+        return window
 
     def external(self, source: SourceSpec) -> DataFrame:
         """Read an external source. Its window is computed from the target's
-        log entries and logged before anything is read."""
+        log entries and logged before anything is read. A run that is repeated after
+        its load was completed reads the window that it read before."""
         source.validate()
         target = source.model_target
-        last = self.log.last_extraction(target) if target else None
-        window = self._window(
+        last, _, repeated = self.log.history(self.invocation_id, target) if target else (None,) * 3
+        window = repeated or self._window(
             last, source.load_interval, source.safety_period, source.delta_start
         )
         if target:
+            self._windows[target] = window
+        if target and not repeated:
             self.log.open(
                 self.invocation_id,
                 target,
@@ -126,6 +133,7 @@ class LoadRun:
             last = self.log.last_extraction(spec.name)
             window = self._window(last, spec.load_interval, spec.safety_period)
             self.log.open(self.invocation_id, spec.name, window, "filter_delta", None, column)
+            self._windows[spec.name] = window
         else:
             logged = self.log.open_window(self.invocation_id, spec.name)
             if logged is None:
@@ -135,14 +143,15 @@ class LoadRun:
         return delta_filter(df, column, window.lower, window.upper, spec.lower_exclusive)
 
     def _filter_auto(self, df: DataFrame, spec: LoadSpec) -> DataFrame:
-        last, logged = self.log.standing(self.invocation_id, spec.name)
-        if logged:
-            window = logged[0]
+        last, logged, repeated = self.log.history(self.invocation_id, spec.name)
+        if logged or repeated:
+            window = logged[0] if logged else repeated
         else:
             window = self._window(last, spec.load_interval, spec.safety_period)
             self.log.open(
                 self.invocation_id, spec.name, window, "filter_delta", None, spec.delta_field
             )
+        self._windows[spec.name] = window
         return delta_filter(df, spec.delta_field, window.lower, window.upper, spec.lower_exclusive)
 
     # -- loading ---------------------------------------------------------------------
@@ -157,6 +166,7 @@ class LoadRun:
             df = model if isinstance(model, DataFrame) else model(self.spark)
 
         table = self.table(spec.name)
+        self._take_up(table)
         exists = table.exists()
         is_view = exists and table.is_view()
         if not exists:
@@ -170,9 +180,49 @@ class LoadRun:
                 df = self._filter_auto(df, spec)
             result = self._load_delta(table, spec, align(df, table.schema()))
         self._log(spec, result, text)
+        if spec.strategy == "delta":
+            table.settle()
         self._hooks(spec.post_hooks)
         return result
 
+    def _take_up(self, table: Table) -> None:
+        """Finish what an earlier load had decided on but not carried out, or not
+        logged, when it died."""
+        left = table.finish()
+        if left is None:
+            return
+        logger.warning("%s: finished a change that an earlier load had begun", table.name)
+        if left.note:
+            mark = left.note.pop("extraction_to")
+            self.log.complete(extraction_to=datetime.fromisoformat(mark) if mark else None, **left.note)
+        table.settle()
+
+    def _mark(self, spec: LoadSpec, seen: Profile) -> datetime | None:
+        """The new high-water mark: what was read, but not beyond the window. Rows
+        dated ahead of the clock would keep those before them from being read."""
+        mark = as_moment(seen.max_delta)
+        if not isinstance(mark, datetime):
+            return mark
+        window = self._windows.get(spec.name)
+        return min(mark, window.upper if window else self.log.now())
+
+    def _accepted(self, spec: LoadSpec, current: Partitions | None, seen: Profile) -> Profile:
+        """What becomes of staged rows that no named partition covers, decided before
+        anything is switched. Those that are left out stay behind in their files."""
+        if current is None or isinstance(current, ExpressionPartitions) or not seen.unrouted:
+            return replace(seen, unrouted=0)
+        logger.warning(
+            "%s: %d delta rows outside every named partition (unrouted=%s)",
+            spec.name,
+            seen.unrouted,
+            spec.unrouted,
+        )
+        if spec.unrouted == "error":
+            raise ValueError(f"{spec.name}: {seen.unrouted} delta rows outside every partition")
+        if spec.unrouted == "drop":
+            return replace(seen, parts=seen.parts - {DEFAULT}, row_cnt=seen.row_cnt - seen.unrouted)
+        return seen
+
     def _hooks(self, hooks) -> None:
         """Callables get the session; text is run as SQL."""
         for hook in hooks:
@@ -202,36 +252,39 @@ class LoadRun:
     def _new_content(self, spec: LoadSpec, df: DataFrame) -> DataFrame:
         if spec.fields:
             df = cast_fields(df, spec.fields)
-        return route(df, spec.partitioning) if spec.partitioning else df
+        if spec.partitioning:
+            return route(df, spec.partitioning)
+        # Appended rows come as batches, which are catalog partitions.
+        return df.withColumn(PART, F.lit(FLAT)) if spec.strategy == "append" else df
 
     def _create(self, table: Table, spec: LoadSpec, df: DataFrame) -> LoadResult:
         ready = self._new_content(spec, df)
         path, seen = table.write(ready, self._version(), spec.layout, None, spec.delta_field)
-        table.create(path, ready.schema, seen.parts, spec.partitioning, spec.layout)
+        seen = self._accepted(spec, spec.partitioning, seen)
+        labels = seen.parts
+        table.create(path, ready.schema, labels, spec.partitioning, spec.layout)
         self._analyze(table, spec, None)
-        return LoadResult("init", seen.row_cnt, as_moment(seen.max_delta))
+        return LoadResult("init", seen.row_cnt, self._mark(spec, seen), unrouted=seen.unrouted)
 
     def _rebuild(self, table: Table, spec: LoadSpec, df: DataFrame, is_view: bool) -> LoadResult:
         """Write the complete new table, then replace the old one by it. The
         structure comes from the model again; where it is the old one, the
-        table is only pointed at the new files."""
+        table is only pointed at the new files, else a table that is complete takes
+        its name."""
         ready = self._new_content(spec, df)
         path, seen = table.write(ready, self._version(), spec.layout, None, spec.delta_field)
+        seen = self._accepted(spec, spec.partitioning, seen)
         parted = spec.partitioning is not None
-        if is_view:
-            table.drop_view()
-            table.create(path, ready.schema, seen.parts, spec.partitioning, spec.layout)
-        elif table.same_structure(ready.schema, parted):
-            if parted:
-                table.switch_partitions(path, seen.parts, table.labels())
-                table.set_property(PARTITIONING, spec.partitioning.to_json())
+        if not is_view and table.same_structure(ready.schema, parted):
+            if PART in ready.columns:
+                partitioning = {PARTITIONING: spec.partitioning.to_json()} if parted else None
+                table.switch_partitions(path, seen.parts, table.labels(), partitioning)
             else:
                 table.point_to(path)
         else:
-            table.drop()
-            table.create(path, ready.schema, seen.parts, spec.partitioning, spec.layout)
+            table.replace(path, ready.schema, seen.parts, spec.partitioning, spec.layout, keep_backup=False)
         self._analyze(table, spec, None)
-        return LoadResult("init", seen.row_cnt, as_moment(seen.max_delta))
+        return LoadResult("init", seen.row_cnt, self._mark(spec, seen), unrouted=seen.unrouted)
 
     def _analyze(self, table: Table, spec: LoadSpec, labels) -> None:
         if spec.analyze:
@@ -241,15 +294,25 @@ class LoadRun:
         delta = align(df, table.schema())
         current = table.partitioning()
         if spec.strategy == "append":
-            if current:
-                delta = route(delta, current)
-                table.move_base(self._version())
-            seen = table.append(delta, spec.layout)
+            seen = self._append(table, spec, delta, current)
         elif spec.strategy == "delete_insert":
             return self._delete_insert(table, spec, delta, current)
         else:
             seen = self._replace_all(table, spec, delta, current, keep_backup=False)
-        return LoadResult(spec.strategy, seen.row_cnt)
+        return LoadResult(spec.strategy, seen.row_cnt, unrouted=seen.unrouted)
+
+    def _append(
+        self, table: Table, spec: LoadSpec, delta: DataFrame, current: Partitions | None
+    ) -> Profile:
+        """Add rows as the batch of this run: all of them or none, and those of a run
+        that is repeated once."""
+        if not table.batched():
+            return table.append(delta, spec.layout)
+        routed = route(delta, current) if current else delta.withColumn(PART, F.lit(FLAT))
+        path, seen = table.write(routed, self._version(), spec.layout)
+        seen = self._accepted(spec, current, seen)
+        table.add_batch(path, seen.parts, self.invocation_id)
+        return seen
 
     def _delete_insert(
         self, table: Table, spec: LoadSpec, delta: DataFrame, current: Partitions | None
@@ -260,9 +323,10 @@ class LoadRun:
         if current is not None:
             delta = route(delta, current)
         path, seen = table.write(delta, self._version(), spec.layout, keys=spec.keys)
+        seen = self._accepted(spec, current, seen)
         touched: frozenset[str] = frozenset()
         if seen.row_cnt:
-            staged = table.files(path, delta.schema)
+            staged = self._staged(table, path, delta, seen)
             plain = replace(spec, null_keys_match=False, delete_duplicates=False)
             if current is None:
                 rows = strategies.delta_upsert(table.read(), staged, plain, seen.key_bytes)
@@ -274,7 +338,12 @@ class LoadRun:
                 )
                 self._commit(table, plain, change, seen)
                 touched = change.touched
-        return LoadResult(spec.strategy, seen.row_cnt, touched=touched)
+        return LoadResult(spec.strategy, seen.row_cnt, touched=touched, unrouted=seen.unrouted)
+
+    def _staged(self, table: Table, path: str, delta: DataFrame, seen: Profile) -> DataFrame:
+        """The staged delta, without rows that have not been accepted."""
+        staged = table.files(path, delta.schema)
+        return staged.filter(in_labels(seen.parts)) if PART in delta.columns else staged
 
     def _replace_all(
         self,
@@ -286,13 +355,19 @@ class LoadRun:
     ) -> Profile:
         if current is not None:
             rows = route(rows, current)
+        elif table.batched():
+            rows = rows.withColumn(PART, F.lit(FLAT))
         path, seen = table.write(rows, self._version(), spec.layout, None, spec.delta_field)
-        if keep_backup:
-            table.retain_backup()
-        if current is None:
-            table.point_to(path)
-        else:
+        seen = self._accepted(spec, current, seen)
+        if keep_backup and table.batched():
+            # The old table is renamed, whatever the number of its partitions.
+            table.replace(path, table.read_parts().schema, seen.parts, current, spec.layout, True)
+        elif table.batched():
             table.switch_partitions(path, seen.parts, table.labels())
+        else:
+            if keep_backup:
+                table.retain_backup()
+            table.point_to(path)
         return seen
 
     def _load_delta(self, table: Table, spec: LoadSpec, delta: DataFrame) -> LoadResult:
@@ -300,7 +375,7 @@ class LoadRun:
         if spec.strategy == "full":
             seen = self._replace_all(table, spec, delta, current, spec.keep_backup)
             self._analyze(table, spec, None)
-            return LoadResult("full", seen.row_cnt)
+            return LoadResult("full", seen.row_cnt, unrouted=seen.unrouted)
         if spec.strategy == "delta":
             return self._append_partitions(table, spec, delta, current)
 
@@ -315,11 +390,11 @@ class LoadRun:
             spec.delta_field,
             self._compared_keys(spec, growing),
         )
-        result = LoadResult(spec.strategy, seen.row_cnt, as_moment(seen.max_delta))
+        seen = self._accepted(spec, current, seen)
+        result = LoadResult(spec.strategy, seen.row_cnt, self._mark(spec, seen), unrouted=seen.unrouted)
         touched = None
-        self._report_unrouted(spec, current, seen)
         if seen.row_cnt:
-            staged = table.files(path, delta.schema)
+            staged = self._staged(table, path, delta, seen)
             if current is None and self._brings_new_keys_only(table, spec, staged, seen):
                 table.append(strategies.upsert_rows(staged, spec), spec.layout)
             elif current is None:
@@ -331,22 +406,11 @@ class LoadRun:
                 table.point_to(out)
             else:
                 touched = self._load_parted(table, spec, staged, path, seen, current)
-                result = replace(result, touched=touched, unrouted=seen.unrouted)
+                result = replace(result, touched=touched)
         if seen.row_cnt or spec.strategy == "delta_merge":
             self._analyze(table, spec, touched)
         return result
 
-    def _report_unrouted(
-        self, spec: LoadSpec, current: Partitions | None, seen: Profile
-    ) -> None:
-        if seen.unrouted and not isinstance(current, ExpressionPartitions):
-            logger.warning(
-                "%s: %d delta rows outside every named partition (unrouted=%s)",
-                spec.name,
-                seen.unrouted,
-                spec.unrouted,
-            )
-
     def _brings_new_keys_only(
         self, table: Table, spec: LoadSpec, staged: DataFrame, seen: Profile
     ) -> bool:
@@ -407,11 +471,13 @@ class LoadRun:
             if change.touched:
                 rows = change.rows.unionByName(rows)
             change = Change(change.touched | left, rows)
+        written, place = frozenset(), path
         if change.touched:
-            self._commit(table, spec, change, seen if not moved else None)
-        if taken:
-            table.switch_partitions(path, taken, taken)
-        self._save_partitioning(table, current, grown)
+            place, written = self._write_change(table, spec, change, seen if not moved else None)
+        if change.touched or taken or grown != current:
+            # What is taken as staged and what was written again, in one switch.
+            staged_places = {label: f"{path}/{directory_name(label)}" for label in taken}
+            table.switch_partitions(place, written, change.touched, self._grown(current, grown), staged_places)
         return change.touched | taken
 
     def _complete_as_staged(
@@ -449,14 +515,13 @@ class LoadRun:
         )
         return relabelled, frozenset({DEFAULT, *(row[PART] for row in labels)})
 
-    def _save_partitioning(self, table: Table, current: Partitions, grown: Partitions) -> None:
-        if grown != current:
-            table.set_property(PARTITIONING, grown.to_json())
+    def _grown(self, current: Partitions, grown: Partitions) -> dict[str, str]:
+        return {PARTITIONING: grown.to_json()} if grown != current else {}
 
-    def _commit(
+    def _write_change(
         self, table: Table, spec: LoadSpec, change: Change, seen: Profile | None
-    ) -> None:
-        """Write the changed partitions and switch to them.
+    ) -> tuple[str, frozenset[str]]:
+        """Write the changed partitions: the version and the labels that got rows.
 
         When the delta's keys were broadcast, target rows come straight from
         their partition's files and the delta from its staged partitions, so
@@ -471,28 +536,50 @@ class LoadRun:
         path, written = table.write(
             change.rows, self._version(), spec.layout, cluster=not in_order
         )
-        table.switch_partitions(path, written.parts, change.touched)
+        return path, written.parts
+
+    def _commit(
+        self, table: Table, spec: LoadSpec, change: Change, seen: Profile | None
+    ) -> None:
+        """Write the changed partitions and switch to them."""
+        path, written = self._write_change(table, spec, change, seen)
+        table.switch_partitions(path, written, change.touched)
 
     def _append_partitions(
         self, table: Table, spec: LoadSpec, delta: DataFrame, current: Partitions
     ) -> LoadResult:
+        """Add the delta as the batch of this run. Batch, grown partitions and rows
+        that leave the default partition for them are one switch. What has to be
+        logged is noted with it: a run that dies before it logs is completed by the
+        next one, which therefore does not read its window again."""
         growing = isinstance(current, RangePartitions)
         routed = route(delta, current.open_ended() if growing else current)
-        table.move_base(self._version())
-        seen = table.append(routed, spec.layout, current.key, spec.delta_field)
-        self._report_unrouted(spec, current, seen)
+        path, seen = table.write(
+            routed, self._version(), spec.layout, current.key if growing else None, spec.delta_field
+        )
+        seen = self._accepted(spec, current, seen)
+        result = LoadResult(
+            "delta", seen.row_cnt, self._mark(spec, seen), frozenset(seen.parts), seen.unrouted
+        )
+        grown = strategies.grow(current, seen)
+        target = table.read_parts(but_batch=self.invocation_id)
+        target, moved = self._split(table, target, current, grown)
+        rewritten = None
+        if moved:
+            change = Change(moved, target.filter(in_labels(moved)))
+            rewritten = (*self._write_change(table, spec, change, None), moved)
+        note = {
+            "invocation_id": self.invocation_id,
+            "object_name": spec.name,
+            "load_type": result.load_type,
+            "row_cnt": result.row_cnt,
+            "extraction_to": result.extraction_to and result.extraction_to.isoformat(),
+            "delta_field": spec.delta_field,
+            "unrouted": result.unrouted,
+        }
+        table.add_batch(
+            path, seen.parts, self.invocation_id, self._grown(current, grown), rewritten, note
+        )
         if seen.row_cnt:
-            grown = strategies.grow(current, seen)
-            target, moved = self._split(table, table.read_parts(), current, grown)
-            if moved:
-                self._commit(table, spec, Change(moved, target.filter(in_labels(moved))), None)
-            self._save_partitioning(table, current, grown)
             self._analyze(table, spec, seen.parts | moved)
-        return LoadResult(
-            "delta",
-            seen.row_cnt,
-            as_moment(seen.max_delta),
-            frozenset(seen.parts),
-            seen.unrouted,
-        )
-
+        return result

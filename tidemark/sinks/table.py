@@ -5,13 +5,26 @@ statement then points the table, or each rewritten partition, at it. A job that
 dies before that leaves the table as it was. The directories left behind stay
 readable as the previous version until ``vacuum`` removes them.
 
+Where more than one statement is needed, what they shall do is written to a journal
+first. From then on the change is decided: a writer that dies between two statements
+leaves the journal, and the next load carries it out before anything else.
+
+Rows that are added come as batches: a partition has a base, which rewriting
+replaces, and any number of batches beside it, each a catalog partition of its own
+whose label is the partition's with ``@`` and the batch. Readers see the label alone. A batch that
+comes again under its name takes the place of the first. Tables without partitions
+that are filled by appending have batches of one partition, ``FLAT``.
+
 One writer per table at a time is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +35,47 @@ from tidemark.operators.profile import Profile, profile_columns
 from tidemark.plans.spec import Layout
 
 PARTITIONING = "tidemark.partitioning"
+#: The one partition of a table without a partitioning whose rows come in batches.
+FLAT = "all"
+#: Stands between a partition's label and a batch; no stored label has it.
+AT = "@"
+JOURNAL = "switch.json"
 
 # Characters that Spark escapes in partition directory names.
 _ESCAPED = re.compile(r"[\x01-\x1f\"#%'*/:=?\\\x7f{\[\]^]")
 _BATCH = 200
-# Changed partitions up to which each gets a statement for its statistics.
+# Changed partitions up to which each gets a statement for its statistics; more do
+# so too as long as they are fewer than half of all.
 _SINGLY = 3
+# Statements for statistics at a time: each is a job of a few small tasks.
+_AT_ONCE = 8
+
+
+@dataclass(frozen=True)
+class Switch:
+    """What catalog statements shall bring about, in a form that can be carried out
+    twice: catalog partitions and their new places (the empty label: the table
+    itself), those to go, properties; and a note for who carries it out."""
+
+    places: dict[str, str] = field(default_factory=dict)
+    gone: list[str] = field(default_factory=list)
+    properties: dict[str, str] = field(default_factory=dict)
+    # A complete new table that takes this one's name, and what it is called till then.
+    staged: str = ""
+    keep_backup: bool = False
+    note: dict | None = None
+
+    def steps(self) -> int:
+        return len(self.places) + len(self.gone) + len(self.properties) + 3 * bool(self.staged)
+
+
+# Properties that belong to the version of a table, not to its name.
+_NOT_COPIED = ("tidemark.", "spark.", "transient_", "numFiles", "totalSize", "EXTERNAL", "option.")
+
+
+def batch_name(batch: str) -> str:
+    """A batch as part of a label, of characters that no catalog escapes."""
+    return re.sub(r"[^A-Za-z0-9.~-]", "~", batch)
 
 
 def directory_name(label: str) -> str:
@@ -77,8 +125,15 @@ class Table:
         """The table's own columns, without the partition label."""
         return self.spark.table(self.name).drop(PART)
 
-    def read_parts(self) -> DataFrame:
-        return self.spark.table(self.name)
+    def read_parts(self, but_batch: str | None = None) -> DataFrame:
+        """The table with its partition labels, without a batch if one is named. A
+        filter on labels prunes batches like partitions."""
+        df = self.spark.table(self.name)
+        if PART not in df.columns or not any(AT in label for label in self.stored_labels()):
+            return df
+        if but_batch is not None:
+            df = df.filter(~F.endswith(F.col(PART), F.lit(AT + batch_name(but_batch))))
+        return df.withColumn(PART, F.substring_index(PART, AT, 1))
 
     def schema(self) -> T.StructType:
         return self.read().schema
@@ -91,7 +146,15 @@ class Table:
         text = self.properties().get(PARTITIONING)
         return partitions_from_json(text) if text else None
 
+    def batched(self) -> bool:
+        """Does the catalog have partitions for this table?"""
+        return PART in self.spark.table(self.name).columns
+
     def labels(self) -> set[str]:
+        return {label.split(AT)[0] for label in self.stored_labels()}
+
+    def stored_labels(self) -> set[str]:
+        """Labels of catalog partitions, batches included."""
         return {
             row[PART]
             for row in self.spark.sql(f"SHOW PARTITIONS {self.quoted}")
@@ -113,8 +176,11 @@ class Table:
 
     def backup(self) -> Table:
         """The table that stands for the retained previous version."""
+        return self.beside("bkp")
+
+    def beside(self, prefix: str) -> Table:
         database, _, short = self.name.rpartition(".")
-        name = f"{database}.bkp_{short}" if database else f"bkp_{short}"
+        name = f"{database}.{prefix}_{short}" if database else f"{prefix}_{short}"
         root = self.home[: -len(self.name)].rstrip("/")
         return Table(self.spark, name, root)
 
@@ -168,14 +234,15 @@ class Table:
         if database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parted = f"PARTITIONED BY (`{PART}`)" if partitioning else ""
+        parted = f"PARTITIONED BY (`{PART}`)" if PART in schema.names else ""
         self.spark.sql(
             f"CREATE TABLE {self.quoted} ({fields}) USING parquet "
             f"OPTIONS (compression = {_quote(layout.compression)}) {parted} LOCATION {_quote(path)}"
         )
         if partitioning:
             self.set_property(PARTITIONING, partitioning.to_json())
-            self._add({label: f"{path}/{directory_name(label)}" for label in labels})
+        if parted:
+            self._add({label: f"{path}/{directory_name(label.split(AT)[0])}" for label in labels})
 
     def drop(self) -> None:
         """Forget the table; its files stay."""
@@ -193,42 +260,171 @@ class Table:
         )
 
     def point_to(self, path: str) -> None:
-        """Switch a table without partitions to another version."""
-        self.spark.sql(f"ALTER TABLE {self.quoted} SET LOCATION {_quote(path)}")
-        self.spark.catalog.refreshTable(self.name)
-
-    def move_base(self, version: str) -> None:
-        """Let partitions that an append adds begin in an empty directory. The
-        existing ones keep their own locations."""
-        self.point_to(f"{self.home}/{version}")
+        """Switch a table without a partitioning to another version."""
+        if self.batched():
+            batches = sorted(self.stored_labels() - {FLAT})
+            self.switch(Switch({FLAT: path}, batches))
+        else:
+            self.switch(Switch({"": path}))
 
     def retain_backup(self) -> None:
-        """Make the current version readable under the backup's name. Only
-        metadata is written."""
+        """Make the current version of a table without partitions readable under the
+        backup's name. Only metadata is written."""
         other = self.backup()
         other.drop()
-        parted = self.partitioning()
-        other.create(self.location(), self.read_parts().schema, (), parted)
-        if parted:
-            other._add({label: self.location(label) for label in self.labels()})
+        other.create(self.location(), self.read_parts().schema)
 
-    def switch_partitions(self, path: str, written: Iterable[str], touched: Iterable[str]) -> None:
+    def switch_partitions(
+        self,
+        path: str,
+        written: Iterable[str],
+        touched: Iterable[str],
+        properties: Mapping[str, str] | None = None,
+        others: Mapping[str, str] | None = None,
+    ) -> None:
         """Point the written partitions at a version directory. Touched
-        partitions that got no rows go away."""
-        written, present = set(written), self.labels()
-        for label in sorted(written & present):
-            self.spark.sql(
-                f"ALTER TABLE {self.quoted} PARTITION ({PART} = {_quote(label)}) "
-                f"SET LOCATION {_quote(f'{path}/{directory_name(label)}')}"
-            )
-        self._add({label: f"{path}/{directory_name(label)}" for label in written - present})
-        emptied = sorted((set(touched) - written) & present)
-        for at in range(0, len(emptied), _BATCH):
+        partitions that got no rows go away, and so do batches of both. ``others``
+        are partitions that move to places of their own in the same switch."""
+        places = {label: f"{path}/{directory_name(label)}" for label in written} | dict(others or {})
+        changed = set(places) | set(touched)
+        gone = [s for s in self.stored_labels() if s.split(AT)[0] in changed and s not in places]
+        self.switch(Switch(places, sorted(gone), dict(properties or {})))
+
+    def add_batch(
+        self,
+        path: str,
+        labels: Iterable[str],
+        batch: str,
+        properties: Mapping[str, str] | None = None,
+        moved: tuple[str, Iterable[str], Iterable[str]] | None = None,
+        note: dict | None = None,
+    ) -> None:
+        """Add the rows of a version directory as a batch to its partitions, or put
+        them in the place of those that came under the same name. ``moved`` is what
+        ``switch_partitions`` takes, done in the same switch. With a note the journal
+        stays until ``settle``."""
+        name = batch_name(batch)
+        places = {f"{label}{AT}{name}": f"{path}/{directory_name(label)}" for label in labels}
+        gone = {s for s in self.stored_labels() if s.endswith(AT + name)}
+        if moved:
+            there, written, touched = moved
+            places |= {label: f"{there}/{directory_name(label)}" for label in written}
+            gone |= {s for s in self.stored_labels() if s.split(AT)[0] in {*written, *touched}}
+        self.switch(Switch(places, sorted(gone - places.keys()), dict(properties or {}), note=note))
+
+    def replace(
+        self,
+        path: str,
+        schema: T.StructType,
+        labels: Iterable[str],
+        partitioning: Partitions | None,
+        layout: Layout,
+        keep_backup: bool,
+    ) -> None:
+        """Let a new table take the place of this one, which becomes the backup or
+        goes. The new one is complete before the old one is touched."""
+        staged = self.beside("stg")
+        staged.drop()
+        staged.create(path, schema, labels, partitioning, layout)
+        own = {k: v for k, v in self.properties().items() if not k.startswith(_NOT_COPIED)}
+        for key in sorted(own):
+            staged.set_property(key, own[key])
+        self.switch(Switch(staged=staged.name, keep_backup=keep_backup))
+
+    # -- switching -----------------------------------------------------------------
+
+    def switch(self, change: Switch) -> None:
+        """Carry out a change. More than one step goes through the journal."""
+        journalled = change.steps() > 1 or change.note is not None
+        if journalled:
+            self._write_journal(change)
+        self._carry_out(change)
+        if journalled and change.note is None:
+            self.settle()
+
+    def unfinished(self) -> Switch | None:
+        """The change that a writer before this one had decided on, if it may not have
+        carried it out. A journal that is cut short was not decided on."""
+        text = self._read_journal()
+        try:
+            return Switch(**json.loads(text)) if text else None
+        except ValueError:
+            return None
+
+    def settle(self) -> None:
+        files, path = self._journal()
+        files.delete(path, False)
+
+    def finish(self) -> Switch | None:
+        """Carry out what is left in the journal; the caller settles."""
+        change = self.unfinished()
+        if change is not None:
+            self._carry_out(change)
+        return change
+
+    def _journal(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.home}/{JOURNAL}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _write_journal(self, change: Switch) -> None:
+        files, path = self._journal()
+        out = files.create(path, True)
+        try:
+            out.write(bytearray(json.dumps(asdict(change)).encode()))
+        finally:
+            out.close()
+
+    def _read_journal(self) -> str:
+        files, path = self._journal()
+        if not files.exists(path):
+            return ""
+        lines = self.spark.read.text(str(path.toString()), wholetext=True)
+        return "".join(row[0] for row in lines.collect())
+
+    def _carry_out(self, change: Switch) -> None:
+        if change.staged:
+            self._take_over(Table(self.spark, change.staged, ""), change.keep_backup)
+            return
+        if change.places.get("") is not None:
+            self.spark.sql(f"ALTER TABLE {self.quoted} SET LOCATION {_quote(change.places[''])}")
+        # A partitioning comes first: one that knows more partitions than the table
+        # has does no harm, the other way round rows would be routed past them.
+        for key, value in change.properties.items():
+            self.set_property(key, value)
+        places = {label: place for label, place in change.places.items() if label}
+        if places or change.gone:
+            present = self.stored_labels()
+            for label in sorted(places.keys() & present):
+                self.spark.sql(
+                    f"ALTER TABLE {self.quoted} PARTITION ({PART} = {_quote(label)}) "
+                    f"SET LOCATION {_quote(places[label])}"
+                )
+            self._add({label: places[label] for label in places.keys() - present})
+            self._remove(set(change.gone) & present)
+        self.spark.catalog.refreshTable(self.name)
+
+    def _take_over(self, staged: Table, keep_backup: bool) -> None:
+        """Every order of these steps that a crash leaves can be taken up again: as
+        long as the staged table stands, one of this name is the old one."""
+        if not staged.exists():
+            return
+        if self.is_view():
+            self.drop_view()
+        elif self.exists() and keep_backup:
+            other = self.backup()
+            other.drop()
+            self.spark.sql(f"ALTER TABLE {self.quoted} RENAME TO {other.quoted}")
+        else:
+            self.drop()
+        self.spark.sql(f"ALTER TABLE {staged.quoted} RENAME TO {self.quoted}")
+
+    def _remove(self, labels: Iterable[str]) -> None:
+        ordered = sorted(labels)
+        for at in range(0, len(ordered), _BATCH):
             clauses = ", ".join(
-                f"PARTITION ({PART} = {_quote(label)})" for label in emptied[at : at + _BATCH]
+                f"PARTITION ({PART} = {_quote(label)})" for label in ordered[at : at + _BATCH]
             )
             self.spark.sql(f"ALTER TABLE {self.quoted} DROP {clauses}")
-        self.spark.catalog.refreshTable(self.name)
 
     def _add(self, places: dict[str, str]) -> None:
         ordered = sorted(places)
@@ -241,19 +437,16 @@ class Table:
         if ordered:
             self.spark.catalog.refreshTable(self.name)
 
-    def append(
-        self,
-        df: DataFrame,
-        layout: Layout,
-        partition_key: str | None = None,
-        delta_field: str | None = None,
-    ) -> Profile:
-        """Add rows to the current version."""
+    def append(self, df: DataFrame, layout: Layout) -> Profile:
+        """Add rows to the live version of a table that has no batches. Other rows
+        than a batch can be seen, or stay, when the job dies while it commits."""
         seen = Observation()
-        ready = arrange(df, layout).observe(seen, *profile_columns(df, partition_key, delta_field))
+        ready = arrange(df, layout).observe(seen, *profile_columns(df))
         ready.write.mode("append").insertInto(self.name)
         return Profile.of_metrics(seen.get)
 
+    # -- statistics ----------------------------------------------------------------
+
     def analyze(self, labels: Iterable[str] | None = None, columns: bool = False) -> None:
         """Refresh the optimizer's statistics: size and row count, the latter
         from file footers, of the table or of the given partitions; or a scan
@@ -265,14 +458,15 @@ class Table:
         if labels is None:
             self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS")
             return
-        present = self.labels()
-        chosen = sorted(set(labels) & present)
-        if len(chosen) > _SINGLY:
-            # All partitions in one statement and one job, which reads file footers.
+        present, labels = self.stored_labels(), set(labels)
+        chosen = sorted(s for s in present if s.split(AT)[0] in labels)
+        if len(chosen) > _SINGLY and 2 * len(chosen) >= len(present):
+            # All partitions in one statement and one job, which reads the footers of
+            # at most twice the files.
             self._analyze_partitions(PART)
             return
-        for label in chosen:
-            self._analyze_partitions(f"{PART} = {_quote(label)}")
+        with ThreadPoolExecutor(_AT_ONCE) as pool:
+            list(pool.map(lambda label: self._analyze_partitions(f"{PART} = {_quote(label)}"), chosen))
 
     def _analyze_partitions(self, which: str) -> None:
         self.spark.sql(f"ANALYZE TABLE {self.quoted} PARTITION ({which}) COMPUTE STATISTICS")
@@ -283,15 +477,15 @@ class Table:
         tables = [t for t in (self, self.backup()) if t.exists()]
         used = {t.location() for t in tables}
         for table in tables:
-            if table.partitioning():
-                used |= {table.location(label) for label in table.labels()}
+            if table.batched():
+                used |= {table.location(label) for label in table.stored_labels()}
         return {path.split(f"{self.home}/", 1)[-1] for path in used}
 
     def vacuum(self) -> list[str]:
         """Delete versions, and single partitions of versions, that neither the
         table nor its backup refers to; returns what was deleted."""
         used = self._paths_in_use()
-        parted = self.partitioning() is not None
+        parted = self.batched()
         jvm = self.spark._jvm
         home = jvm.org.apache.hadoop.fs.Path(self.home)
         files = home.getFileSystem(self.spark._jsc.hadoopConfiguration())
