@@ -16,6 +16,7 @@ from tidemark import (
     RangePartitions,
 )
 from tidemark.operators.partitioning import DEFAULT, PART
+from tidemark.plans.windows import next_window
 from tidemark.sinks.table import Table
 
 FIELDS = "id long, grp string, v long, dt timestamp_ntz"
@@ -895,3 +896,66 @@ def test_statistics_cost_follows_the_change(env, monkeypatch):
     env.run().load(spec, env.frame(*[(i, f"g{i:02}", -i, JAN) for i in range(5)]))
     asked = [q for q in said if "ANALYZE" in q]
     assert len(asked) == 5 and all(f"g{i:02}" in "".join(asked) for i in range(5))
+
+
+def test_clear_while_a_load_is_logging(env):
+    """Nothing is rewritten, so what another load logs meanwhile stays."""
+    spec = env.spec("delta_upsert")
+    env.run().load(spec, env.frame(*FIRST))
+    env.log.open("other", "elsewhere", next_window(None, env.time))
+    before = env.log.table.location()
+    slow = LoadLog(env.spark, env.root, env.log.table.name, clock=lambda: env.time)
+    entries = slow.entries
+
+    def meanwhile(*only):
+        found = entries(*only)
+        slow.entries = entries
+        env.log.complete("other", "elsewhere", "delta", 5, at("2024-05-01"), "dt")
+        return found
+
+    slow.entries = meanwhile
+    assert slow.clear(spec.name) == 1
+    assert env.log.table.location() == before
+    assert env.logged() == [] and env.log.last_extraction(spec.name) is None
+    assert env.log.last_extraction("elsewhere") == at("2024-05-01")
+    env.run().load(spec, env.frame(*SECOND))
+    assert env.log.last_extraction(spec.name) == at("2024-02-10")
+    assert env.log.clear(spec.name) == 1 and env.log.clear(spec.name) == 0
+    env.log.compact()
+    assert env.log.table.read().count() == 1
+
+
+def test_column_histograms_on_request(env):
+    spec = env.spec("delta_upsert", analyze="histograms")
+    env.run().load(spec, env.frame(*FIRST))
+    table = Table(env.spark, spec.name, env.root)
+    known = table.column_statistics("v")
+    assert (known["min"], known["max"], known["num_nulls"]) == ("10", "30", "0")
+    assert any(key.startswith("bin_") for key in known)
+    assert table.statistics()[1] == 3
+
+
+def test_statistics_of_partitions_add_batches_up(env):
+    spec = env.spec("delta", partitioning=RANGES)
+    env.run().load(spec, env.frame(*FIRST))
+    env.run().load(spec, env.frame(*SECOND))
+    table = Table(env.spark, spec.name, env.root)
+    assert table.statistics(JAN)[1] == 3 and table.statistics(FEB)[1] == 2
+
+
+@pytest.mark.parametrize("scope", ["partition", "changed"])
+def test_one_row_per_key_takes_no_window_over_both_sides(env, scope):
+    spec = env.spec("partitions", partitioning=RANGES, delete_duplicates=True, dedup_scope=scope)
+    env.run().load(spec, env.frame(*FIRST))
+    plans = []
+    original = Table.write
+
+    def write(self, df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(self, df, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Table, "write", write)
+        env.run().load(spec, env.frame((2, "a", 22, "2024-01-02"), (2, "a", 21, "2024-01-03")))
+    assert "Window" not in plans[-1] and "LeftAnti" in plans[-1]
+    assert [p for p in env.parts() if p[1] == 2] == [(JAN, 2, 21)]

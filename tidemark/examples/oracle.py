@@ -315,7 +315,7 @@ WITH o AS (SELECT count(*) AS n, max(o_orderdate) AS top,
                   count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01' OR o_orderdate >= TIMESTAMP '2001-01-01') AS stray
            FROM orders),
 l AS (SELECT count(*) AS n, max(l_shipdate) AS top, count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1996-01-01') AS stray FROM lineitem)
-SELECT CAST(2 AS BIGINT) AS status, 'init' AS load_type, n AS row_cnt, CAST(0 AS BIGINT) AS unrouted,
+SELECT CAST(2 AS BIGINT) AS status, 'init' AS load_type, n AS row_cnt, stray AS unrouted,
        CAST(NULL AS TIMESTAMP) AS extraction_from, CAST(top AS TIMESTAMP) AS extraction_to FROM o
 UNION ALL
 SELECT 2, 'partitions', l.n, l.stray, CAST(NULL AS TIMESTAMP), CAST(l.top AS TIMESTAMP) FROM l
@@ -327,4 +327,57 @@ FROM ({anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld) q""",
     "load_run_delta_append": f"""
 {LEDGER} SELECT *, {label("ld")} AS part
 FROM (SELECT * FROM lt UNION ALL SELECT * FROM ld) q""",
+    "load_run_upsert_flat": f"""
+{LEDGER} {anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld""",
+    "load_run_merge_flat": f"""
+{LEDGER} SELECT *, 'now' AS version FROM ({anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld) q
+UNION ALL SELECT *, 'before' FROM lt""",
+    "load_run_merge_flat_rownum": f"""
+{LEDGER} SELECT {COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY orderkey ORDER BY rnk, {TIES}) AS k FROM (
+        SELECT *, 1 AS rnk FROM ld UNION ALL SELECT *, 2 AS rnk FROM lt) q) z
+WHERE k = 1""",
+    "load_run_full_flat": f"""
+{LEDGER} SELECT *, 'now' AS version FROM ld UNION ALL SELECT *, 'before' FROM lt""",
+    "load_run_backup_partitioned": f"""
+{LEDGER} SELECT {COLS}, CASE WHEN status IN ('O', 'F') THEN status ELSE '__default__' END AS part FROM lt""",
+    "load_run_repeated": f"""
+{LEDGER} SELECT *, {label("ld")} AS part
+FROM (SELECT * FROM lt UNION ALL SELECT * FROM ld) q""",
+    "load_run_open_rows": f"""
+WITH {LT}, early AS (SELECT * FROM lt WHERE dt < TIMESTAMP '2000-01-01'),
+mark AS (SELECT max(dt) AS top FROM early WHERE status IS DISTINCT FROM 'F'),
+d AS (SELECT orderkey, ref, lower(status) AS status, amount, dt FROM lt, mark WHERE dt >= top)
+SELECT * FROM d
+UNION ALL
+SELECT * REPLACE (CASE WHEN status = 'F' THEN TIMESTAMP '9999-12-31' ELSE dt END AS dt)
+FROM early WHERE orderkey NOT IN (SELECT orderkey FROM d)""",
+    "load_run_unrouted": f"""
+{LEDGER}, t AS (SELECT *, {start_of()} AS rt FROM lt), d AS (SELECT *, {start_of()} AS rt FROM ld),
+t2 AS (SELECT * FROM t WHERE rt IS NOT NULL), d2 AS (SELECT * FROM d WHERE rt IS NOT NULL),
+rows AS (SELECT * FROM d2 UNION ALL SELECT * FROM t2 WHERE orderkey NOT IN (SELECT orderkey FROM d2)),
+counts AS (SELECT CAST(count(*) FILTER (WHERE rt IS NOT NULL) AS BIGINT) AS logged,
+                  CAST(count(*) FILTER (WHERE rt IS NULL) AS BIGINT) AS unrouted
+           FROM (SELECT rt FROM t UNION ALL SELECT rt FROM d) q)
+SELECT strftime(rt, '%Y-%m-%d') AS part, count(*) AS n, logged, unrouted FROM rows, counts GROUP BY ALL""",
+    "load_run_unrouted_delta": f"""
+{LEDGER}, t AS (SELECT *, {start_of()} AS rt FROM lt), d AS (SELECT *, {start_of("ld")} AS rt FROM ld),
+rows AS (SELECT * FROM t WHERE rt IS NOT NULL UNION ALL SELECT * FROM d WHERE rt IS NOT NULL),
+counts AS (SELECT CAST(count(*) FILTER (WHERE rt IS NOT NULL) AS BIGINT) AS logged,
+                  CAST(count(*) FILTER (WHERE rt IS NULL) AS BIGINT) AS unrouted
+           FROM (SELECT rt FROM t UNION ALL SELECT rt FROM d) q)
+SELECT strftime(rt, '%Y-%m-%d') AS part, count(*) AS n, logged, unrouted FROM rows, counts GROUP BY ALL""",
+    "load_run_statistics": f"""
+{LEDGER}, t AS (SELECT *, {ODD} AS part FROM lt), d AS (SELECT *, {ODD} AS part FROM ld)
+SELECT part, count(*) AS row_cnt FROM (
+    SELECT * FROM d
+    UNION ALL
+    SELECT * FROM t WHERE NOT EXISTS (
+        SELECT 1 FROM d WHERE d.part = t.part AND d.orderkey IS NOT DISTINCT FROM t.orderkey)) q
+GROUP BY part""",
+    "load_run_column_statistics": f"""
+{LEDGER}, r AS ({anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld)
+SELECT 'orderkey' AS col, min(orderkey) AS low, max(orderkey) AS high, count(*) - count(orderkey) AS num_nulls, true AS histogram FROM r
+UNION ALL
+SELECT 'ref', min(ref), max(ref), count(*) - count(ref), true FROM r""",
 }

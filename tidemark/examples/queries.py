@@ -184,10 +184,19 @@ def delta_filter_explicit(spark, sf_dir):
 
 
 def delta_filter_auto(spark, sf_dir):
+    """The window comes from the log: the last load reached the 25th, and reading
+    starts five days before that."""
     model = read(spark, sf_dir, "events").select(
         "event_id", "ts", (F.col("value") * 2).alias("v")
     )
-    return delta_filter(model, "ts", datetime(2024, 1, 20), datetime(2024, 1, 25))
+    run, tag = _new_run(spark, datetime(2024, 1, 25))
+    spec = LoadSpec(f"{tag}_events", "delta_upsert", ["event_id"], "ts", safety_period="5 days", analyze=False)
+    first = F.col("ts") < moment(datetime(2024, 1, 20))
+    run.load(spec, model.filter(first).withColumn("v", -F.col("v")))
+    run.log.complete(run.invocation_id, spec.name, "init", 0, datetime(2024, 1, 25), "ts")
+    run = _next_run(run, datetime(2024, 1, 25))
+    run.load(spec, model)
+    return run.table(spec.name).read().filter(~first)
 
 
 def partition_filter(spark, sf_dir):
@@ -267,18 +276,26 @@ def dedup_latest(spark, sf_dir):
 
 
 def load_init(spark, sf_dir):
-    return ledger_orders(spark, sf_dir)
+    run, tag = _new_run(spark, datetime(2030, 1, 1))
+    spec = LoadSpec(f"{tag}_ledger", "delta_upsert", ["orderkey"], "dt")
+    run.load(spec, ledger_orders(spark, sf_dir))
+    return run.table(spec.name).read()
 
 
 def load_full_refresh(spark, sf_dir):
-    return typed_select(
-        read(spark, sf_dir, "orders"),
-        {
-            "o_orderkey": ("o_orderkey", "int8"),
-            "o_orderstatus": ("o_orderstatus", "text"),
-            "totalprice": ("o_totalprice", "numeric(19,4)"),
-        },
-    )
+    """All orders in one structure, then in another."""
+    run, tag = _new_run(spark, datetime(2030, 1, 1))
+    spec = LoadSpec(f"{tag}_orders", "delta_upsert", ["orderkey"], "dt")
+    run.load(spec, ledger_orders(spark, sf_dir))
+    run = _next_run(run, datetime(2030, 1, 2), full_refresh=True)
+    fields = {
+        "o_orderkey": ("o_orderkey", "int8"),
+        "o_orderstatus": ("o_orderstatus", "text"),
+        "totalprice": ("o_totalprice", "numeric(19,4)"),
+    }
+    renewed = LoadSpec(spec.name, "full")
+    run.load(renewed, typed_select(read(spark, sf_dir, "orders"), fields))
+    return run.table(spec.name).read()
 
 
 def load_init_partitioned(spark, sf_dir):
@@ -441,9 +458,9 @@ def _new_run(spark: SparkSession, now: datetime) -> tuple[LoadRun, str]:
     return LoadRun(spark, root, log), tag
 
 
-def _next_run(run: LoadRun, now: datetime) -> LoadRun:
+def _next_run(run: LoadRun, now: datetime, **settings) -> LoadRun:
     run.log.clock = lambda: now
-    return LoadRun(run.spark, run.root, run.log)
+    return LoadRun(run.spark, run.root, run.log, **settings)
 
 
 def load_chain_e2e(spark, sf_dir):
@@ -493,6 +510,86 @@ def _run_ledger(strategy: str, times: int = 1, **settings) -> Query:
     return query
 
 
+def _run_flat(strategy: str, backup: bool = False, **settings) -> Query:
+    """The same without partitions; with its backup, where that is asked."""
+
+    def query(spark, sf_dir):
+        run, name = _ledger_runs(spark, sf_dir, strategy, partitioning=None, **settings)
+        table = run.table(name)
+        if not backup:
+            return table.read()
+        now, before = (t.read().withColumn("version", F.lit(v)) for t, v in ((table, "now"), (table.backup(), "before")))
+        return now.unionByName(before)
+
+    return query
+
+
+def load_run_backup_partitioned(spark, sf_dir):
+    """The previous version of a partitioned table after a full load."""
+    partitioning = ListPartitions("status", ("O", "F"))
+    run, name = _ledger_runs(spark, sf_dir, "full", partitioning=partitioning)
+    return run.table(name).backup().read_parts().withColumnRenamed(PART, "part")
+
+
+def load_run_repeated(spark, sf_dir):
+    """All lines are added twice under one invocation, as when a run is repeated, and
+    stand in the table once."""
+    run, tag = _new_run(spark, datetime(2030, 1, 1))
+    spec = LoadSpec(f"{tag}_ledger", "delta", ["orderkey"], "dt", partitioning=RANGES, add_delta=False)
+    run.load(spec, ledger_orders(spark, sf_dir))
+    for day in (2, 3):
+        run = _next_run(run, datetime(2030, 1, day), invocation_id=f"{tag}-lines")
+        run.load(spec, ledger_lines(spark, sf_dir))
+    return run.table(spec.name).read_parts().withColumnRenamed(PART, "part")
+
+
+def load_run_open_rows(spark, sf_dir):
+    """Orders before 2000, those of status F dated at the end of time, then all orders
+    by the window that the log yields: open rows do not keep later ones out."""
+    orders = ledger_orders(spark, sf_dir)
+    run, tag = _new_run(spark, datetime(2000, 1, 1))
+    spec = LoadSpec(f"{tag}_ledger", "delta_upsert", ["orderkey"], "dt")
+    end = F.lit("9999-12-31").cast("timestamp_ntz")
+    early = orders.filter(F.col("dt") < moment(datetime(2000, 1, 1)))
+    run.load(spec, early.withColumn("dt", F.when(F.col("status") == "F", end).otherwise(F.col("dt"))))
+    run = _next_run(run, datetime(2030, 1, 1))
+    run.load(spec, orders.withColumn("status", F.lower("status")))
+    return run.table(spec.name).read()
+
+
+def _unrouted(strategy: str) -> Query:
+    """Orders outside the declared partitions are left out by the initial load, lines
+    outside of them by the delta load; counts and rows."""
+
+    def query(spark, sf_dir):
+        run, name = _ledger_runs(spark, sf_dir, strategy, unrouted="drop")
+        logged = run.log.entries(F.col("object_name") == name)
+        counts = logged.agg(F.sum("row_cnt").alias("logged"), F.sum("unrouted").alias("unrouted"))
+        rows = run.table(name).read_parts().groupBy(F.col(PART).alias("part")).agg(F.count("*").alias("n"))
+        return rows.join(F.broadcast(counts))  # one row
+
+    return query
+
+
+def load_run_statistics(spark, sf_dir):
+    """Rows of each partition after a merge, as the catalog has them."""
+    run, name = _ledger_runs(spark, sf_dir, "partitions", partitioning=ODD_LABELS)
+    table = run.table(name)
+    found = [(label, table.statistics(label)[1]) for label in sorted(table.labels())]
+    return spark.createDataFrame(found, "part string, row_cnt long")
+
+
+def load_run_column_statistics(spark, sf_dir):
+    """What the catalog knows of columns after an upsert, histograms included."""
+    run, name = _ledger_runs(spark, sf_dir, "delta_upsert", partitioning=None, analyze="histograms")
+    table, found = run.table(name), []
+    for column in ("orderkey", "ref"):
+        known = table.column_statistics(column)
+        bins = sum(key.startswith("bin_") for key in known)
+        found.append((column, *(int(known[k]) for k in ("min", "max", "num_nulls")), bins > 0))
+    return spark.createDataFrame(found, "col string, low long, high long, num_nulls long, histogram boolean")
+
+
 def load_run_log(spark, sf_dir):
     """What the log says after an initial load, a delta and an empty delta."""
     run, name = _ledger_runs(spark, sf_dir, "partitions")
@@ -520,9 +617,9 @@ QUERIES: dict[str, Query] = {
     "load_init": load_init,
     "load_full_refresh": load_full_refresh,
     "load_init_partitioned": load_init_partitioned,
-    "load_full": _combine("full"),
-    "load_truncate_insert": _combine("truncate_insert"),
-    "load_append": _combine("append"),
+    "load_full": _run_flat("full"),
+    "load_truncate_insert": _run_flat("truncate_insert"),
+    "load_append": _run_flat("append"),
     "load_delete_insert": _combine("delete_insert"),
     "load_delta_append": load_delta_append,
     "load_delta_upsert": _combine("delta_upsert"),
@@ -586,4 +683,15 @@ QUERIES: dict[str, Query] = {
     "load_run_log": load_run_log,
     "load_run_upsert_partitioned": _run_ledger("delta_upsert"),
     "load_run_delta_append": _run_ledger("delta"),
+    "load_run_upsert_flat": _run_flat("delta_upsert"),
+    "load_run_merge_flat": _run_flat("delta_merge", True),
+    "load_run_merge_flat_rownum": _run_flat("delta_merge", delete_duplicates=True),
+    "load_run_full_flat": _run_flat("full", True),
+    "load_run_backup_partitioned": load_run_backup_partitioned,
+    "load_run_repeated": load_run_repeated,
+    "load_run_open_rows": load_run_open_rows,
+    "load_run_unrouted": _unrouted("delta_upsert"),
+    "load_run_unrouted_delta": _unrouted("delta"),
+    "load_run_statistics": load_run_statistics,
+    "load_run_column_statistics": load_run_column_statistics,
 }

@@ -9,8 +9,12 @@ Notes on skew, which all of these share:
   derived columns, so each join input is a plain shuffle and adaptive execution
   may split a hot key of the target over many tasks. Joining on the bare keys
   would reuse the partitioning of the distinct and lose that.
-* One-row-per-key selection is ``row_number() = 1``; Spark prunes every task's
-  rows to one per key before shuffling.
+* One row per key is the maximum of the rows as structures, fields in order of
+  priority. That is an aggregation: each task sorts by the keys alone and sends one
+  row per key, and nothing compares whole rows but those of one key.
+* One row per key of two inputs takes two steps: target rows whose key the delta has
+  go first (an anti-join on keys), then each side is aggregated alone. What the target
+  keeps never meets the delta.
 * "Delta wins, ties kept" is the same set of rows as ``delta`` plus the target
   rows whose key the delta lacks, so it needs no window and no sort by group.
 """
@@ -20,14 +24,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Largest size of raw key bytes that is sent to every executor.
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 
-_RANK = "__rank"
 _PICK = "__pick"
 
 
@@ -97,39 +100,47 @@ def replace_matching(
     return kept.unionByName(delta)
 
 
-def latest_order(df: DataFrame, keys: Sequence[str], delta_field: str | None) -> list[Column]:
-    """A total order within a key: newest first, NULLs before values, then the
-    remaining columns, so that a recomputed task picks the same row again."""
-    first = [delta_field] if delta_field else []
-    rest = [f.name for f in df.schema.fields if f.name not in keys and f.name not in first]
+def _sortable(df: DataFrame, name: str) -> Column:
+    """A column, or what stands for it where Spark has no order for its type."""
+    kind = df.schema[name].dataType
+    if "map<" not in kind.simpleString():
+        return F.col(name)
+    if isinstance(kind, T.MapType) and "map<" not in kind.valueType.simpleString():
+        return F.array_sort(F.map_entries(name))
+    return F.to_json(F.struct(name))  # maps inside other types
 
-    def sortable(name: str) -> Column:
-        kind = df.schema[name].dataType
-        if "map<" not in kind.simpleString():
-            return F.col(name)
-        if isinstance(kind, T.MapType) and "map<" not in kind.valueType.simpleString():
-            return F.array_sort(F.map_entries(name))
-        return F.to_json(F.struct(name))  # maps inside other types
 
-    return [sortable(name).desc_nulls_first() for name in [*first, *rest]]
+def latest_order(df: DataFrame, keys: Sequence[str], delta_field: str | None) -> list[str]:
+    """The columns that decide within a key, newest first, NULLs before values: a
+    total order, so that a recomputed task picks the same row again. Keys come last;
+    they only differ where Spark takes different values for equal (-0.0 and 0.0)."""
+    first = [delta_field] if delta_field else []
+    names = [f.name for f in df.schema.fields]
+    return [*first, *(n for n in names if n not in keys and n not in first), *(n for n in names if n in keys and n not in first)]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], delta_field: str | None = None) -> DataFrame:
     """One row per key, the newest by ``delta_field``."""
-    order = latest_order(df, keys, delta_field) or [F.lit(1)]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_PICK, F.row_number().over(window)).filter(F.col(_PICK) == 1).drop(_PICK)
+    order = latest_order(df, keys, delta_field)
+    fields: list[Column] = []
+    for i, name in enumerate(order):
+        fields += [F.col(name).isNull().alias(f"n{i}"), _sortable(df, name).alias(f"v{i}")]
+    places = {name: f"v{i}" for i, name in enumerate(order)}
+    if any("map<" in f.dataType.simpleString() for f in df.schema.fields):
+        best = F.max_by(F.struct(*[F.col(n).alias(f"v{i}") for i, n in enumerate(order)]), F.struct(*fields))
+    else:
+        best = F.max(F.struct(*fields))
+    grouped = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(best.alias(_PICK))
+    return grouped.select(*[F.col(f"{_PICK}.{places[c]}").alias(c) for c in df.columns])
 
 
 def first_by_priority(
-    target: DataFrame, delta: DataFrame, keys: Sequence[str], delta_field: str | None = None
+    target: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    delta_field: str | None = None,
+    delta_key_bytes: int | None = None,
 ) -> DataFrame:
     """One row per key over both inputs, delta rows before target rows."""
-    both = delta.withColumn(_RANK, F.lit(1)).unionByName(target.withColumn(_RANK, F.lit(2)))
-    order = [F.col(_RANK), *latest_order(target, keys, delta_field)]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        both.withColumn(_PICK, F.row_number().over(window))
-        .filter(F.col(_PICK) == 1)
-        .drop(_PICK, _RANK)
-    )
+    kept = without_matches(target, delta, keys, True, delta_key_bytes)
+    return latest_per_key(kept, keys, delta_field).unionByName(latest_per_key(delta, keys, delta_field))

@@ -38,10 +38,12 @@ def stored_label(value: Column) -> Column:
     way, and a label read back would not be the label that was written. Other
     characters become ``~`` and their UTF-8 bytes in hexadecimal, blanks ``+``.
     Different values get different labels, and none that of the default partition.
+    Values that need none of this, as most do, pass after one look at them.
     """
     safe = F.replace(F.translate(F.url_encode(value), "%", "~"), F.lit("*"), F.lit("~2A"))
     safe = F.when(safe.startswith("_"), F.concat(F.lit(UNDERSCORE), F.substring(safe, 2, 1 << 30))).otherwise(safe)
-    return F.when(value == "", EMPTY_LABEL).otherwise(safe)
+    plain = value.rlike(r"^[A-Za-z0-9.\-][A-Za-z0-9._\-]*\z")
+    return F.when(plain, value).when(value == "", EMPTY_LABEL).otherwise(safe)
 
 
 def add_months(day: date, months: int) -> date:

@@ -80,7 +80,7 @@ def delta_merge(
     """Delta before target per key: all rows of the winning side, or one row
     per key with ``delete_duplicates``."""
     if spec.delete_duplicates:
-        return keyed.first_by_priority(target, delta, spec.keys, spec.delta_field)
+        return keyed.first_by_priority(target, delta, spec.keys, spec.delta_field, delta_key_bytes)
     return keyed.replace_matching(target, delta, spec.keys, True, delta_key_bytes)
 
 
@@ -93,13 +93,15 @@ def merge_within_partitions(
     """``delta_merge`` with keys compared only inside one partition."""
     keys = [PART, *spec.keys]
     if spec.delete_duplicates:
-        return keyed.first_by_priority(target, delta, keys, spec.delta_field)
+        return keyed.first_by_priority(target, delta, keys, spec.delta_field, delta_key_bytes)
     return keyed.replace_matching(target, delta, keys, True, delta_key_bytes)
 
 
-def merge_across_partitions(target: DataFrame, delta: DataFrame, spec: LoadSpec) -> DataFrame:
+def merge_across_partitions(
+    target: DataFrame, delta: DataFrame, spec: LoadSpec, delta_key_bytes: int | None = None
+) -> DataFrame:
     """One row per key over all the given partitions, delta first."""
-    return keyed.first_by_priority(target, delta, spec.keys, spec.delta_field)
+    return keyed.first_by_priority(target, delta, spec.keys, spec.delta_field, delta_key_bytes)
 
 
 def grow(spec: Partitions, profile: Profile) -> Partitions:
@@ -154,7 +156,7 @@ def partitions(
     if spec.dedup_scope == "changed":
         touched = frozenset(named | ({DEFAULT} if stray else set()))
         old = target.filter(in_labels(touched))
-        return Change(touched, merge_across_partitions(old, delta, spec))
+        return Change(touched, merge_across_partitions(old, delta, spec, delta_key_bytes))
 
     touched = set(named)
     if spec.delete_duplicates and getattr(spec.partitioning, "segments", ()):

@@ -20,6 +20,8 @@ from tidemark.plans.windows import Window
 from tidemark.sinks.table import Table
 
 OPEN, DONE = 1, 2
+# The last event of an entry that has been cleared; such entries are in no view.
+CLEARED = 3
 
 # The log's columns, in order.
 LOG_FIELDS = T.StructType(
@@ -140,7 +142,8 @@ class LoadLog:
         events = self.table.read()
         for condition in only:
             events = events.filter(condition)
-        return current_state(events, ["entry_id"], [F.col("event_no").desc()])
+        newest = [F.col("event_no").desc(), F.col("status").desc()]
+        return current_state(events, ["entry_id"], newest).filter(F.col("status") != CLEARED)
 
     def last_extraction(self, object_name: str) -> datetime | None:
         return self.standing("", object_name)[0]
@@ -263,16 +266,24 @@ class LoadLog:
         )
 
     def clear(self, object_name: str, cutoff=None) -> int:
-        """Delete an object's entries; returns how many there were. The log is
-        written anew, which also merges its small files."""
-        entries = self.entries()
-        count = entries.filter(_cleared(object_name, cutoff)).count()
+        """Delete an object's entries; returns how many there were. Each gets one
+        more event that says so. Nothing is rewritten, so loads of this object and
+        others may log meanwhile."""
+        entries = self.entries(F.col("object_name") == object_name).filter(_cleared(object_name, cutoff))
+        count = entries.count()
         if count:
-            self._rewrite(without_object(entries, object_name, cutoff))
+            event = {
+                "status": F.lit(CLEARED).cast("long"),
+                "event_no": F.col("event_no") + 1,
+                "updated_at": F.lit(str(self.now())).cast("timestamp_ntz"),
+            }
+            gone = entries.withColumns(event).select(self.table.read().columns)
+            gone.coalesce(1).write.mode("append").insertInto(self.table.name)
         return count
 
     def compact(self) -> None:
-        """Keep only the latest event of every entry, in few files."""
+        """Keep only the latest event of every entry, in few files. The log is
+        written anew: no load may run meanwhile."""
         self._rewrite(self.entries())
 
     def _rewrite(self, rows: DataFrame) -> None:

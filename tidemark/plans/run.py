@@ -288,7 +288,7 @@ class LoadRun:
 
     def _analyze(self, table: Table, spec: LoadSpec, labels) -> None:
         if spec.analyze:
-            table.analyze(labels, columns=spec.analyze == "columns")
+            table.analyze(labels, spec.analyze == "columns", spec.analyze == "histograms")
 
     def _load_plain(self, table: Table, spec: LoadSpec, df: DataFrame) -> LoadResult:
         delta = align(df, table.schema())

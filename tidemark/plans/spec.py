@@ -51,7 +51,7 @@ class LoadSpec:
     lower_exclusive: bool = False
     keep_backup: bool = True
     # True: size and row count; "columns": a scan for column statistics as
-    # well; False: nothing.
+    # well; "histograms": these with histograms; False: nothing.
     analyze: bool | str = True
     layout: Layout = field(default_factory=Layout)
     pre_hooks: Sequence[Hook] = ()

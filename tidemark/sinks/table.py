@@ -447,13 +447,25 @@ class Table:
 
     # -- statistics ----------------------------------------------------------------
 
-    def analyze(self, labels: Iterable[str] | None = None, columns: bool = False) -> None:
+    def analyze(
+        self,
+        labels: Iterable[str] | None = None,
+        columns: bool = False,
+        histograms: bool = False,
+    ) -> None:
         """Refresh the optimizer's statistics: size and row count, the latter
         from file footers, of the table or of the given partitions; or a scan
-        for column statistics as well. A switch has dropped the previous ones,
-        so a table that has grown is never taken for a small one."""
-        if columns:
-            self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS FOR ALL COLUMNS")
+        for column statistics as well, with histograms if asked. A switch has dropped
+        the previous ones, so a table that has grown is never taken for a small one.
+        What this costs follows the partitions that have changed."""
+        if columns or histograms:
+            key = "spark.sql.statistics.histogram.enabled"
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, str(histograms).lower())
+            try:
+                self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS FOR ALL COLUMNS")
+            finally:
+                self.spark.conf.set(key, before)
             return
         if labels is None:
             self.spark.sql(f"ANALYZE TABLE {self.quoted} COMPUTE STATISTICS")
@@ -471,6 +483,36 @@ class Table:
     def _analyze_partitions(self, which: str) -> None:
         self.spark.sql(f"ANALYZE TABLE {self.quoted} PARTITION ({which}) COMPUTE STATISTICS")
 
+    def statistics(self, label: str | None = None) -> tuple[int, int | None] | None:
+        """Bytes and rows of the table or of one partition, batches added, as the
+        catalog has them; None where it has none."""
+        if label is None:
+            return self._described("Statistics", "")
+        own = [s for s in self.stored_labels() if s.split(AT)[0] == label]
+        found = [self._described("Partition Statistics", f"PARTITION ({PART} = {_quote(s)})") for s in own]
+        if not found or None in found:
+            return None
+        rows = [n for _, n in found]
+        return sum(size for size, _ in found), None if None in rows else sum(rows)
+
+    def _described(self, name: str, part: str) -> tuple[int, int | None] | None:
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.quoted} {part}").filter(F.col("col_name") == name)
+        found = rows.first()
+        if found is None:
+            return None
+        sizes = dict(reversed(x.split()) for x in found["data_type"].split(", "))
+        return int(sizes["bytes"]), int(sizes["rows"]) if "rows" in sizes else None
+
+    def column_statistics(self, column: str) -> dict[str, str | None]:
+        """What the catalog knows of a column: min, max, num_nulls, distinct_count,
+        and the histogram's bins where there is one."""
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.quoted} `{column}`").collect()
+        found: dict[str, str | None] = {}
+        for row in rows:
+            value = None if row["info_value"] == "NULL" else row["info_value"]
+            found[row["info_name"]] = value
+        return found
+
     # -- old versions ----------------------------------------------------------------
 
     def _paths_in_use(self) -> set[str]:
