@@ -1,0 +1,158 @@
+"""Cases that earlier versions got wrong."""
+
+import random
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import exact_dedup, quality, repair, simhash, substrings, toxicity
+from tidemark.llm.common import prepare, stored
+
+
+def twins(levels):
+    """The sequence in which a and b stand for its two halves in turn, and its twin."""
+    one, other = "a", "b"
+    for _ in range(levels):
+        one, other = one + other, other + one
+    return one, other
+
+
+def test_words_that_cancel_out_are_not_repeats(spark):
+    one, other = twins(10)
+    same = " ".join(f"w{i}" for i in range(19))
+    docs = prepare(spark).createDataFrame([(1, f"{same} {one}"), (2, f"{same} {other}")], "doc_id long, text string")
+    assert [r.n_removed for r in substrings.removal_digests(docs).collect()] == [0, 0]
+    words = [" ".join("xy"[c == "b"] for c in text[:32]) for text in (one, other)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    own = [w.split() for w in words]
+    shared = {tuple(own[0][i : i + 20]) for i in range(13)} & {tuple(own[1][i : i + 20]) for i in range(13)}
+    removed = {r.doc_id: r.n_removed for r in substrings.removal_digests(docs).collect()}
+    assert (removed[1] > 0) == bool(shared)
+
+
+@pytest.mark.parametrize("n", range(1, 24))
+def test_paths_are_equal_where_words_are(n):
+    draw = random.Random(n)
+    texts = [" ".join(draw.choice("ab") for _ in range(60)).encode() for _ in range(5)]
+    words = substrings.Words(texts)
+    flat = [w for t in texts for w in t.split()]
+    at = np.arange(len(flat) - n + 1)
+    by_path = {}
+    for i, path in zip(at, words.paths(at, n).tolist(), strict=True):
+        assert by_path.setdefault(path, flat[i : i + n]) == flat[i : i + n]
+    assert len(by_path) == len({tuple(flat[i : i + n]) for i in at})
+
+
+CLASHING = {"own_id": 1, "own_hash": 2, "own_file": 3, "own_row": 4, "gone_id": 5, "places": 6, "toxicity": 7, "__doc": 8, "__file": 9, "h": 10}
+
+
+def clashing(spark, rows):
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    return stored(docs.withColumns({name: F.lit(value) for name, value in CLASHING.items()}), "clashing")
+
+
+def test_clashing_columns_pass_every_stage(spark):
+    draw = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [" ".join(draw.choice("abcdefgh") for _ in range(50)) + " " + passage for _ in range(4)]
+    docs = clashing(spark, [*enumerate(texts), (8, texts[0].upper()), (9, texts[1] + " more")])
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1)], "doc_id long, quality int, toxic int")
+    stages = [
+        exact_dedup.without_copies,
+        simhash.without_near_duplicates,
+        substrings.without_repeats,
+        lambda d: toxicity.without_toxic(d, labels, 2.0),
+    ]
+    for stage in stages:
+        out = stage(docs)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[name] == value for r in rows for name, value in CLASHING.items())
+
+
+def test_workspace_leaves_no_files(spark):
+    docs = clashing(spark, [(i, "one two three four five six " + "x " * i) for i in range(6)])
+    shared = spark.conf.get("spark.checkpoint.dir")
+    from pathlib import Path
+
+    simhash.near_duplicates(docs).collect()
+    assert not list(Path(shared).glob("near-duplicates-*"))
+
+
+def test_state_goes_on_with_equal_digests(spark):
+    def weak(text):
+        return F.pmod(F.crc32(text.cast("binary")), F.lit(2)).cast("string").cast("binary")
+
+    spark = prepare(spark)
+    one = stored(spark.createDataFrame([(1, "first"), (2, "second"), (3, "third")], "doc_id long, text string"), "half")
+    two = stored(spark.createDataFrame([(4, "First"), (5, "fifth"), (6, "second")], "doc_id long, text string"), "half")
+    exact_dedup.ExactDedup(spark, digest=weak, folder=(folder := exact_dedup.scratch(spark, "resumed"))).add(one)
+    again = exact_dedup.ExactDedup(spark, folder, digest=weak)
+    want = {1: (4, 2), 4: (4, 2), 2: (6, 2), 6: (6, 2), 3: (3, 1), 5: (5, 1)}
+    assert {r.doc_id: (r.keep.doc_id, r.n) for r in again.members().collect()} == {1: (1, 1), 2: (2, 1), 3: (3, 1)}
+    found = again.add(two).members().collect()
+    assert {r.doc_id: (r.keep.doc_id, r.n) for r in found} == want
+
+
+def brute_kernel(one, other):
+    def weights(word):
+        letters, out = [1, *[ord(c) for c in word], 2], Counter()
+        for places in combinations(range(len(letters)), toxicity.ORDER):
+            room = places[-1] - places[0] + 1
+            if room <= toxicity.ROOM:
+                out[tuple(letters[p] for p in places)] += toxicity.DECAY ** (room - toxicity.ORDER)
+        return out
+
+    a, b = weights(one), weights(other)
+    product = sum(a[k] * b[k] for k in a)
+    norm = np.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+    return product / norm
+
+
+def test_kernel_of_words(spark):
+    draw = random.Random(6)
+    words = ["idiot", "banana", "aaaaaaaa", "abababab", "mississippi", "ab", "x"]
+    words += ["".join(draw.choice("abc") for _ in range(draw.randrange(2, 13))) for _ in range(40)]
+    words = list(dict.fromkeys(words))
+    kernel = toxicity.Kernel(words)
+    found = kernel.sums(words, kernel.weights)
+    want = np.array([[brute_kernel(a, b) for b in words] for a in words])
+    assert np.allclose(found, want, atol=1e-4)
+    assert np.allclose(np.diag(found), 1, atol=1e-4)
+
+
+def test_no_frequent_pair_is_left(monkeypatch):
+    monkeypatch.setattr(repair, "ROUNDS", 500)
+    monkeypatch.setattr(repair, "GAIN", 0)
+    monkeypatch.setattr(repair, "TABLE_BITS", 6)  # nearly all pairs share a bucket
+    draw = np.random.default_rng(7)
+    ids = (draw.zipf(1.3, 20000) % 300).astype(np.uint32)
+    lengths = np.full(200, 100)
+    sequence, ends, left, right = repair.grammar(ids, lengths, 300)
+    starts = np.concatenate([[0], ends[:-1]])
+    pairs = Counter()
+    for a, b in zip(starts, ends, strict=True):
+        i, own = a, sequence[a:b].tolist()
+        i = 0
+        while i + 1 < len(own):
+            pairs[own[i], own[i + 1]] += 1
+            i += 1 + (i + 2 < len(own) and own[i] == own[i + 1] == own[i + 2])
+    assert max(pairs.values()) < repair.LEAST
+    lengths_of = {i: [i] for i in range(300)}
+    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True), 300):
+        lengths_of[i] = lengths_of[a] + lengths_of[b]
+    assert [x for s in sequence.tolist() for x in lengths_of[s]] == ids.tolist()
+
+
+def test_sample_is_of_different_texts(spark, monkeypatch):
+    texts = [f"text number {i} with some more words" for i in range(200)]
+    rows = [*enumerate(texts), *((1000 + i, texts[0]) for i in range(3000))]
+    docs = stored(prepare(spark).createDataFrame(rows, "doc_id long, text string"), "repeated")
+    seen = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda texts, target: seen.append(texts) or train(texts, target))
+    assert quality.quality_scores(docs, 100).count() == len(rows)
+    assert len(seen[0]) == len(set(seen[0])) == 100

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -40,6 +41,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function like ``stored`` for intermediate tables, whose files go at the end.
+    What is to last must be stored outside, before the end."""
+    folder = scratch(spark, name)
+
+    def put(df: DataFrame, table: str) -> DataFrame:
+        path = f"{folder}/{table}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield put
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, in whatever letter case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(column: str | Column = "text") -> Column:
     """The whole text; NULL counts as empty."""
     column = F.col(column) if isinstance(column, str) else column

@@ -19,12 +19,14 @@ locator stays; an empty input gives no rows. Columns besides ``doc_id`` and
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, scratch, settings, small, stored, text_of
+from tidemark.llm.common import ascii_lower, scratch, settings, small, stored, text_of, unused
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -46,11 +48,17 @@ class ExactDedup:
         folder: str | None = None,
         normalise: Callable[[Column], Column] = ascii_lower,
         digest: Callable[[Column], Column] = sha256,
+        reader: Callable[[list[str]], DataFrame] | None = None,
     ):
         self.spark = spark
         self.folder = folder or scratch(spark, "exact-dedup")
         self.normalise, self.digest = normalise, digest
+        # How files that an earlier object had added are read again.
+        self.reader = reader or (lambda files: spark.read.parquet(*files))
         self._documents: list[DataFrame] = []
+        arrivals = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/arrivals")
+        files = arrivals.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._continues = files.exists(arrivals)
 
     def located(self, documents: DataFrame) -> DataFrame:
         """doc_id, text (normalised), digest and locator of each row."""
@@ -106,10 +114,7 @@ class ExactDedup:
         that stays), n, kept: every row that arrived, once."""
         state = stored(self.state(), "exact-state")
         hits = state.filter("n > 1").select("digest", "best")
-        texts = None
-        for documents in self._documents:
-            rows = self.located(documents)
-            texts = rows if texts is None else texts.unionByName(rows)
+        texts = self._texts(hits)
         suspects = texts.join(small(hits.select("digest"), 64), "digest", "left_semi")
         keepers = suspects.join(
             small(hits.select(F.col("best.file").alias("file"), F.col("best.row").alias("row")), 256),
@@ -128,6 +133,27 @@ class ExactDedup:
         at = F.struct("doc_id", "file", "row")
         return found.select("doc_id", "digest", "file", "row", "keep", "n", (at == F.col("keep")).alias("kept"))
 
+    def _texts(self, hits: DataFrame) -> DataFrame:
+        """``located`` rows of what was added here and, by the locators of the state, of
+        what others had added before and has a hit."""
+        own = [self.located(documents) for documents in self._documents]
+        earlier = self._earlier_files(hits)
+        if earlier:
+            own.append(self.located(self.reader(earlier)))
+        return reduce(DataFrame.unionByName, own) if own else self.arrivals().limit(0).withColumn("text", F.lit(""))
+
+    def _earlier_files(self, hits: DataFrame) -> list[str]:
+        """Files, not rows, come to the driver: those of an earlier object's documents
+        that hold a row with a hit."""
+        if not self._continues:
+            return []
+        rows = self.arrivals()
+        if self._documents:
+            here = reduce(DataFrame.union, [d.select("_metadata.file_path").distinct() for d in self._documents])
+            rows = rows.join(here.toDF("file").distinct(), "file", "left_anti")
+        rows = rows.join(small(hits.select("digest"), 64), "digest", "left_semi")
+        return [unquote(r.file) for r in rows.select("file").distinct().collect()]
+
     @staticmethod
     def _told_apart(rows: DataFrame, state: DataFrame, texts: DataFrame, collided: DataFrame) -> DataFrame:
         """As the digests say, but for collided ones: there the text is the key."""
@@ -167,8 +193,9 @@ def without_copies(documents: DataFrame) -> DataFrame:
     gone = ExactDedup(documents.sparkSession).add(documents).members().filter("NOT kept").select("file", "row")
     gone = stored(gone, "exact-gone")
     names = documents.columns
+    own_file, own_row = unused(documents, "own_file", "own_row")
     marked = documents.select(
-        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
+        "*", F.col("_metadata.file_path").alias(own_file), F.col("_metadata.row_index").alias(own_row)
     )
-    gone = small(gone.toDF("__file", "__row"), 256)
-    return marked.join(gone, ["__file", "__row"], "left_anti").select(names)
+    gone = small(gone.toDF(own_file, own_row), 256)
+    return marked.join(gone, [own_file, own_row], "left_anti").select(names)

@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, put: Callable[[DataFrame, str], DataFrame] = stored) -> DataFrame:
     """``a``, ``b``: linked nodes of any type that has an order. Gives ``node``
     and ``root``, the smallest node reachable, for each node with a link to
     another one.
 
     Every round hangs a node's neighbours below the smallest node known to it, so
     a long chain halves each time. Rounds are written to the shared folder; what
-    comes to the driver is a count and a checksum.
+    comes to the driver is a count and a checksum. ``put`` writes them.
     """
-    ends = stored(links.filter("a != b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
+    ends = put(links.filter("a != b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
     seen = None
     while True:
         mark = ends.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             return ends.selectExpr("a AS node", "b AS root").union(ends.selectExpr("b", "b").distinct())
         seen = mark
-        ends = stored(_small_star(_large_star(ends)), "links")
+        ends = put(_small_star(_large_star(ends)), "links")
 
 
 def _large_star(ends: DataFrame) -> DataFrame:

@@ -167,11 +167,12 @@ def quality_scores(documents: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     is the mean of what the labellers' posterior and the hashed scorer say."""
     votes = stored(with_votes(documents), "quality-votes")
     by_pattern, _ = posteriors(votes)
-    chosen = votes.select("doc_id", "votes", "h").orderBy("h", "doc_id").limit(rows)  # the documented bound of the fit
+    # Different texts, then the documented bound of the fit.
+    chosen = votes.select("votes", "h").dropDuplicates(["h"]).orderBy("h").limit(rows)
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     sample = (
         own.withColumn("h", F.xxhash64("text"))
-        .join(F.broadcast(chosen.dropDuplicates(["h"]).drop("doc_id")), "h")
+        .join(F.broadcast(chosen), "h")
         .dropDuplicates(["h"])
         .orderBy("h")
         .toPandas()

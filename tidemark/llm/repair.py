@@ -56,9 +56,9 @@ def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
     last = np.zeros(len(sequence), bool)
     last[np.cumsum(lengths) - 1] = True
     left, right = [], []
-    for _ in range(ROUNDS):
+    for round_number in range(ROUNDS):
         before = len(sequence)
-        found = _frequent(sequence, last, base + len(left))
+        found = _frequent(sequence, last, base + len(left), round_number)
         if found is None:
             break
         at, rule, lefts, rights = found
@@ -75,13 +75,18 @@ def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
     return sequence, np.flatnonzero(last) + 1, np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _frequent(sequence: np.ndarray, last: np.ndarray, next_id: int):
+def _frequent(sequence: np.ndarray, last: np.ndarray, next_id: int, round_number: int = 0):
     """Where frequent pairs stand (none overlapping), the rule of each, and both
-    sides of the new rules; the most frequent pairs first."""
+    sides of the new rules; the most frequent pairs first.
+
+    Pairs are counted in buckets, and one pair speaks for each. Buckets differ from
+    round to round, so a pair that had to wait is not kept waiting by the same one
+    again; where no bucket gives a rule, pairs are counted one by one."""
     if len(sequence) < 2:
         return None
     one, other = sequence[:-1], sequence[1:]
-    bucket = ((one * MIX[0]) ^ (other * MIX[1])) * MIX[2]
+    turn = np.uint32((int(MIX[0]) + 2 * round_number * 0x27D4EB2F) & 0xFFFFFFFF)
+    bucket = ((one * turn) ^ (other * MIX[1])) * MIX[2]
     bucket >>= np.uint32(32 - TABLE_BITS)
     place = bucket.astype(np.intp)
     often = np.bincount(place, minlength=1 << TABLE_BITS) >= LEAST
@@ -90,26 +95,36 @@ def _frequent(sequence: np.ndarray, last: np.ndarray, next_id: int):
         return None
     key = (one[some].astype(np.int64) << 32) | other[some]
     bucket = place[some]
-    # One pair speaks for each bucket; others there wait for the next round.
     speaker = np.zeros(1 << TABLE_BITS, np.int64)
     speaker[bucket] = key
     same = key == speaker[bucket]
-    some, bucket = some[same], bucket[same]
-    # Of pairs that overlap, every second one from the left is replaced.
-    starts = np.flatnonzero(np.diff(some, prepend=-2) > 1)
+    found = _rules(some[same], bucket[same], speaker, next_id)
+    if found is None:
+        pairs, number = np.unique(key, return_inverse=True)
+        found = _rules(some, number, pairs, next_id)
+    return found
+
+
+def _rules(some: np.ndarray, number: np.ndarray, pairs: np.ndarray, next_id: int):
+    """Rules for the numbered pairs at the given places that are frequent there."""
+    # Of equal pairs that overlap (a run of one id), every second one from the left counts.
+    starts = np.flatnonzero((np.diff(some, prepend=-2) > 1) | (np.diff(number, prepend=-1) != 0))
     run = np.repeat(starts, np.diff(np.append(starts, len(some))))
     even = (np.arange(len(some)) - run) % 2 == 0
-    some, bucket = some[even], bucket[even]
-    counts = np.bincount(bucket, minlength=1 << TABLE_BITS)
+    counts = np.bincount(number[even], minlength=len(pairs))
     chosen = np.flatnonzero(counts >= LEAST)
     if not len(chosen):
         return None
     chosen = chosen[np.argsort(-counts[chosen], kind="stable")[:ROUND_RULES]]
-    rule = np.full(1 << TABLE_BITS, -1, np.int64)
+    rule = np.full(len(pairs), -1, np.int64)
     rule[chosen] = next_id + np.arange(len(chosen))
-    number = rule[bucket]
-    taken = number >= 0
-    return some[taken], number[taken], speaker[chosen] >> 32, speaker[chosen] & 0xFFFFFFFF
+    taken = even & (rule[number] >= 0)
+    some, number = some[taken], number[taken]
+    # Of different pairs that overlap, every second one from the left is replaced.
+    starts = np.flatnonzero(np.diff(some, prepend=-2) > 1)
+    run = np.repeat(starts, np.diff(np.append(starts, len(some))))
+    free = (np.arange(len(some)) - run) % 2 == 0
+    return some[free], rule[number[free]], pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF
 
 
 def spans(left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:

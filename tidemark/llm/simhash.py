@@ -26,7 +26,7 @@ identifier, NULL only if it has no other; an empty input gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations
 
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hand_back, small, stored, text_of
+from tidemark.llm.common import hand_back, small, stored, text_of, unused, workspace
 from tidemark.llm.graph import components
 from tidemark.llm.substrings import Words
 
@@ -154,8 +154,9 @@ SIMILARITY, SIMILAR_SHINGLE = 0.8, 5
 #: unrelated documents out early.
 FURTHER = 16
 #: Bytes of text that are hashed at once.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 NODE = "doc_id long, text_hash long"
+Put = Callable[[DataFrame, str], DataFrame]
 
 
 def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
@@ -198,16 +199,19 @@ def _hashed(documents: DataFrame, take) -> DataFrame:
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = list(shingle_sets(batch["text"].tolist()))
+            sizes, keys = [], []
+            for own in shingle_sets(batch["text"].tolist()):
+                sizes.append(len(own))
+                keys.append(take(own).view(np.int64).copy())
             out = pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"]})
-            yield out.assign(size=[len(x) for x in sets], keys=[take(x).view(np.int64) for x in sets])
+            yield out.assign(size=sizes, keys=keys)
         hand_back()
 
     found = documents.mapInPandas(hashes, f"{NODE}, size int, keys array<long>").filter("size > 0")
     return found.select(F.struct("doc_id", "text_hash").alias("node"), "size", "keys")
 
 
-def possible(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def possible(documents: DataFrame, put: Put, similarity: float = SIMILARITY) -> DataFrame:
     """node of each document that can have a similar one. Of its m smallest hashes
     a similar text has all but as many as it may lack at all; so many, at least,
     must stand in a second document."""
@@ -216,27 +220,27 @@ def possible(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return own[: len(own) - int(needed(len(own), similarity)) + 1 + len(own) // FURTHER]
 
     rows = documents.select(*_key(), text_of().alias("text")).filter(F.length(F.trim("text")) > 0)
-    rows = stored(_hashed(rows, smallest), "near-prefixes")
+    rows = put(_hashed(rows, smallest), "near-prefixes")
     spread = rows.select("node", "size", F.explode("keys").alias("key"))
-    twice = stored(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "near-keys")
+    twice = put(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "near-keys")
     shared = spread.join(small(twice, 16), "key").groupBy("node", "size").agg(F.count("*").alias("n"))
     least = F.least(F.floor(F.col("size") / FURTHER) + 1, _needed(F.col("size"), similarity))
-    return stored(shared.filter(F.col("n") >= least).select("node"), "near-nodes")
+    return put(shared.filter(F.col("n") >= least).select("node"), "near-nodes")
 
 
-def shingles_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
+def shingles_of(documents: DataFrame, nodes: DataFrame, put: Put) -> DataFrame:
     """node, size and keys (all of them) of the given nodes."""
     rows = documents.select(F.struct(*_key()).alias("node"), text_of().alias("text"))
     asked = rows.join(small(nodes, 64), "node", "left_semi").select("node.doc_id", "node.text_hash", "text")
-    return stored(_hashed(asked, lambda own: own).dropDuplicates(["node"]), "near-sets")
+    return put(_hashed(asked, lambda own: own).dropDuplicates(["node"]), "near-sets")
 
 
-def prefixes(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def prefixes(sets: DataFrame, put: Put, similarity: float = SIMILARITY) -> DataFrame:
     """key, node, size, place, alone: the rarest shingles of each document, one of
     which any similar one has; how many come before, and the share of shingles
     that no other document has."""
     spread = sets.select("node", "size", F.explode("keys").alias("key"))
-    known = stored(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "near-known")
+    known = put(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "near-known")
     ranked = spread.join(small(known, 24), "key").groupBy("node", "size").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("ranked")
     )
@@ -244,7 +248,7 @@ def prefixes(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     length = F.col("size") - _needed(F.col("size"), similarity) + 1
     first = F.slice("ranked", F.lit(1), F.greatest(F.lit(0), (length - before).cast("int")))
     rows = ranked.select("node", "size", before.alias("before"), F.posexplode(first).alias("k", "one"))
-    return stored(
+    return put(
         rows.select(
             F.col("one.key").alias("key"),
             "node",
@@ -279,11 +283,11 @@ def led_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return _pairs(led.withColumnRenamed("node", "l_node").filter((F.col("l_node") != F.col("r_node")) & sizes))
 
 
-def pairs_across(rows: DataFrame, roots: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def pairs_across(rows: DataFrame, roots: DataFrame, put: Put, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs of nodes that can be similar and have different roots: a, b. Under
     each key those outside its largest group are compared with all others."""
     rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = stored(rows.drop("alone"), "near-rooted")
+    rows = put(rows.drop("alone"), "near-rooted")
     parts = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
     largest = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("parts"))
     largest = largest.filter("parts > 1").select("key", F.col("most.root").alias("most"))
@@ -295,43 +299,43 @@ def pairs_across(rows: DataFrame, roots: DataFrame, similarity: float = SIMILARI
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs whose shingles are similar: a, b."""
-
-    def jaccard(one: pd.Series, other: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(one, other, strict=True):
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(both / max(1, len(a) + len(b) - both))
-        return pd.Series(out, dtype="float64")
-
-    alike = F.pandas_udf(jaccard, "double")
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("keys").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("keys").alias("y")), "b"
     )
-    return joined.filter(alike("x", "y") >= similarity).select("a", "b")
+    both = F.size(F.array_intersect("x", "y"))
+    return joined.filter(both >= (F.size("x") + F.size("y") - both) * F.lit(similarity) - 1e-9).select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, root_id, root_hash of each document in a group of two or
     more: the member with the smallest identifier (then hash) is the root."""
-    sets = shingles_of(documents, possible(documents, similarity))
-    rows = prefixes(sets, similarity)
-    led = stored(similar(stored(led_pairs(rows, similarity), "near-led"), sets, similarity), "near-links")
-    roots = stored(components(led), "near-roots")
-    across = stored(pairs_across(rows, roots, similarity), "near-across")
-    found = components(led.union(similar(across, sets, similarity)))
-    return found.select(
-        "node.doc_id", "node.text_hash", F.col("root.doc_id").alias("root_id"), F.col("root.text_hash").alias("root_hash")
-    )
+    with workspace(documents.sparkSession, "near-duplicates") as put:
+        sets = shingles_of(documents, possible(documents, put, similarity), put)
+        rows = prefixes(sets, put, similarity)
+        led = put(similar(put(led_pairs(rows, similarity), "led"), sets, similarity), "links")
+        roots = put(components(led, put), "roots")
+        across = put(pairs_across(rows, roots, put, similarity), "across")
+        found = components(led.union(similar(across, sets, similarity)), put)
+        return stored(
+            found.select(
+                "node.doc_id",
+                "node.text_hash",
+                F.col("root.doc_id").alias("root_id"),
+                F.col("root.text_hash").alias("root_hash"),
+            ),
+            "near-groups",
+        )
 
 
 def without_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents but for those that are not the root of their group, all
-    columns."""
+    columns, whatever they are named."""
     groups = near_duplicates(documents, similarity)
     is_root = F.col("doc_id").eqNullSafe(F.col("root_id")) & (F.col("text_hash") == F.col("root_hash"))
-    gone = stored(groups.filter(~is_root).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")), "near-gone")
-    gone = small(gone, 64)
+    gone_id, gone_hash, own_id, own_hash = unused(documents, "gone_id", "gone_hash", "own_id", "own_hash")
+    gone = groups.filter(~is_root).select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash))
+    gone = small(stored(gone, "near-gone"), 64)
     doc_id, text_hash = _key()
-    marked = documents.withColumns({"__doc": F.col("doc_id").cast("long"), "__text": F.xxhash64(text_of())})
-    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
-    return marked.join(gone, same, "left_anti").select(documents.columns)
+    marked = documents.withColumns({own_id: doc_id, own_hash: text_hash})
+    same = F.col(own_id).eqNullSafe(F.col(gone_id)) & (F.col(own_hash) == F.col(gone_hash))
+    return marked.join(gone, same, "left_anti").drop(own_id, own_hash)

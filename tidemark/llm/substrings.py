@@ -11,7 +11,7 @@ memory. Its tree is built by sorting the suffixes' paths; each run of equal path
 an internal node of that depth, its leaves are the places of a repeat, and all but
 the earliest (smallest identifier, then start) are repeats of that one.
 
-Paths are 64-bit hashes of the words. A block of documents sends a path to a group
+Paths are 64-bit hashes made from XXH64 hashes of the words. A block of documents sends a path to a group
 once, with the first place it stands at, so a passage that everyone shares arrives
 once from each block.
 
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hand_back, text_of
+from tidemark.llm.common import hand_back, text_of, unused
 
 WINDOW = 20
 GROUP = 2_000_000
@@ -43,16 +43,9 @@ U = np.uint64
 FLAGS = "doc_id long, text_hash long, places binary"
 
 
-def _table() -> tuple[np.ndarray, int, int]:
-    draw = np.random.default_rng(20)
-    letters = draw.integers(0, 2**64, 256, dtype=np.uint64)
-    base = int(draw.integers(0, 2**62, dtype=np.uint64)) * 4 + 1
-    return letters, base, pow(base, -1, 2**64)
-
-
-LETTER, BASE, INVERSE = _table()
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Words whose hashes a task remembers at most.
+REMEMBERED = 200_000
+SEED = 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -61,39 +54,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-class Powers:
-    """Powers of a number modulo 2**64, as many as were ever needed."""
+def joined(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Hash of two stretches, one behind the other, from the hashes of both. Nothing
+    of it is linear, so words that change places do not cancel out."""
+    return mixed(mixed(one + U(0x9E3779B97F4A7C15)) ^ (other * U(0xC2B2AE3D27D4EB4F)))
 
-    def __init__(self, base: int):
-        self.base, self.values = U(base), np.ones(1, np.uint64)
 
-    def __call__(self, n: int) -> np.ndarray:
-        if n > len(self.values):
-            steps = np.full(n + n // 8, self.base, np.uint64)
-            steps[0] = 1
-            self.values = np.multiply.accumulate(steps)
-        return self.values[:n]
+class WordHashes(dict):
+    """XXH64 of each word, a bounded number of them remembered."""
 
+    def __missing__(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
 
-UP, DOWN = Powers(BASE), Powers(INVERSE)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxh64_intdigest(word, SEED)
+        return found
 
 
 class Words:
-    """Hashes of the words of several texts, one after the other."""
+    """Hashes of the words of several texts, one after the other, and of stretches
+    of 2, 4, 8, ... words from each place on."""
 
     def __init__(self, texts: list[bytes]):
-        joined = b" ".join(texts) + b" "
-        data = np.frombuffer(joined, np.uint8)
-        space = SPACE[data]
-        edge = np.flatnonzero(np.diff(space, prepend=True))
-        starts, ends = edge[::2], edge[1::2]
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(LETTER[data] * UP(len(data)), out=sums[1:])
-        self.hashes = mixed((sums[ends] - sums[starts]) * DOWN(len(data))[starts] + (ends - starts).astype(np.uint64))
-        offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
-        self.first = np.searchsorted(starts, offsets)  # of each text, and the end
-        self.sums = np.zeros(len(starts) + 1, np.uint64)
-        np.cumsum(self.hashes * UP(len(starts)), out=self.sums[1:])
+        hashes, parts, self.first = WordHashes(), [], [0]
+        for text in texts:
+            words = text.split()
+            parts.append(np.fromiter(map(hashes.__getitem__, words), U, len(words)))
+            self.first.append(self.first[-1] + len(words))
+        self.first = np.array(self.first)
+        self.levels = [np.concatenate(parts) if parts else np.zeros(0, U)]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Text and first word of each window, in order."""
@@ -102,9 +92,22 @@ class Words:
         before = np.cumsum(counts) - counts
         return text, np.arange(counts.sum()) - np.repeat(before - self.first[:-1], counts)
 
+    def _level(self, k: int) -> np.ndarray:
+        """Hashes of 2**k words from each place on that has so many."""
+        while len(self.levels) <= k:
+            last, step = self.levels[-1], 1 << (len(self.levels) - 1)
+            self.levels.append(joined(last[:-step], last[step:]) if len(last) > step else last[:0])
+        return self.levels[k]
+
     def paths(self, at: np.ndarray, words: int) -> np.ndarray:
         """Hash of so many words from each place on."""
-        return mixed((self.sums[at + words] - self.sums[at]) * DOWN(len(self.sums))[at])
+        found, done = None, 0
+        for k in reversed(range(words.bit_length())):
+            if words >> k & 1:
+                own = self._level(k)[at + done]
+                found = own if found is None else joined(found, own)
+                done += 1 << k
+        return mixed(found)
 
 
 def _key(documents: DataFrame) -> list[Column]:
@@ -355,13 +358,16 @@ def spans(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def with_places(documents: DataFrame, group: int = GROUP) -> DataFrame:
-    """The documents, all columns, and __places (list of binaries or NULL)."""
-    found = repeated_places(documents, group).groupBy("doc_id", "text_hash").agg(F.collect_list("places").alias("__places"))
-    found = found.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    marked = documents.withColumns({"__doc": F.col("doc_id").cast("long"), "__text": F.xxhash64(text_of())})
-    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
-    return marked.join(found, same, "left").select(*documents.columns, "__places")
+def with_places(documents: DataFrame, group: int = GROUP) -> tuple[DataFrame, str]:
+    """The documents, all columns, and one more with the places (list of binaries or
+    NULL); its name, which no other column has."""
+    places, own_id, own_hash, its_id, its_hash = unused(documents, "places", "own_id", "own_hash", "its_id", "its_hash")
+    found = repeated_places(documents, group).groupBy("doc_id", "text_hash").agg(F.collect_list("places").alias("p"))
+    found = found.withColumnsRenamed({"doc_id": its_id, "text_hash": its_hash, "p": places})
+    doc_id, text_hash = _key(documents)
+    marked = documents.withColumns({own_id: doc_id, own_hash: text_hash})
+    same = F.col(own_id).eqNullSafe(F.col(its_id)) & (F.col(own_hash) == F.col(its_hash))
+    return marked.join(found, same, "left").drop(own_id, own_hash, its_id, its_hash), places
 
 
 def removal_digests(documents: DataFrame, group: int = GROUP) -> DataFrame:
@@ -370,7 +376,7 @@ def removal_digests(documents: DataFrame, group: int = GROUP) -> DataFrame:
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, places in zip(batch["text"], batch["__places"], strict=True):
+            for text, places in zip(batch["text"], batch["places"], strict=True):
                 words = text.encode("utf-8", "surrogatepass").split()
                 removed = 0
                 if places is not None and len(places):
@@ -383,7 +389,7 @@ def removal_digests(documents: DataFrame, group: int = GROUP) -> DataFrame:
             yield found.astype({"doc_id": "Int64"})
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return with_places(rows, group).mapInPandas(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return with_places(rows, group)[0].mapInPandas(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def repeated_spans(documents: DataFrame, group: int = GROUP) -> DataFrame:
@@ -392,13 +398,13 @@ def repeated_spans(documents: DataFrame, group: int = GROUP) -> DataFrame:
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text, places in zip(batch["doc_id"], batch["text"], batch["__places"], strict=True):
+            for doc_id, text, places in zip(batch["doc_id"], batch["text"], batch["places"], strict=True):
                 n = len(text.encode("utf-8", "surrogatepass").split())
                 out += [(None if pd.isna(doc_id) else int(doc_id), a, b) for a, b in spans(covered(n, places))]
             yield pd.DataFrame(out, columns=["doc_id", "start", "stop"]).astype({"doc_id": "Int64"})
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    hit = with_places(rows, group).filter(F.col("__places").isNotNull())
+    hit = with_places(rows, group)[0].filter(F.col("places").isNotNull())
     return hit.mapInPandas(stretches, "doc_id long, start long, stop long")
 
 
@@ -418,6 +424,6 @@ def without_repeats(documents: DataFrame, group: int = GROUP) -> DataFrame:
 
     shorter = F.pandas_udf(cut, "string")
     names = documents.columns
-    marked = with_places(documents, group)
-    text = F.when(F.col("__places").isNull(), F.col("text")).otherwise(shorter("text", "__places"))
+    marked, places = with_places(documents, group)
+    text = F.when(F.col(places).isNull(), F.col("text")).otherwise(shorter("text", places))
     return marked.select(*[text.alias("text") if c == "text" else F.col(c) for c in names])

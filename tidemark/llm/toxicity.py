@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hand_back, text_of
+from tidemark.llm.common import hand_back, text_of, unused
 
 #: Most labelled documents that the fit uses.
 FIT_ROWS = 2_000
@@ -96,9 +96,19 @@ def subsequences(coded: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
 
 
 def length_of(coded: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(coded))
-    for number, weight in subsequences(coded):
-        total += weight**2 * (number > 0).sum(1)
+    """Of each word in the space of subsequences: a subsequence that stands in it
+    more than once is one coordinate, the sum of its weights."""
+    found = list(subsequences(coded))
+    numbers = np.concatenate([n for n, _ in found], axis=1)
+    weights = np.concatenate([np.full(n.shape[1], w) for n, w in found])
+    order = np.argsort(numbers, axis=1)
+    ordered = np.take_along_axis(numbers, order, axis=1)
+    new = np.ones(ordered.shape, bool)
+    new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    starts = np.flatnonzero(new)
+    sums = np.add.reduceat(weights[order].ravel(), starts)
+    squares = np.where(ordered.ravel()[starts] > 0, sums**2, 0)
+    total = np.bincount(starts // ordered.shape[1], squares, minlength=len(coded))
     return np.sqrt(np.maximum(total, 1e-9))
 
 
@@ -361,8 +371,9 @@ def with_scores(documents: DataFrame, scorer: Scorer, name: str = "score") -> Da
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents scored below the threshold, all columns."""
-    scored = with_scores(documents, fitted(documents, labels), "__toxicity")
-    return scored.filter(F.col("__toxicity") < threshold).select(documents.columns)
+    (name,) = unused(documents, "toxicity")
+    scored = with_scores(documents, fitted(documents, labels), name)
+    return scored.filter(F.col(name) < threshold).drop(name)
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
