@@ -98,17 +98,18 @@ def subsequences(coded: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
 def length_of(coded: np.ndarray) -> np.ndarray:
     """Of each word in the space of subsequences: a subsequence that stands in it
     more than once is one coordinate, the sum of its weights."""
-    found = list(subsequences(coded))
-    numbers = np.concatenate([n for n, _ in found], axis=1)
-    weights = np.concatenate([np.full(n.shape[1], w) for n, w in found])
-    order = np.argsort(numbers, axis=1)
-    ordered = np.take_along_axis(numbers, order, axis=1)
-    new = np.ones(ordered.shape, bool)
-    new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-    starts = np.flatnonzero(new)
-    sums = np.add.reduceat(weights[order].ravel(), starts)
-    squares = np.where(ordered.ravel()[starts] > 0, sums**2, 0)
-    total = np.bincount(starts // ordered.shape[1], squares, minlength=len(coded))
+    weights, keys = [], []
+    for number, weight in subsequences(coded):
+        if weight not in weights:
+            weights.append(weight)
+        word, place = np.nonzero(number)
+        keys.append((word * CODES**ORDER + number[word, place]) * 8 + weights.index(weight))
+    key = np.sort(np.concatenate(keys))
+    if not len(key):
+        return np.full(len(coded), np.sqrt(1e-9))
+    starts = np.flatnonzero(np.diff(key >> 3, prepend=-1))
+    sums = np.add.reduceat(np.array(weights)[key & 7], starts)
+    total = np.bincount(key[starts] // (8 * CODES**ORDER), sums**2, minlength=len(coded))
     return np.sqrt(np.maximum(total, 1e-9))
 
 
