@@ -125,8 +125,6 @@ def test_kernel_of_words(spark):
 
 
 def test_no_frequent_pair_is_left(monkeypatch):
-    monkeypatch.setattr(repair, "ROUNDS", 500)
-    monkeypatch.setattr(repair, "GAIN", 0)
     monkeypatch.setattr(repair, "TABLE_BITS", 6)  # nearly all pairs share a bucket
     draw = np.random.default_rng(7)
     ids = (draw.zipf(1.3, 20000) % 300).astype(np.uint32)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -36,9 +37,6 @@ from tidemark.llm.tokens import word_ids
 
 END = 1
 SHARD_TOKENS = 1 << 20
-ROUNDS = 7
-#: Share of the ids that a round must save for another one to follow.
-GAIN = 0.03
 #: Rules of a round, and how often a pair must occur to become one.
 ROUND_RULES, LEAST = 2000, 12
 TABLE_BITS = 19
@@ -51,13 +49,13 @@ SHARD = (
 
 def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
     """Compressed sequence, end of each document in it, left and right side of
-    each rule. Rule ``i`` is the id ``base + i``."""
+    each rule. Rule ``i`` is the id ``base + i``. Rounds end when no pair is left that
+    occurs ``LEAST`` times; each takes ids away."""
     sequence = ids.astype(np.uint32)
     last = np.zeros(len(sequence), bool)
     last[np.cumsum(lengths) - 1] = True
     left, right = [], []
-    for round_number in range(ROUNDS):
-        before = len(sequence)
+    for round_number in count():
         found = _frequent(sequence, last, base + len(left), round_number)
         if found is None:
             break
@@ -70,8 +68,6 @@ def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
         keep = np.ones(len(sequence), bool)
         keep[gone] = False
         sequence, last = sequence[keep], last[keep]
-        if before - len(sequence) < GAIN * before:
-            break
     return sequence, np.flatnonzero(last) + 1, np.array(left, np.int64), np.array(right, np.int64)
 
 
