@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -12,12 +12,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions.intervals import NTZ, to_datetime
 from tidemark.operators.keyed import key_bytes
+from tidemark.operators.keyranges import Ranges, range_columns, ranges_of
 from tidemark.operators.partitioning import DEFAULT, END_OF_TIME, PART
 
 
 @dataclass(frozen=True)
 class Profile:
-    """Row count, key range, new high-water mark, partitions and key size."""
+    """Row count, range of the partition key, new high-water mark, partitions, size and
+    ranges of the merge keys."""
 
     row_cnt: int = 0
     min_key: datetime | None = None
@@ -26,9 +28,10 @@ class Profile:
     parts: frozenset[str] = frozenset()
     key_bytes: int | None = None
     unrouted: int = 0
+    key_ranges: Ranges = field(default_factory=dict)
 
     @classmethod
-    def of_metrics(cls, values: dict) -> Profile:
+    def of_metrics(cls, values: dict, keys: Sequence[str] = ()) -> Profile:
         return cls(
             row_cnt=values.get("row_cnt") or 0,
             min_key=values.get("min_key"),
@@ -37,6 +40,7 @@ class Profile:
             parts=frozenset(values.get("parts") or ()),
             key_bytes=values.get("key_bytes"),
             unrouted=values.get("unrouted") or 0,
+            key_ranges=ranges_of(values, keys),
         )
 
     def key_range(self) -> tuple[datetime | None, datetime | None]:
@@ -78,6 +82,7 @@ def profile_columns(
         out.append(F.count_if(F.col(PART) == DEFAULT).alias("unrouted"))
     if keys:
         out.append(key_bytes(df, keys).alias("key_bytes"))
+        out += range_columns(df, keys)
     return out
 
 
@@ -92,7 +97,7 @@ def profile_of(
     keys: Sequence[str] = (),
 ) -> Profile:
     row = df.agg(*profile_columns(df, partition_key, delta_field, keys)).first()
-    return Profile.of_metrics(row.asDict())
+    return Profile.of_metrics(row.asDict(), keys)
 
 
 def table_stats(df: DataFrame, columns: Sequence[str], distinct: Sequence[str] = ()) -> DataFrame:

@@ -180,12 +180,21 @@ def upsert_partitions(
     spec: LoadSpec,
     profile: Profile,
     delta_key_bytes: int | None = None,
+    candidates: frozenset[str] | None = None,
+    added: frozenset[str] = frozenset(),
 ) -> Change:
     """Upsert that rewrites only the partitions with a matching key or a delta
-    row. Finding the former reads nothing but the key columns."""
-    hit = keyed.with_matches(
-        target.select(PART, *spec.keys), delta, spec.keys, spec.null_keys_match, delta_key_bytes
-    )
-    touched = profile.parts | {row[PART] for row in hit.select(PART).distinct().collect()}
+    row. Finding the former reads nothing but the key columns, and only those of the
+    ``candidates``, where the partitions that can hold a match are known. Delta rows of
+    the partitions ``added`` to, which are none of these, are left to the caller."""
+    touched = profile.parts - added
+    if candidates is None or candidates:
+        keys = target if candidates is None else target.filter(in_labels(candidates))
+        hit = keyed.with_matches(
+            keys.select(PART, *spec.keys), delta, spec.keys, spec.null_keys_match, delta_key_bytes
+        )
+        touched |= {row[PART] for row in hit.select(PART).distinct().collect()}
     old = target.filter(in_labels(touched))
-    return Change(frozenset(touched), delta_upsert(old, delta, spec, delta_key_bytes))
+    kept = keyed.without_matches(old, delta, spec.keys, spec.null_keys_match, delta_key_bytes)
+    rows = upsert_rows(delta.filter(~in_labels(added)) if added else delta, spec)
+    return Change(frozenset(touched), kept.unionByName(rows))

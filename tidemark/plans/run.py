@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -16,6 +17,7 @@ from tidemark.functions.intervals import NTZ, as_moment
 from tidemark.functions.sqltypes import align, cast_fields
 from tidemark.operators import keyed, strategies
 from tidemark.operators.filters import delta_filter
+from tidemark.operators.keyranges import Ranges, ranges_by_partition
 from tidemark.operators.partitioning import (
     DEFAULT,
     PART,
@@ -30,11 +32,17 @@ from tidemark.operators.strategies import Change
 from tidemark.plans.loadlog import LoadLog
 from tidemark.plans.spec import PLAIN, LoadSpec
 from tidemark.plans.windows import Window, next_window
-from tidemark.sinks.table import FLAT, PARTITIONING, Table, directory_name
+from tidemark.sinks.table import AT, FLAT, PARTITIONING, Table, batch_name, directory_name
 from tidemark.sources.external import SourceSpec, read_source
 
 logger = logging.getLogger(__name__)
 
+# Batches of a partition above which an upsert that only adds rows to it writes the
+# partition anew with them.
+MOST_BATCHES = 16
+# Strategies that look for keys in all partitions, and so keep the ranges of each.
+RANGED = ("delta_upsert", "delete_insert")
+
 Model = DataFrame | str | Callable[[SparkSession], DataFrame]
 
 
@@ -261,11 +269,23 @@ class LoadRun:
         ready = self._new_content(spec, df)
         path, seen = table.write(ready, self._version(), spec.layout, None, spec.delta_field)
         seen = self._accepted(spec, spec.partitioning, seen)
-        labels = seen.parts
-        table.create(path, ready.schema, labels, spec.partitioning, spec.layout)
+        ranges = self._key_ranges(table, spec, ready, path, seen.parts)
+        table.create(path, ready.schema, seen.parts, spec.partitioning, spec.layout, ranges)
         self._analyze(table, spec, None)
         return LoadResult("init", seen.row_cnt, self._mark(spec, seen), unrouted=seen.unrouted)
 
+    def _key_ranges(
+        self, table: Table, spec: LoadSpec, df: DataFrame, path: str, labels
+    ) -> dict[str, Ranges]:
+        """The ranges of the merge keys in partitions of a version that was written,
+        for strategies that use them: a scan of its key columns."""
+        if spec.strategy not in RANGED or PART not in df.columns or not labels:
+            return {}
+        if not set(spec.keys) <= set(df.columns):
+            return {}
+        rows = table.files(path, df.schema).filter(in_labels(labels))
+        return ranges_by_partition(rows, spec.keys)
+
     def _rebuild(self, table: Table, spec: LoadSpec, df: DataFrame, is_view: bool) -> LoadResult:
         """Write the complete new table, then replace the old one by it. The
         structure comes from the model again; where it is the old one, the
@@ -275,14 +295,15 @@ class LoadRun:
         path, seen = table.write(ready, self._version(), spec.layout, None, spec.delta_field)
         seen = self._accepted(spec, spec.partitioning, seen)
         parted = spec.partitioning is not None
+        ranges = self._key_ranges(table, spec, ready, path, seen.parts)
         if not is_view and table.same_structure(ready.schema, parted):
             if PART in ready.columns:
                 partitioning = {PARTITIONING: spec.partitioning.to_json()} if parted else None
-                table.switch_partitions(path, seen.parts, table.labels(), partitioning)
+                table.switch_partitions(path, seen.parts, table.labels(), partitioning, ranges=ranges)
             else:
                 table.point_to(path)
         else:
-            table.replace(path, ready.schema, seen.parts, spec.partitioning, spec.layout, keep_backup=False)
+            table.replace(path, ready.schema, seen.parts, spec.partitioning, spec.layout, False, ranges)
         self._analyze(table, spec, None)
         return LoadResult("init", seen.row_cnt, self._mark(spec, seen), unrouted=seen.unrouted)
 
@@ -333,11 +354,7 @@ class LoadRun:
                 out, _ = table.write(rows, self._version(), spec.layout)
                 table.point_to(out)
             else:
-                change = strategies.upsert_partitions(
-                    table.read_parts(), staged, plain, seen, seen.key_bytes
-                )
-                self._commit(table, plain, change, seen)
-                touched = change.touched
+                touched = self._upsert_parted(table, plain, staged, path, seen)
         return LoadResult(spec.strategy, seen.row_cnt, touched=touched, unrouted=seen.unrouted)
 
     def _staged(self, table: Table, path: str, delta: DataFrame, seen: Profile) -> DataFrame:
@@ -452,9 +469,7 @@ class LoadRun:
             self._replace_all(table, spec, rows, current, spec.keep_backup)
             return frozenset(table.labels())
         if spec.strategy == "delta_upsert":
-            change = strategies.upsert_partitions(target, staged, spec, seen, seen.key_bytes)
-            self._commit(table, spec, change, seen)
-            return change.touched
+            return self._upsert_parted(table, spec, staged, path, seen)
 
         grown = strategies.grow(current, seen)
         target, moved = self._split(table, target, current, grown)
@@ -480,6 +495,38 @@ class LoadRun:
             table.switch_partitions(place, written, change.touched, self._grown(current, grown), staged_places)
         return change.touched | taken
 
+    def _upsert_parted(
+        self, table: Table, spec: LoadSpec, staged: DataFrame, path: str, seen: Profile
+    ) -> frozenset[str]:
+        """Upsert by the key ranges of the partitions: those that can hold no key of the
+        delta are not opened. Rows for one of these are added as they were staged, as
+        a batch, or as the partition where there is none yet; nothing is written again.
+        A partition with many batches is written anew instead."""
+        stored = table.stored_labels()
+        candidates = frozenset(table.may_hold(seen.key_ranges, spec.null_keys_match))
+        counts = Counter(s.split(AT)[0] for s in stored if AT in s)
+        added = frozenset()
+        if not spec.delete_duplicates:
+            full = {label for label in seen.parts if counts[label] >= MOST_BATCHES}
+            added = seen.parts - candidates - full
+        target = table.read_parts()
+        change = strategies.upsert_partitions(
+            target, staged, spec, seen, seen.key_bytes, candidates, added
+        )
+        place, written = path, frozenset()
+        if change.touched:
+            place, written = self._write_change(table, spec, change, seen)
+        # A name of its own: what comes later in this run is no repetition of it.
+        batch = AT + batch_name(path.rsplit("/", 1)[-1])
+        present = {s.split(AT)[0] for s in stored}
+        names = {label: label + batch if label in present else label for label in added}
+        places = {name: f"{path}/{directory_name(label)}" for label, name in names.items()}
+        ranges = self._key_ranges(table, spec, staged, place, written)
+        fresh = self._key_ranges(table, spec, staged, path, added)
+        ranges |= {names[label]: r for label, r in fresh.items()}
+        table.switch_partitions(place, written, change.touched, None, places, ranges)
+        return change.touched | added
+
     def _complete_as_staged(
         self, table: Table, spec: LoadSpec, seen: Profile, moved: frozenset[str]
     ) -> frozenset[str]:
@@ -538,13 +585,6 @@ class LoadRun:
         )
         return path, written.parts
 
-    def _commit(
-        self, table: Table, spec: LoadSpec, change: Change, seen: Profile | None
-    ) -> None:
-        """Write the changed partitions and switch to them."""
-        path, written = self._write_change(table, spec, change, seen)
-        table.switch_partitions(path, written, change.touched)
-
     def _append_partitions(
         self, table: Table, spec: LoadSpec, delta: DataFrame, current: Partitions
     ) -> LoadResult:

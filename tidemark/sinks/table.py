@@ -30,11 +30,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.keyranges import Ranges, from_text, may_match, to_text
 from tidemark.operators.partitioning import PART, Partitions, partitions_from_json
 from tidemark.operators.profile import Profile, profile_columns
 from tidemark.plans.spec import Layout
 
 PARTITIONING = "tidemark.partitioning"
+#: Stands before a stored label, in hexadecimal digits, in the property with the key
+#: ranges of its rows.
+RANGE = "tidemark.range."
 #: The one partition of a table without a partitioning whose rows come in batches.
 FLAT = "all"
 #: Stands between a partition's label and a batch; no stored label has it.
@@ -60,13 +64,16 @@ class Switch:
     places: dict[str, str] = field(default_factory=dict)
     gone: list[str] = field(default_factory=list)
     properties: dict[str, str] = field(default_factory=dict)
+    # Key ranges of partitions in their new places. Others that change lose theirs.
+    ranges: dict[str, str] = field(default_factory=dict)
     # A complete new table that takes this one's name, and what it is called till then.
     staged: str = ""
     keep_backup: bool = False
     note: dict | None = None
 
     def steps(self) -> int:
-        return len(self.places) + len(self.gone) + len(self.properties) + 3 * bool(self.staged)
+        simple = len(self.places) + len(self.gone) + len(self.properties)
+        return simple + bool(self.ranges) + 3 * bool(self.staged)
 
 
 # Properties that belong to the version of a table, not to its name.
@@ -78,6 +85,10 @@ def batch_name(batch: str) -> str:
     return re.sub(r"[^A-Za-z0-9.~-]", "~", batch)
 
 
+def range_key(label: str) -> str:
+    return RANGE + label.encode().hex()
+
+
 def directory_name(label: str) -> str:
     return f"{PART}=" + _ESCAPED.sub(lambda m: f"%{ord(m.group()):02X}", label)
 
@@ -214,7 +225,7 @@ class Table:
         if PART in df.columns:
             writer = writer.partitionBy(PART)
         writer.parquet(path)
-        return path, Profile.of_metrics(seen.get)
+        return path, Profile.of_metrics(seen.get, keys)
 
     def files(self, path: str, schema: T.StructType) -> DataFrame:
         """A version directory as a DataFrame."""
@@ -229,6 +240,7 @@ class Table:
         labels: Iterable[str] = (),
         partitioning: Partitions | None = None,
         layout: Layout = Layout(),
+        ranges: Mapping[str, Ranges] | None = None,
     ) -> None:
         database, _, _ = self.name.rpartition(".")
         if database:
@@ -241,6 +253,7 @@ class Table:
         )
         if partitioning:
             self.set_property(PARTITIONING, partitioning.to_json())
+        self._set_properties({range_key(label): to_text(r) for label, r in (ranges or {}).items()})
         if parted:
             self._add({label: f"{path}/{directory_name(label.split(AT)[0])}" for label in labels})
 
@@ -255,9 +268,44 @@ class Table:
             self.spark.sql(f"DROP VIEW {self.quoted}")
 
     def set_property(self, key: str, value: str) -> None:
-        self.spark.sql(
-            f"ALTER TABLE {self.quoted} SET TBLPROPERTIES ({_quote(key)} = {_quote(value)})"
-        )
+        self._set_properties({key: value})
+
+    def _set_properties(self, values: Mapping[str, str]) -> None:
+        ordered = sorted(values)
+        for at in range(0, len(ordered), _BATCH):
+            pairs = ", ".join(f"{_quote(k)} = {_quote(values[k])}" for k in ordered[at : at + _BATCH])
+            self.spark.sql(f"ALTER TABLE {self.quoted} SET TBLPROPERTIES ({pairs})")
+
+    def _unset_properties(self, keys: Iterable[str]) -> None:
+        ordered = sorted(keys)
+        for at in range(0, len(ordered), _BATCH):
+            names = ", ".join(map(_quote, ordered[at : at + _BATCH]))
+            self.spark.sql(f"ALTER TABLE {self.quoted} UNSET TBLPROPERTIES IF EXISTS ({names})")
+
+    # -- key ranges ----------------------------------------------------------------
+
+    def key_ranges(self) -> dict[str, Ranges]:
+        """The ranges of the merge keys of each stored partition, as far as known."""
+        known = self.properties().items()
+        return {
+            bytes.fromhex(k.removeprefix(RANGE)).decode(): from_text(v)
+            for k, v in known
+            if k.startswith(RANGE)
+        }
+
+    def may_hold(self, ranges: Ranges, null_keys_match: bool = True) -> set[str]:
+        """Labels of the partitions, batches included, that can hold a key in these
+        ranges. Those whose own ranges are not known can hold any."""
+        known = self.key_ranges()
+        return {
+            stored.split(AT)[0]
+            for stored in self.stored_labels()
+            if stored not in known or may_match(known[stored], ranges, null_keys_match)
+        }
+
+    def forget_ranges(self) -> None:
+        """To be called by who adds rows to partitions by other ways than a load."""
+        self._unset_properties(map(range_key, self.key_ranges()))
 
     def point_to(self, path: str) -> None:
         """Switch a table without a partitioning to another version."""
@@ -281,14 +329,16 @@ class Table:
         touched: Iterable[str],
         properties: Mapping[str, str] | None = None,
         others: Mapping[str, str] | None = None,
+        ranges: Mapping[str, Ranges] | None = None,
     ) -> None:
         """Point the written partitions at a version directory. Touched
         partitions that got no rows go away, and so do batches of both. ``others``
-        are partitions that move to places of their own in the same switch."""
+        are partitions or batches that come to places of their own in the same switch."""
         places = {label: f"{path}/{directory_name(label)}" for label in written} | dict(others or {})
-        changed = set(places) | set(touched)
+        changed = {label for label in places if AT not in label} | set(touched)
         gone = [s for s in self.stored_labels() if s.split(AT)[0] in changed and s not in places]
-        self.switch(Switch(places, sorted(gone), dict(properties or {})))
+        texts = {label: to_text(r) for label, r in (ranges or {}).items() if label in places}
+        self.switch(Switch(places, sorted(gone), dict(properties or {}), texts))
 
     def add_batch(
         self,
@@ -320,12 +370,13 @@ class Table:
         partitioning: Partitions | None,
         layout: Layout,
         keep_backup: bool,
+        ranges: Mapping[str, Ranges] | None = None,
     ) -> None:
         """Let a new table take the place of this one, which becomes the backup or
         goes. The new one is complete before the old one is touched."""
         staged = self.beside("stg")
         staged.drop()
-        staged.create(path, schema, labels, partitioning, layout)
+        staged.create(path, schema, labels, partitioning, layout, ranges)
         own = {k: v for k, v in self.properties().items() if not k.startswith(_NOT_COPIED)}
         for key in sorted(own):
             staged.set_property(key, own[key])
@@ -391,6 +442,13 @@ class Table:
         # has does no harm, the other way round rows would be routed past them.
         for key, value in change.properties.items():
             self.set_property(key, value)
+        if change.places or change.gone:
+            # A range that is no longer known goes first, which is always safe; new ones
+            # come with a journal, which the next load carries out before it reads them.
+            changed = {range_key(label) for label in [*change.places, *change.gone]}
+            fresh = {range_key(label): text for label, text in change.ranges.items()}
+            self._unset_properties((changed - fresh.keys()) & self.properties().keys())
+            self._set_properties(fresh)
         places = {label: place for label, place in change.places.items() if label}
         if places or change.gone:
             present = self.stored_labels()
