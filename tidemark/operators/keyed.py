@@ -77,6 +77,21 @@ def without_matches(
     return _join_on_keys(target, delta, keys, "left_anti", null_keys_match, delta_key_bytes)
 
 
+def without_matches_in_buckets(
+    target: DataFrame, delta: DataFrame, keys: Sequence[str], null_keys_match: bool = True
+) -> DataFrame:
+    """``without_matches`` for a target that lies in buckets by these keys. Plain
+    equality lets Spark use them: the target is read bucket by bucket and only the
+    delta's keys are shuffled. Rows with a NULL in a key are compared by themselves."""
+    whole = reduce(Column.__and__, [F.col(name).isNotNull() for name in keys])
+    found = delta.filter(whole).select(*keys).distinct()
+    kept = target.filter(whole).join(found, list(keys), "left_anti").select(*target.columns)
+    rest = target.filter(~whole)
+    if null_keys_match:
+        rest = without_matches(rest, delta.filter(~whole), keys)
+    return kept.unionByName(rest)
+
+
 def with_matches(
     target: DataFrame,
     delta: DataFrame,

@@ -70,8 +70,22 @@ def upsert_rows(delta: DataFrame, spec: LoadSpec) -> DataFrame:
 def delta_upsert(
     target: DataFrame, delta: DataFrame, spec: LoadSpec, delta_key_bytes: int | None = None
 ) -> DataFrame:
+    rows = upsert_rows(delta, spec)
+    if by_buckets(spec, delta_key_bytes):
+        kept = keyed.without_matches_in_buckets(target, delta, spec.keys, spec.null_keys_match)
+        return kept.unionByName(in_buckets(rows, spec))
     kept = keyed.without_matches(target, delta, spec.keys, spec.null_keys_match, delta_key_bytes)
-    return kept.unionByName(upsert_rows(delta, spec))
+    return kept.unionByName(rows)
+
+
+def by_buckets(spec: LoadSpec, delta_key_bytes: int | None) -> bool:
+    """Is the target compared bucket by bucket? Keys that are broadcast need no more."""
+    small = delta_key_bytes is not None and delta_key_bytes <= keyed.BROADCAST_KEY_BYTES
+    return spec.keys_in_buckets and not small
+
+
+def in_buckets(rows: DataFrame, spec: LoadSpec) -> DataFrame:
+    return rows.repartition(spec.layout.buckets, *spec.layout.distributed_by)
 
 
 def delta_merge(
@@ -81,6 +95,9 @@ def delta_merge(
     per key with ``delete_duplicates``."""
     if spec.delete_duplicates:
         return keyed.first_by_priority(target, delta, spec.keys, spec.delta_field, delta_key_bytes)
+    if by_buckets(spec, delta_key_bytes):
+        kept = keyed.without_matches_in_buckets(target, delta, spec.keys)
+        return kept.unionByName(in_buckets(delta, spec))
     return keyed.replace_matching(target, delta, spec.keys, True, delta_key_bytes)
 
 

@@ -177,6 +177,8 @@ class LoadRun:
         self._take_up(table)
         exists = table.exists()
         is_view = exists and table.is_view()
+        if exists and not is_view and not self.full_refresh:
+            spec = replace(spec, layout=table.following(spec.layout))
         if not exists:
             result = self._create(table, spec, df)
         elif self.full_refresh or is_view:
@@ -296,7 +298,7 @@ class LoadRun:
         seen = self._accepted(spec, spec.partitioning, seen)
         parted = spec.partitioning is not None
         ranges = self._key_ranges(table, spec, ready, path, seen.parts)
-        if not is_view and table.same_structure(ready.schema, parted):
+        if not is_view and table.same_structure(ready.schema, parted, spec.layout):
             if PART in ready.columns:
                 partitioning = {PARTITIONING: spec.partitioning.to_json()} if parted else None
                 table.switch_partitions(path, seen.parts, table.labels(), partitioning, ranges=ranges)
@@ -351,7 +353,8 @@ class LoadRun:
             plain = replace(spec, null_keys_match=False, delete_duplicates=False)
             if current is None:
                 rows = strategies.delta_upsert(table.read(), staged, plain, seen.key_bytes)
-                out, _ = table.write(rows, self._version(), spec.layout)
+                in_order = strategies.by_buckets(plain, seen.key_bytes)
+                out, _ = table.write(rows, self._version(), spec.layout, cluster=not in_order)
                 table.point_to(out)
             else:
                 touched = self._upsert_parted(table, plain, staged, path, seen)
@@ -417,7 +420,9 @@ class LoadRun:
             elif current is None:
                 combine = getattr(strategies, spec.strategy)
                 rows = combine(table.read(), staged, spec, seen.key_bytes)
-                out, _ = table.write(rows, self._version(), spec.layout)
+                one_row = spec.strategy == "delta_merge" and spec.delete_duplicates
+                in_order = strategies.by_buckets(spec, seen.key_bytes) and not one_row
+                out, _ = table.write(rows, self._version(), spec.layout, cluster=not in_order)
                 if spec.strategy == "delta_merge" and spec.keep_backup:
                     table.retain_backup()
                 table.point_to(out)

@@ -21,12 +21,22 @@ Hook = Callable[[SparkSession], object]
 
 @dataclass(frozen=True)
 class Layout:
-    """Physical layout of the written files."""
+    """Physical layout of the written files.
+
+    With ``buckets`` rows lie in that many buckets by the hash of ``distributed_by``,
+    known to the catalog: joins and merges on these columns do not shuffle the table.
+    All rows of one key are in one bucket, so this is for keys that repeat little.
+    ``distribution`` is ``"random"`` (rows dealt out evenly) or ``"replicated"`` (a
+    small table, sent to every executor by ``Table.for_join``, if it is small).
+    An existing table keeps its buckets and distribution until it is refreshed in full.
+    """
 
     distributed_by: tuple[str, ...] = ()
     order_by: tuple[str, ...] = ()
     compression: str = "zstd"
     compression_level: int | None = None
+    buckets: int = 0
+    distribution: str = ""
 
 
 @dataclass(frozen=True)
@@ -61,6 +71,11 @@ class LoadSpec:
     def keys(self) -> list[str]:
         return list(self.merge_keys or DEFAULT_KEYS)
 
+    @property
+    def keys_in_buckets(self) -> bool:
+        """Are rows with equal keys in the same bucket?"""
+        return self.layout.buckets > 0 and set(self.layout.distributed_by) == set(self.keys)
+
     def validate(self) -> LoadSpec:
         """Raise ``ValueError`` for a spec that cannot run."""
         if self.strategy not in TRACKED + PLAIN:
@@ -75,6 +90,15 @@ class LoadSpec:
             raise ValueError(f"{self.name}: unknown dedup_scope {self.dedup_scope!r}")
         if self.unrouted not in ("default", "drop", "error"):
             raise ValueError(f"{self.name}: unknown value {self.unrouted!r} for unrouted")
+        layout = self.layout
+        if layout.distribution not in ("", "random", "replicated"):
+            raise ValueError(f"{self.name}: unknown distribution {layout.distribution!r}")
+        if layout.distribution and layout.distributed_by:
+            raise ValueError(f"{self.name}: a {layout.distribution} table is not distributed by columns")
+        if layout.buckets < 0 or layout.buckets and not layout.distributed_by:
+            raise ValueError(f"{self.name}: buckets need distributed_by")
+        if layout.buckets and (self.partitioning is not None or self.strategy == "append"):
+            raise ValueError(f"{self.name}: buckets are for tables without partitions or batches")
         if self.fields is not None:
             parse_fields(self.fields)
         return self

@@ -24,7 +24,7 @@ import json
 import re
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,11 @@ PARTITIONING = "tidemark.partitioning"
 #: Stands before a stored label, in hexadecimal digits, in the property with the key
 #: ranges of its rows.
 RANGE = "tidemark.range."
+#: Buckets and distribution of a table, which its writers follow.
+LAYOUT = "tidemark.layout"
+#: Largest files, and largest rows in memory (estimated by types), of a replicated table
+#: that is sent to every executor.
+REPLICATED_BYTES, REPLICATED_MEMORY = 32 << 20, 256 << 20
 #: The one partition of a table without a partitioning whose rows come in batches.
 FLAT = "all"
 #: Stands between a partition's label and a batch; no stored label has it.
@@ -85,6 +90,17 @@ def batch_name(batch: str) -> str:
     return re.sub(r"[^A-Za-z0-9.~-]", "~", batch)
 
 
+def _default_size(kind: T.DataType) -> int:
+    """Bytes of a value by its type; texts are taken to be of some length."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return 64
+    if isinstance(kind, T.StructType):
+        return sum(_default_size(f.dataType) for f in kind.fields)
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return 512
+    return 16
+
+
 def range_key(label: str) -> str:
     return RANGE + label.encode().hex()
 
@@ -104,11 +120,15 @@ def arrange(df: DataFrame, layout: Layout, cluster: bool = True) -> DataFrame:
     a rebalance: adaptive execution sizes the tasks by bytes, so a partition
     with a third of the rows is written by many tasks and small ones share one.
     ``cluster=False`` leaves out that shuffle for rows that come off the disk
-    in partition order already.
+    in partition or bucket order already. A task that writes buckets has the rows of one.
     """
     parted = PART in df.columns
+    if layout.buckets and cluster:
+        df = df.repartition(layout.buckets, *layout.distributed_by)
+    if layout.distribution == "random" and cluster and not parted:
+        df = df.hint("rebalance")
     by = [PART] if parted else list(layout.distributed_by)
-    if by and cluster:
+    if by and cluster and not layout.buckets:
         df = df.hint("rebalance", *by)
     if layout.order_by:
         df = df.sortWithinPartitions(*([PART] if parted else []), *layout.order_by)
@@ -179,8 +199,34 @@ class Table:
         rows = self.spark.sql(f"DESCRIBE EXTENDED {self.quoted} {part}")
         return rows.filter("col_name = 'Location'").first()["data_type"]
 
-    def same_structure(self, schema: T.StructType, parted: bool) -> bool:
+    def following(self, layout: Layout) -> Layout:
+        """A layout with the buckets and the distribution that this table has."""
+        own = json.loads(self.properties().get(LAYOUT, "{}"))
+        buckets, by = own.get("buckets", 0), own.get("distributed_by")
+        return replace(
+            layout,
+            buckets=buckets,
+            distributed_by=tuple(by) if buckets else layout.distributed_by,
+            distribution=own.get("distribution", ""),
+        )
+
+    def for_join(self) -> DataFrame:
+        """The table as one side of a join. A replicated one is sent to every executor,
+        if its last load has left it small enough; beyond that, or where its size is
+        not known, Spark joins as it does with any table."""
+        df, layout = self.read(), self.following(Layout())
+        size, rows = self.statistics() or (None, None)
+        if layout.distribution != "replicated" or size is None or rows is None:
+            return df
+        # Fixed value: bytes that a field takes beside its value.
+        width = sum(_default_size(f.dataType) + 8 for f in df.schema.fields)
+        small = size <= REPLICATED_BYTES and rows * width <= REPLICATED_MEMORY
+        return F.broadcast(df) if small else df
+
+    def same_structure(self, schema: T.StructType, parted: bool, layout: Layout = Layout()) -> bool:
         mine = self.read_parts().schema
+        if self.following(layout) != layout:
+            return False
         return (self.partitioning() is not None) == parted and [
             (f.name, f.dataType) for f in mine
         ] == [(f.name, f.dataType) for f in schema]
@@ -224,7 +270,16 @@ class Table:
             )
         if PART in df.columns:
             writer = writer.partitionBy(PART)
-        writer.parquet(path)
+        if layout.buckets:
+            # Only a table can be written in buckets: one that is forgotten at once.
+            passing = self.beside("wrt")
+            passing.create_database()
+            passing.drop()
+            writer = writer.bucketBy(layout.buckets, *layout.distributed_by).format("parquet")
+            writer.option("path", path).saveAsTable(passing.name)
+            passing.drop()
+        else:
+            writer.parquet(path)
         return path, Profile.of_metrics(seen.get, keys)
 
     def files(self, path: str, schema: T.StructType) -> DataFrame:
@@ -242,21 +297,31 @@ class Table:
         layout: Layout = Layout(),
         ranges: Mapping[str, Ranges] | None = None,
     ) -> None:
-        database, _, _ = self.name.rpartition(".")
-        if database:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        self.create_database()
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parted = f"PARTITIONED BY (`{PART}`)" if PART in schema.names else ""
+        by = ", ".join(f"`{name}`" for name in layout.distributed_by)
+        buckets = f"CLUSTERED BY ({by}) INTO {layout.buckets} BUCKETS" if layout.buckets else ""
         self.spark.sql(
             f"CREATE TABLE {self.quoted} ({fields}) USING parquet "
-            f"OPTIONS (compression = {_quote(layout.compression)}) {parted} LOCATION {_quote(path)}"
+            f"OPTIONS (compression = {_quote(layout.compression)}) {parted} {buckets} "
+            f"LOCATION {_quote(path)}"
         )
+        if layout.buckets or layout.distribution:
+            own = {"buckets": layout.buckets, "distribution": layout.distribution}
+            own["distributed_by"] = list(layout.distributed_by)
+            self.set_property(LAYOUT, json.dumps(own))
         if partitioning:
             self.set_property(PARTITIONING, partitioning.to_json())
         self._set_properties({range_key(label): to_text(r) for label, r in (ranges or {}).items()})
         if parted:
             self._add({label: f"{path}/{directory_name(label.split(AT)[0])}" for label in labels})
 
+    def create_database(self) -> None:
+        database, _, _ = self.name.rpartition(".")
+        if database:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+
     def drop(self) -> None:
         """Forget the table; its files stay."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.quoted}")
@@ -320,7 +385,7 @@ class Table:
         backup's name. Only metadata is written."""
         other = self.backup()
         other.drop()
-        other.create(self.location(), self.read_parts().schema)
+        other.create(self.location(), self.read_parts().schema, layout=self.following(Layout()))
 
     def switch_partitions(
         self,
