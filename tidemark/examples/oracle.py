@@ -329,6 +329,18 @@ FROM ({anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld) q""",
 FROM (SELECT * FROM lt UNION ALL SELECT * FROM ld) q""",
     "load_run_upsert_flat": f"""
 {LEDGER} {anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld""",
+    "load_run_upsert_buckets": f"""
+{LEDGER} {anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld""",
+    "load_run_merge_buckets": f"""
+{LEDGER} SELECT *, 'now' AS version FROM ({anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld) q
+UNION ALL SELECT *, 'before' FROM lt""",
+    "load_run_new_keys": f"""
+{LEDGER} SELECT *, {label()} AS part
+FROM (SELECT * FROM lt UNION ALL
+      SELECT orderkey + 1000000000000 AS orderkey, ref, status, amount, dt FROM ld) q""",
+    "load_run_replicated": """
+SELECT n_name, count(*) AS customers, sum(c_acctbal) AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
     "load_run_merge_flat": f"""
 {LEDGER} SELECT *, 'now' AS version FROM ({anti("lt", "ld", ["orderkey"], SAME)} UNION ALL SELECT * FROM ld) q
 UNION ALL SELECT *, 'before' FROM lt""",

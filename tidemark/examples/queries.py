@@ -34,7 +34,7 @@ from tidemark.operators.partitioning import changed_partitions as changed_partit
 from tidemark.plans import loadlog, windows
 from tidemark.plans.loadlog import LoadLog
 from tidemark.plans.run import LoadRun
-from tidemark.plans.spec import LoadSpec
+from tidemark.plans.spec import Layout, LoadSpec
 from tidemark.plans.windows import Window
 from tidemark.session import configure
 from tidemark.sources.external import SourceSpec, read_source
@@ -48,6 +48,9 @@ MONTHS = ExpressionPartitions.monthly("dt")
 ODD_LABELS = ExpressionPartitions(
     "status", "CASE WHEN status IN ('A', 'O') THEN 'a/b' WHEN status IN ('F', 'N') THEN 'x:y %' ELSE '' END"
 )
+# Above every order key of the test tables.
+BEYOND = 1_000_000_000_000
+IN_BUCKETS = Layout(distributed_by=("orderkey",), buckets=8)
 LEDGER = ["orderkey", "ref", "status", "amount", "dt"]
 HISTORY = ["event_id", "ts", "k1", "k2", "value"]
 
@@ -531,6 +534,31 @@ def load_run_backup_partitioned(spark, sf_dir):
     return run.table(name).backup().read_parts().withColumnRenamed(PART, "part")
 
 
+def load_run_new_keys(spark, sf_dir):
+    """All orders, then all lines under keys beyond those of the orders: by the key ranges
+    no partition can match, so the lines are added and no order is read again."""
+    run, tag = _new_run(spark, datetime(2030, 1, 1))
+    spec = LoadSpec(f"{tag}_ledger", "delta_upsert", ["orderkey"], "dt", partitioning=RANGES, add_delta=False)
+    run.load(spec, ledger_orders(spark, sf_dir))
+    run = _next_run(run, datetime(2030, 1, 2))
+    beyond = (F.col("orderkey") + F.lit(BEYOND)).alias("orderkey")
+    run.load(spec, ledger_lines(spark, sf_dir).select(beyond, *LEDGER[1:]))
+    return run.table(spec.name).read_parts().withColumnRenamed(PART, "part")
+
+
+def load_run_replicated(spark, sf_dir):
+    """Customers and balance by nation, the nations a replicated table."""
+    run, tag = _new_run(spark, datetime(2030, 1, 1))
+    spec = LoadSpec(f"{tag}_nation", "full", layout=Layout(distribution="replicated"))
+    run.load(spec, read(spark, sf_dir, "nation"))
+    nations = run.table(spec.name).for_join()
+    customers = read(spark, sf_dir, "customer")
+    joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.groupBy("n_name").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("c_acctbal").alias("balance")
+    )
+
+
 def load_run_repeated(spark, sf_dir):
     """All lines are added twice under one invocation, as when a run is repeated, and
     stand in the table once."""
@@ -686,6 +714,10 @@ QUERIES: dict[str, Query] = {
     "load_run_upsert_flat": _run_flat("delta_upsert"),
     "load_run_merge_flat": _run_flat("delta_merge", True),
     "load_run_merge_flat_rownum": _run_flat("delta_merge", delete_duplicates=True),
+    "load_run_upsert_buckets": _run_flat("delta_upsert", layout=IN_BUCKETS),
+    "load_run_merge_buckets": _run_flat("delta_merge", True, layout=IN_BUCKETS),
+    "load_run_new_keys": load_run_new_keys,
+    "load_run_replicated": load_run_replicated,
     "load_run_full_flat": _run_flat("full", True),
     "load_run_backup_partitioned": load_run_backup_partitioned,
     "load_run_repeated": load_run_repeated,
