@@ -50,13 +50,15 @@ SHARD = (
 def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
     """Compressed sequence, end of each document in it, left and right side of
     each rule. Rule ``i`` is the id ``base + i``. Rounds end when no pair is left that
-    occurs ``LEAST`` times; each takes ids away."""
+    occurs ``LEAST`` times; each takes ids away, so a pair that is rare once stays rare,
+    and only pairs that were common or have a new id are counted again."""
     sequence = ids.astype(np.uint32)
     last = np.zeros(len(sequence), bool)
     last[np.cumsum(lengths) - 1] = True
+    open_pairs = ~last
     left, right = [], []
     for round_number in count():
-        found = _frequent(sequence, last, base + len(left), round_number)
+        found = _frequent(sequence, open_pairs, base + len(left), round_number)
         if found is None:
             break
         at, rule, lefts, rights = found
@@ -65,32 +67,36 @@ def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
         sequence[at] = rule
         gone = at + 1
         last[at] = last[gone]
+        open_pairs[at] = open_pairs[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(sequence), bool)
         keep[gone] = False
-        sequence, last = sequence[keep], last[keep]
+        sequence, last, open_pairs = sequence[keep], last[keep], open_pairs[keep]
+        open_pairs &= ~last
     return sequence, np.flatnonzero(last) + 1, np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _frequent(sequence: np.ndarray, last: np.ndarray, next_id: int, round_number: int = 0):
+def _frequent(sequence: np.ndarray, open_pairs: np.ndarray, next_id: int, round_number: int = 0):
     """Where frequent pairs stand (none overlapping), the rule of each, and both
-    sides of the new rules; the most frequent pairs first.
+    sides of the new rules; the most frequent pairs first. Pairs that turn out to be
+    rare are no longer open.
 
     Pairs are counted in buckets, and one pair speaks for each. Buckets differ from
     round to round, so a pair that had to wait is not kept waiting by the same one
     again; where no bucket gives a rule, pairs are counted one by one."""
-    if len(sequence) < 2:
+    at = np.flatnonzero(open_pairs)
+    if not len(at):
         return None
-    one, other = sequence[:-1], sequence[1:]
+    one, other = sequence[at], sequence[at + 1]
     turn = np.uint32((int(MIX[0]) + 2 * round_number * 0x27D4EB2F) & 0xFFFFFFFF)
     bucket = ((one * turn) ^ (other * MIX[1])) * MIX[2]
     bucket >>= np.uint32(32 - TABLE_BITS)
-    place = bucket.astype(np.intp)
-    often = np.bincount(place, minlength=1 << TABLE_BITS) >= LEAST
-    some = np.flatnonzero(often[place] & ~last[:-1])
-    if not len(some):
+    bucket = bucket.astype(np.intp)
+    often = (np.bincount(bucket, minlength=1 << TABLE_BITS) >= LEAST)[bucket]
+    open_pairs[at[~often]] = False
+    if not often.any():
         return None
-    key = (one[some].astype(np.int64) << 32) | other[some]
-    bucket = place[some]
+    some, bucket = at[often], bucket[often]
+    key = (one[often].astype(np.int64) << 32) | other[often]
     speaker = np.zeros(1 << TABLE_BITS, np.int64)
     speaker[bucket] = key
     same = key == speaker[bucket]
