@@ -10,8 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from functools import lru_cache
-
-import numpy as np
+from struct import pack
 
 #: Fixed value: white space as the tokenizers' patterns see it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -43,7 +42,7 @@ def lettered(text: str) -> str:
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return pack(f"<{len(ids)}I", *ids)
 
 
 class Memory(dict):
