@@ -239,6 +239,20 @@ def test_sketch_estimates_containment_and_merges():
     assert len(np.setxor1d(union, both)) <= 3
 
 
+def test_short_texts_keep_their_likeness():
+    draw = random.Random(5)
+    alike, empty = [], 0
+    for _ in range(400):
+        text, following = words(draw, 28, 10**6)[:28], words(draw, 28, 10**6)[:28]
+        changed = sketches.edited(text, following)
+        own, other = sketches.sketch(text), sketches.sketch(changed)
+        assert np.array_equal(sketches.read(sketches.written(own)), own)
+        alike.append(sketches.likeness(text, changed, own, other))
+        empty += not len(own)
+    exact = 14 / 28  # shingles that end before the last quarter, of those of both texts
+    assert abs(np.mean(alike) - exact) < 0.07 and empty < 60
+
+
 # 7
 
 
