@@ -9,15 +9,19 @@ each, so pairs are only looked for among fingerprints that agree in all but as m
 blocks of bits as the radius: of 64 bits in 5 blocks, a pair within 2 bits agrees
 in 3. That is exact, and such keys are shared by few fingerprints.
 
-``near_duplicates`` is meant for texts that share most, not all, of their words; it
-uses no fingerprints. Texts are linked if their five-word shingles have a Jaccard
-similarity of ``SIMILARITY`` or more. Candidates come from a prefix filter, which is
-exact: of a text's shingles in one order for all, rarest first, those up to the first
-that a similar text must have are its keys, and pairs under a key are kept if their
-sizes and the places of the key allow the similarity.
-Under a key each text is first compared with one leader, the one with the fewest
-shingles of its own; then pairs under a key that this has left in different groups
-are compared, all of them, so no link between groups is lost.
+``near_duplicates`` is meant for texts that share most, not all, of their words. Texts
+are linked if their five-word shingles have a Jaccard similarity of ``SIMILARITY`` or
+more. It takes the same steps: keys, pivot distances, bits, and then the shingles
+themselves. Keys come from a prefix filter, which is exact: of a text's shingles in one
+order for all, rarest first, those up to the first that a similar text must have; sizes
+and the places of the key must allow the similarity. Fingerprints have ``WIDE`` times
+64 bits, made from the distinct shingles. Random references discard nothing at the
+radius that such texts need, so pivots are texts: under a key the one with the fewest
+shingles of its own. Each text is first compared with its pivots, whose distances make
+the pivot table. Pairs under a key that this has left in different groups are compared
+next, all but those that pivot distances, then bits, exclude. The radius is not a
+parameter: it follows from the similarity (``wide_radius``), so that a link is lost with
+odds of ``LOST`` at most.
 
 Defined results: a NULL text is an empty text; texts without words have the
 fingerprint 0; repeated rows share their group; a group's id is its smallest
@@ -27,8 +31,9 @@ identifier, NULL only if it has no other; an empty input gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import lru_cache, partial, reduce
 from itertools import combinations
+from math import acos, comb, pi, sqrt
 
 import numpy as np
 import pandas as pd
@@ -58,13 +63,19 @@ def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
     return np.fromiter(map(partial(xxh64_intdigest, seed=SEED), shingles), np.uint64, len(shingles))
 
 
+def majorities(hashes: np.ndarray) -> np.ndarray:
+    """For each column of hashes, the bits set in over half of them."""
+    rows, columns = hashes.shape
+    counts, step = np.zeros(64 * columns, np.int64), (1 << 14) // columns
+    for i in range(0, rows, step):
+        some = np.ascontiguousarray(hashes[i : i + step], "<u8").view(np.uint8)
+        counts += np.unpackbits(some, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * counts > rows, bitorder="little").view("<u8")
+
+
 def majority(hashes: np.ndarray) -> int:
     """Bits set in over half of the hashes, as an unsigned number."""
-    counts = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 1 << 14):
-        some = hashes[i : i + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(some, axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+    return int(majorities(hashes[:, None])[0])
 
 
 def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -155,6 +166,9 @@ SIMILARITY, SIMILAR_SHINGLE = 0.8, 5
 FURTHER = 16
 #: Bytes of text that are hashed at once.
 TEXT_BYTES = 1 << 20
+#: Numbers of 64 bits of a wide fingerprint, and the odds that a pair of similar texts
+#: has one outside the radius, at most.
+WIDE, LOST = 8, 1e-12
 NODE = "doc_id long, text_hash long"
 Put = Callable[[DataFrame, str], DataFrame]
 
@@ -180,6 +194,30 @@ def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
             some, held = [], 0
 
 
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of ``WIDE`` numbers. Each is made from other bits: the hashes are mixed
+    anew for it (the finalizer of SplitMix64)."""
+    mixed = hashes[:, None] + np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return majorities(mixed ^ (mixed >> np.uint64(31)))
+
+
+@lru_cache
+def wide_radius(similarity: float) -> int:
+    """Differing bits of wide fingerprints that similar texts have at most, but for
+    odds of ``LOST``. Bits are independent, so their number is binomial. In large sets a
+    bit differs as often as the angle between the sets says; in small ones, where half of
+    the bits is a tie more often, up to sqrt(pi / 2) times as often."""
+    angle = acos(min(1.0, 2 * similarity / (1 + similarity))) / pi
+    odds, bits, beyond = min(0.5, angle * sqrt(pi / 2)), 64 * WIDE, 0.0
+    for radius in range(bits, 0, -1):
+        beyond += comb(bits, radius) * odds**radius * (1 - odds) ** (bits - radius)
+        if beyond > LOST:
+            return radius
+    return 0
+
+
 def needed(size, similarity: float):
     """Shingles that a text of ``size`` shares with any similar one, at least."""
     return np.ceil(size * similarity - 1e-9)
@@ -194,21 +232,22 @@ def _key() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_hash")]
 
 
-def _hashed(documents: DataFrame, take) -> DataFrame:
-    """node, size (number of shingles), keys (what ``take`` leaves of them)."""
+def _hashed(documents: DataFrame, **take: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """node, size (number of shingles), and what each ``take`` makes of the shingles."""
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes, keys = [], []
+            sizes, taken = [], {name: [] for name in take}
             for own in shingle_sets(batch["text"].tolist()):
                 sizes.append(len(own))
-                keys.append(take(own).view(np.int64).copy())
+                for name, of in take.items():
+                    taken[name].append(of(own).view(np.int64).copy())
             out = pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"]})
-            yield out.assign(size=sizes, keys=keys)
+            yield out.assign(size=sizes, **taken)
         hand_back()
 
-    found = documents.mapInPandas(hashes, f"{NODE}, size int, keys array<long>").filter("size > 0")
-    return found.select(F.struct("doc_id", "text_hash").alias("node"), "size", "keys")
+    found = documents.mapInPandas(hashes, f"{NODE}, size int, " + ", ".join(f"{name} array<long>" for name in take))
+    return found.filter("size > 0").select(F.struct("doc_id", "text_hash").alias("node"), "size", *take)
 
 
 def possible(documents: DataFrame, put: Put, similarity: float = SIMILARITY) -> DataFrame:
@@ -220,7 +259,7 @@ def possible(documents: DataFrame, put: Put, similarity: float = SIMILARITY) ->
         return own[: len(own) - int(needed(len(own), similarity)) + 1 + len(own) // FURTHER]
 
     rows = documents.select(*_key(), text_of().alias("text")).filter(F.length(F.trim("text")) > 0)
-    rows = put(_hashed(rows, smallest), "near-prefixes")
+    rows = put(_hashed(rows, keys=smallest), "near-prefixes")
     spread = rows.select("node", "size", F.explode("keys").alias("key"))
     twice = put(spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "near-keys")
     shared = spread.join(small(twice, 16), "key").groupBy("node", "size").agg(F.count("*").alias("n"))
@@ -229,10 +268,11 @@ def possible(documents: DataFrame, put: Put, similarity: float = SIMILARITY) ->
 
 
 def shingles_of(documents: DataFrame, nodes: DataFrame, put: Put) -> DataFrame:
-    """node, size and keys (all of them) of the given nodes."""
+    """node, size, keys (all of them) and fp, the wide fingerprint, of the given nodes."""
     rows = documents.select(F.struct(*_key()).alias("node"), text_of().alias("text"))
     asked = rows.join(small(nodes, 64), "node", "left_semi").select("node.doc_id", "node.text_hash", "text")
-    return put(_hashed(asked, lambda own: own).dropDuplicates(["node"]), "near-sets")
+    sets = _hashed(asked, keys=lambda own: own, fp=wide_fingerprint)
+    return put(sets.dropDuplicates(["node"]), "near-sets")
 
 
 def prefixes(sets: DataFrame, put: Put, similarity: float = SIMILARITY) -> DataFrame:
@@ -274,27 +314,56 @@ def _sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(df.select(*[F.col(c).alias(f"{s}_{c}") for c in df.columns]) for s, df in (("l", left), ("r", right)))
 
 
-def led_pairs(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """a, b: each node under a key, and the one there with the fewest shingles of
-    its own."""
-    leaders = rows.groupBy("key").agg(F.min(F.struct("alone", "node", "size")).alias("leader"))
-    led = rows.join(leaders.select("key", F.col("leader.node").alias("r_node"), F.col("leader.size").alias("r_size")), "key")
-    sizes = F.least("size", "r_size") >= _needed(F.greatest("size", "r_size"), similarity)
-    return _pairs(led.withColumnRenamed("node", "l_node").filter((F.col("l_node") != F.col("r_node")) & sizes))
+def with_distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs and the number of bits in which their fingerprints differ."""
+    for side in ("a", "b"):
+        marks = sets.select(F.col("node").alias(side), F.col("fp").alias(f"{side}_fp"))
+        pairs = pairs.join(small(marks, 8 * WIDE + 64), side)
+    differing = [F.bit_count(F.col("a_fp")[i].bitwiseXOR(F.col("b_fp")[i])) for i in range(WIDE)]
+    return pairs.withColumn("distance", reduce(Column.__add__, differing)).drop("a_fp", "b_fp")
 
 
-def pairs_across(rows: DataFrame, roots: DataFrame, put: Put, similarity: float = SIMILARITY) -> DataFrame:
+def data_pivots(rows: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
+    """a, b, a_size, b_size, distance: each node under a key and the pivot there, the
+    node with the fewest shingles of its own."""
+    pivots = rows.groupBy("key").agg(F.min(F.struct("alone", "node", "size")).alias("pivot"))
+    pivots = pivots.select("key", F.col("pivot.node").alias("b"), F.col("pivot.size").alias("b_size"))
+    of = rows.withColumnsRenamed({"node": "a", "size": "a_size"}).join(pivots, "key")
+    of = put(of.select("a", "b", "a_size", "b_size").distinct(), "near-pivot-pairs")
+    return put(with_distances(of, sets), "near-pivots")
+
+
+def led_pairs(pivots: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: each node and a pivot of it, if sizes and bits allow the similarity."""
+    sizes = F.least("a_size", "b_size") >= _needed(F.greatest("a_size", "b_size"), similarity)
+    led = pivots.filter((F.col("a") != F.col("b")) & sizes & (F.col("distance") <= wide_radius(similarity)))
+    return led.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
+
+
+def pairs_across(
+    rows: DataFrame, roots: DataFrame, pivots: DataFrame, put: Put, similarity: float = SIMILARITY
+) -> DataFrame:
     """Pairs of nodes that can be similar and have different roots: a, b. Under
-    each key those outside its largest group are compared with all others."""
+    each key those outside its largest group are paired with all others whose distance
+    from the pivot differs by no more than the radius."""
     rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = put(rows.drop("alone"), "near-rooted")
-    parts = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("parts"))
-    largest = largest.filter("parts > 1").select("key", F.col("most.root").alias("most"))
-    odd = rows.join(largest, "key").filter("root != most").drop("most")
-    one, other = _sides(odd, rows)
+    rows = put(rows, "near-rooted")
+    parts = rows.groupBy("key", "root").agg(F.count("*").alias("n"), F.min(F.struct("alone", "node")).alias("first"))
+    keys = parts.groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.min("first").alias("first"), F.count("*").alias("parts")
+    )
+    keys = keys.filter("parts > 1").select("key", F.col("most.root").alias("most"), F.col("first.node").alias("pivot"))
+    table = pivots.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "distance")
+    mixed = put(rows.drop("alone").join(keys, "key").join(table, ["node", "pivot"]).drop("pivot"), "near-mixed")
+    one, other = _sides(mixed.filter("root != most").drop("most"), mixed.drop("most"))
     apart = (F.col("l_root") != F.col("r_root")) & may_be_similar("l_", "r_", similarity)
-    return _pairs(one.join(other, (F.col("l_key") == F.col("r_key")) & apart))
+    allowed = F.abs(F.col("l_distance") - F.col("r_distance")) <= wide_radius(similarity)
+    return _pairs(one.join(other, (F.col("l_key") == F.col("r_key")) & apart & allowed))
+
+
+def close(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs whose fingerprints allow the similarity: a, b."""
+    return with_distances(pairs, sets).filter(F.col("distance") <= wide_radius(similarity)).select("a", "b")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -312,9 +381,11 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     with workspace(documents.sparkSession, "near-duplicates") as put:
         sets = shingles_of(documents, possible(documents, put, similarity), put)
         rows = prefixes(sets, put, similarity)
-        led = put(similar(put(led_pairs(rows, similarity), "led"), sets, similarity), "links")
+        pivots = data_pivots(rows, sets, put)
+        led = put(similar(put(led_pairs(pivots, similarity), "led"), sets, similarity), "links")
         roots = put(components(led, put), "roots")
-        across = put(pairs_across(rows, roots, put, similarity), "across")
+        across = put(pairs_across(rows, roots, pivots, put, similarity), "across")
+        across = put(close(across, sets, similarity), "close")
         found = components(led.union(similar(across, sets, similarity)), put)
         return stored(
             found.select(
