@@ -75,3 +75,23 @@ def test_documents(spark, library):
         decoded = library.decode(ids, skip_special_tokens=False)
         assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
     assert bpe.token_digests(docs.limit(0), PATH).count() == 0
+
+
+def test_runs_of_punctuation_take_no_library_call(monkeypatch):
+    from tidemark.llm import tokens
+    from tidemark.llm.queries import WORD_BPE
+
+    own = tokens.WordIds(WORD_BPE)
+    library = own.tokenizer
+    words = ["ab&&&", "Ab$$$", "ÉÖ***", "x!?", "a.,%%%", "日本!!", "ab###", "q" * 30 + "&" * 200]
+    odd = ["&&&", "a'&", "ab&c&", "<|endoftext|>!!", "a<|endoftext|>&", "é!!", "ΑΣ!!", "it's!!", "1!!", "a!́", "İ&&"]
+    want = {w: library.encode(w, add_special_tokens=False).ids for w in words + odd}
+    assert {w: list(memoryview(own.encode(w)).cast("I")) for w in words + odd} == want
+
+    class Refused:
+        def encode(self, *_, **__):
+            raise AssertionError("called")
+
+    fresh = tokens.WordIds(WORD_BPE)
+    fresh.tokenizer = Refused()
+    assert {w: list(memoryview(fresh.encode(w)).cast("I")) for w in words} == {w: want[w] for w in words}

@@ -66,10 +66,10 @@ def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
 def majorities(hashes: np.ndarray) -> np.ndarray:
     """For each column of hashes, the bits set in over half of them."""
     rows, columns = hashes.shape
-    counts, step = np.zeros(64 * columns, np.int64), (1 << 14) // columns
-    for i in range(0, rows, step):
-        some = np.ascontiguousarray(hashes[i : i + step], "<u8").view(np.uint8)
-        counts += np.unpackbits(some, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    counts = np.zeros(64 * columns, np.int64)
+    for i in range(0, rows, 255):  # so many ones fit a byte
+        some = np.ascontiguousarray(hashes[i : i + 255], "<u8").view(np.uint8)
+        counts += np.unpackbits(some, axis=1, bitorder="little").sum(0, dtype=np.uint8)
     return np.packbits(2 * counts > rows, bitorder="little").view("<u8")
 
 

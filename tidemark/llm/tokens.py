@@ -16,8 +16,9 @@ from struct import pack
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: characters that str.split() takes for white space and the patterns do not.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
-PUNCTUATION = frozenset(".,;:!?")
-#: Entries of a worker's memory, and characters of a key, at most.
+#: Characters that end many words; a run of them is one piece, and no special token ends in one.
+PUNCTUATION = ".,;:!?#$%&*"
+#: Entries of a worker's memory (of words: twice as many), and characters of a key, at most.
 REMEMBERED, LONGEST = 400_000, 100
 
 
@@ -74,12 +75,12 @@ class WordIds:
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size()
         self.pieces = Memory(lambda piece: packed([t.id for t in self.model.tokenize(lettered(piece))]))
-        self.words = Memory(self.word)
+        self.words = Memory(self.word, 2 * REMEMBERED)
         self.split = re.compile(f"[^{SPACE}]+").findall
 
     def word(self, word: str) -> bytes:
-        letters, end = (word[:-1], word[-1]) if word[-1] in PUNCTUATION else (word, "")
-        low = letters.lower()
+        letters = word.rstrip(PUNCTUATION)
+        end, low = word[len(letters) :], letters.lower()
         if low.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters):
             return self.pieces[low] + (self.pieces[end] if end else b"")
         return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
