@@ -95,3 +95,17 @@ def test_runs_of_punctuation_take_no_library_call(monkeypatch):
     fresh = tokens.WordIds(WORD_BPE)
     fresh.tokenizer = Refused()
     assert {w: list(memoryview(fresh.encode(w)).cast("I")) for w in words} == {w: want[w] for w in words}
+
+
+def test_workers_give_up_what_other_operators_keep():
+    import gc
+    import weakref
+
+    from tidemark.llm import common, tokens
+    from tidemark.llm.queries import WORD_BPE
+
+    held = [weakref.ref(tokens.word_ids(WORD_BPE)), weakref.ref(bpe.byte_bpe(PATH))]
+    gc.collect()
+    assert all(x() is not None for x in held) and tokens.word_ids(WORD_BPE) is held[0]()
+    common.hand_back()
+    assert all(x() is None for x in held)

@@ -21,14 +21,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import kept, text_of
 from tidemark.llm.tokens import LETTERS, SPACE, Memory, lettered
 
 LEAF = 16_384
@@ -188,7 +187,7 @@ class Part:
         self.pieces, self.ids = pieces, ids
 
 
-@lru_cache(maxsize=2)
+@kept
 def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,14 +87,28 @@ def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+#: How to give up what this worker keeps for later tasks.
+GIVE_UP: list[Callable[[], None]] = []
+
+
+def kept(make: Callable) -> Callable:
+    """What ``make`` gives is kept by the worker until a task hands memory back."""
+    found = lru_cache(maxsize=2)(make)
+    GIVE_UP.append(found.cache_clear)
+    return found
+
+
 def hand_back() -> None:
-    """Returns memory that a finished task has freed to the system. Workers live
-    on for other tasks, and what they keep counts against the executor."""
+    """Returns memory that a finished task has freed to the system, and what other
+    operators have kept. Workers live on for other tasks, and what they hold counts
+    against the executor."""
     import ctypes
     import gc
 
     import pyarrow
 
+    for give_up in GIVE_UP:
+        give_up()
     gc.collect()
     pyarrow.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it

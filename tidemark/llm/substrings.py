@@ -158,6 +158,7 @@ def census(rows: DataFrame) -> np.ndarray:
                 own += np.bincount(code, minlength=len(own))
         level, code = np.nonzero(total)
         yield pd.DataFrame({"level": level, "code": code, "n": total[level, code]})
+        hand_back()
 
     counts = rows.mapInPandas(count, "level int, code int, n long").groupBy("level", "code").agg(F.sum("n").alias("n"))
     total = np.zeros((len(PREFIXES), 1 << CODE_BITS), np.int64)
@@ -298,18 +299,21 @@ def repeats(group: pd.DataFrame) -> pd.DataFrame:
     rank = np.empty(count, np.int64)
     rank[order] = np.cumsum(change) - 1
     when = (rank[document] << 32) | place
+    del ids, known, hashes, document, place, rank, change
     order = np.lexsort((when, path))
     path, when = path[order], when[order]
     start = np.flatnonzero(np.diff(path, prepend=path[:1] ^ U(1)) != 0)
     earliest = np.repeat(when[start], np.diff(np.append(start, len(path))))
     later = np.zeros(len(path), bool)
     later[order] = when != earliest
+    del path, when, order, earliest, start
     found, a = [], 0
     for row, own, n in zip(group.itertuples(), again, sizes, strict=True):
         at = ascended(row.places)[later[a : a + n]]
         a += n
         if len(at) or len(own):
             found.append((row.block, b"", b"", b"", b"", ascending(np.sort(np.concatenate([at, own])))))
+    hand_back()
     return pd.DataFrame(found, columns=[x.split()[0] for x in BLOCKS.split(", ")])
 
 

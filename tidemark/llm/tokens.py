@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 from struct import pack
 
+from tidemark.llm.common import kept
+
 #: Fixed value: white space as the tokenizers' patterns see it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: characters that str.split() takes for white space and the patterns do not.
@@ -90,7 +91,7 @@ class WordIds:
         return b"".join(map(self.words.__getitem__, words))
 
 
-@lru_cache(maxsize=2)
+@kept
 def word_ids(path: str) -> WordIds:
     """One for each worker process."""
     return WordIds(path)
