@@ -97,6 +97,51 @@ def test_runs_of_punctuation_take_no_library_call(monkeypatch):
     assert {w: list(memoryview(fresh.encode(w)).cast("I")) for w in words} == {w: want[w] for w in words}
 
 
+MIXED = [
+    "", " ", "Plain Words, plain words!? plain", "  two\n\nlines\t\x0b\x0c end. ", "a\x1cb a\x1fb", "x\x85y\xa0z q r　s​t",
+    "ΑΣ ΑΣ. Straße, ÉÖ É É! T̈ T̈. İx İ, K ǅ", "日本語。 日本!!", "<|endoftext|> a<|endoftext|>&", "<|ENDOFTEXT|> <|EndOfText|>.", "IT'S it's!! 1,234.5% (a) a-b &&& !",
+    "q" * 300 + "&" * 300 + " Q" + "q" * 299, " ".join(f"w{i} W{i % 7}, word{'abc'[i % 3]}" for i in range(500)),
+]
+
+
+@pytest.mark.parametrize("together", [1, 40, 1 << 20])
+def test_words_of_many_texts_together(together, monkeypatch):
+    from tidemark.llm import tokens
+    from tidemark.llm.queries import WORD_BPE
+
+    monkeypatch.setattr(tokens, "TOGETHER", together)
+    own = tokens.WordIds(WORD_BPE)
+    texts = MIXED + random_texts(200) + MIXED[::-1]
+    want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in own.each(texts)] == want
+    assert [x.tolist() for x in own.each(texts, 1)] == [[*x, 1] for x in want]
+    assert list(own.each([])) == [] and [own.encode(t) for t in texts[:12]] == [x.tobytes() for x in own.each(texts[:12])]
+
+
+def test_a_stem_is_encoded_once_for_all_its_spellings():
+    from tidemark.llm import tokens
+    from tidemark.llm.queries import WORD_BPE
+
+    own = tokens.WordIds(WORD_BPE)
+    calls = []
+    own.stems.find = lambda stem, find=own.stem: calls.append(stem) or find(stem)
+    list(own.each(["Word word. WORD, word!? other", "wOrd, Other", "größe. GRÖSSE Größe!"]))
+    assert sorted(calls) == ["grösse", "größe", "other", "word"]
+
+
+def test_memory_stays_bounded_and_keeps_what_is_used():
+    from tidemark.llm.tokens import Memory
+
+    calls = []
+    memory = Memory(lambda key: calls.append(key) or key.upper(), 10)
+    for k in range(100):
+        assert memory["used"] == "USED" and memory[f"x{k}"] == f"X{k}"
+        assert len(memory) + len(memory.older) <= 10
+    assert calls.count("used") == 1 and len(calls) == 101
+    none = Memory(lambda key: calls.append(key), 10)
+    assert none["none"] is None and none["none"] is None and calls.count("none") == 1
+
+
 def test_workers_give_up_what_other_operators_keep():
     import gc
     import weakref
@@ -109,3 +154,17 @@ def test_workers_give_up_what_other_operators_keep():
     assert all(x() is not None for x in held) and tokens.word_ids(WORD_BPE) is held[0]()
     common.hand_back()
     assert all(x() is None for x in held)
+
+
+def test_whole_shards_read_as_single_documents():
+    import numpy as np
+
+    from tidemark.llm import repair
+
+    draw = np.random.default_rng(5)
+    words = [draw.integers(0, 40, draw.integers(1, 9)) for _ in range(30)]
+    own = [np.concatenate([words[k] for k in draw.integers(0, 30, draw.integers(1, 200))]).astype("<u4") for _ in range(60)]
+    shard = repair.Shard(type("Row", (), repair._shard(0, 0, 0, list(range(60)), [x.tobytes() for x in own], 40)))
+    assert len(shard.left) > 10
+    assert shard.read_all().tolist() == np.concatenate(own).tolist()
+    assert [shard.read(d).tolist() for d in range(60)] == [x.tolist() for x in own]

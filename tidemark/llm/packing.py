@@ -107,15 +107,14 @@ def cut_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -
     """A row for each piece; ``row`` tells documents apart."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = word_ids(tokenizer), np.array([END], "<u4").tobytes()
+        encoder = word_ids(tokenizer)
         for batch in batches:
             out = []
-            for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"], strict=True):
-                ids = encoder.encode(text) + end
+            for row, doc_id, ids in zip(batch["row"], batch["doc_id"], encoder.each(batch["text"].tolist(), END), strict=True):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
-                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[start : start + 4 * capacity]
-                    out.append((row, doc_id, piece, start // 4, len(own) // 4, zlib.crc32(own)))
+                for piece, start in enumerate(range(0, len(ids), capacity)):
+                    own = ids[start : start + capacity]
+                    out.append((row, doc_id, piece, start, len(own), zlib.crc32(own)))
             yield _frame(out)
 
     rows = documents.select(
@@ -156,11 +155,11 @@ def packed_sequences(documents: DataFrame, placed: DataFrame, tokenizer: str, ca
     were packed. A sequence holds ``capacity`` ids at most."""
 
     def with_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = word_ids(tokenizer), np.array([END], "<u4").tobytes()
+        encoder = word_ids(tokenizer)
         for batch in batches:
             out = []
-            for row, text in zip(batch["row"], batch["text"], strict=True):
-                ids = np.frombuffer(encoder.encode(text) + end, "<u4").astype(np.int32)
+            for row, ids in zip(batch["row"], encoder.each(batch["text"].tolist(), END), strict=True):
+                ids = ids.astype(np.int32)
                 out += [(row, k, ids[s : s + capacity]) for k, s in enumerate(range(0, len(ids), capacity))]
             yield pd.DataFrame(out, columns=["row", "piece", "ids"])
 

@@ -154,17 +154,25 @@ class Shard:
         self.spans = np.concatenate([np.ones(self.base, np.int64), self.rule_spans])
         self.places = np.cumsum(self.spans) - self.spans
         self.flat = np.arange(self.spans.sum())  # the ids themselves come first
-        flat, places, lengths = self.flat, self.places, self.spans
-        for i, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist(), strict=True), self.base):
-            p, n = places[i], lengths[a]
-            flat[p : p + n] = flat[places[a] : places[a] + n]
-            flat[p + n : p + lengths[i]] = flat[places[b] : places[b] + lengths[b]]
+        # Rules are expanded together as far as they use only expanded ones.
+        newest, start = np.maximum(self.left, self.right), 0
+        while start < len(newest):
+            unknown = newest[start:] >= self.base + start
+            stop = start + int(unknown.argmax()) if unknown.any() else len(newest)
+            at = self.places[self.base + start]
+            own = self.expand(np.column_stack([self.left, self.right])[start:stop].ravel())
+            self.flat[at : at + len(own)] = own
+            start = stop
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         n = self.spans[symbols]
         shift = self.places[symbols] - (np.cumsum(n) - n)
         return self.flat[np.repeat(shift, n) + np.arange(n.sum())]
 
+    def read_all(self) -> np.ndarray:
+        """Ids of all documents, one after the other."""
+        return self.expand(self.sequence)
+
     def symbols(self, document: int) -> np.ndarray:
         return self.sequence[self.ends[document - 1] if document else 0 : self.ends[document]]
 
@@ -206,15 +214,14 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, shard_tokens:
     """Encodes the documents and writes the shards below ``path``."""
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = word_ids(tokenizer), np.array([END], "<u4").tobytes()
+        encoder = word_ids(tokenizer)
         part, number, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, ids, held = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                own = encoder.encode(text) + end
+            for doc_id, own in zip(batch["doc_id"], encoder.each(batch["text"].tolist(), END), strict=True):
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
-                ids.append(own)
-                held += len(own) // 4
+                ids.append(own.tobytes())
+                held += len(own)
                 if held >= shard_tokens:
                     yield pd.DataFrame([_shard(part, number, first, doc_ids, ids, encoder.size)])
                     number, first, doc_ids, ids, held = number + 1, first + held, [], [], 0
@@ -243,7 +250,9 @@ def read_tokens(shards: DataFrame) -> DataFrame:
             for row in batch.itertuples():
                 shard = Shard(row)
                 starts = row.part_first + row.first + np.cumsum(shard.lengths) - shard.lengths
-                crc = [zlib.crc32(shard.read(d).astype("<u4").tobytes()) for d in range(len(shard.doc_ids))]
+                ends = (4 * np.cumsum(shard.lengths)).tolist()
+                ids = memoryview(shard.read_all().astype("<u4").tobytes())
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
                 doc_ids = pd.array(shard.doc_ids, dtype="Int64")
                 doc_ids[~shard.known] = pd.NA
                 yield pd.DataFrame(

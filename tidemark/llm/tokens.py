@@ -1,26 +1,33 @@
 """Token ids of whole texts by the public tokenizer files.
 
 Texts are cut at white space, which no token of either vocabulary crosses, and
-each distinct piece is encoded once per worker by the tokenizers library. The
-memory is emptied when it is full, so it stays bounded and loses nothing.
+each distinct piece is encoded by the tokenizers library, by each worker and as long as
+the worker remembers it: its memory is bounded, and what it forgets is encoded again.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from struct import pack
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from tidemark.llm.common import kept
 
 #: Fixed value: white space as the tokenizers' patterns see it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Fixed value: characters that str.split() takes for white space and the patterns do not.
-NOT_SPACE = re.compile("[\x1c-\x1f]")
+#: White space beyond ASCII.
+WIDE_SPACE = re.compile(f"[{SPACE[4:]}]")
 #: Characters that end many words; a run of them is one piece, and no special token ends in one.
 PUNCTUATION = ".,;:!?#$%&*"
-#: Entries of a worker's memory (of words: twice as many), and characters of a key, at most.
-REMEMBERED, LONGEST = 400_000, 100
+#: Entries of a worker's memory, and characters of a key, at most.
+REMEMBERED, LONGEST = 600_000, 100
+#: Characters of text whose words are looked up together; a longer text is alone.
+TOGETHER = 4 << 20
 
 
 def byte_letters() -> list[str]:
@@ -48,21 +55,36 @@ def packed(ids: list[int]) -> bytes:
 
 
 class Memory(dict):
-    """Remembers what ``find`` gives for a key; emptied when full."""
+    """Remembers what ``find`` gives for a key. Holds ``size`` keys at most: when it is
+    half full, what it holds becomes the older half, of which used keys come back."""
 
     def __init__(self, find, size: int = REMEMBERED):
         super().__init__()
-        self.find, self.size = find, size
+        self.find, self.half, self.older = find, size // 2, {}
 
     def __missing__(self, key):
-        found = self.find(key)
+        found = self.older.get(key, self)
+        if found is self:
+            found = self.find(key)
         if len(key) <= LONGEST:
-            if len(self) >= self.size:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[key] = found
         return found
 
 
+def gathered(ids: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pieces with ``n`` ids each, one after the other, those that ``at`` names."""
+    first, n = (np.cumsum(n) - n)[at], n[at]
+    first -= np.cumsum(n) - n
+    return ids[np.repeat(first, n) + np.arange(n.sum())], n
+
+
+def strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordIds:
     """Ids of a text by a vocabulary with word ends (lower case, white space
     dropped), as little-endian unsigned 32-bit integers."""
@@ -75,20 +97,85 @@ class WordIds:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size()
-        self.pieces = Memory(lambda piece: packed([t.id for t in self.model.tokenize(lettered(piece))]))
-        self.words = Memory(self.word, 2 * REMEMBERED)
-        self.split = re.compile(f"[^{SPACE}]+").findall
-
-    def word(self, word: str) -> bytes:
-        letters = word.rstrip(PUNCTUATION)
-        end, low = word[len(letters) :], letters.lower()
-        if low.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", letters):
-            return self.pieces[low] + (self.pieces[end] if end else b"")
-        return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.stems = Memory(self.stem)
+        self.ends = Memory(self.piece)
+        self.words = Memory(lambda word: packed(self.tokenizer.encode(word, add_special_tokens=False).ids))
+
+    def piece(self, piece: str) -> bytes:
+        return packed([t.id for t in self.model.tokenize(lettered(piece))])
+
+    def stem(self, letters: str) -> bytes | None:
+        """Ids of what stands before a word's punctuation, if that is one piece."""
+        low = letters.lower()
+        if low.isalpha() and (letters.isascii() or "Σ" not in letters and unicodedata.is_normalized("NFC", letters)):
+            return self.piece(low)
+        return None
+
+    def plain(self, text: str) -> str:
+        """The text with ASCII white space only, and in lower case where that changes
+        no ids: not before normal form C, and not where it makes a special token."""
+        if text.isascii():
+            low = text.lower()
+        else:
+            text = WIDE_SPACE.sub(" ", text)
+            low = text.lower()
+            if "Σ" in text or not all(unicodedata.is_normalized("NFC", x) for x in (text, low)):
+                return text
+        return text if any(token in low for token in self.special) else low
 
     def encode(self, text: str) -> bytes:
-        words = self.split(text) if NOT_SPACE.search(text) else text.split()
-        return b"".join(map(self.words.__getitem__, words))
+        return next(self.each([text])).tobytes()
+
+    def each(self, texts: list[str], end: int | None = None) -> Iterator[np.ndarray]:
+        """Ids of each text, ``end`` behind them."""
+        for ids, n in self.encode_all(texts, end):
+            stops = np.cumsum(n).tolist()
+            yield from (ids[a:b] for a, b in zip([0, *stops], stops, strict=False))
+
+    def encode_all(self, texts: list[str], end: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the texts one after the other, ``end`` behind each, and the number of
+        ids of each text; some texts at a time. A word is looked up once in these."""
+        sizes = np.cumsum([len(text) for text in texts]) // TOGETHER
+        cuts = [*np.flatnonzero(np.diff(sizes, prepend=-1)).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield self._together(texts[a:b], end)
+
+    def _together(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.ascii_split_whitespace(pa.array(map(self.plain, texts), pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        word, stops = coded.indices.to_numpy(), split.offsets.to_numpy()[1:]
+        if end is not None:
+            word, stops = np.insert(word, stops, len(coded.dictionary)), stops + np.arange(1, len(stops) + 1)
+        ids, n = self._words(coded.dictionary, packed([] if end is None else [end]))
+        ids, n = gathered(ids, n, word)
+        return ids, np.diff(np.append(0, np.cumsum(n))[stops], prepend=0)
+
+    def _words(self, words: pa.Array, last: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word, and ``last``: of its stem and of the punctuation behind, or
+        of the whole."""
+        bare = pc.utf8_rtrim(words, PUNCTUATION)
+        stems = bare.dictionary_encode()
+        own = list(map(self.stems.__getitem__, strings(stems.dictionary)))
+        one = stems.indices.to_numpy().astype(np.intp)
+        # Every word is two of the pieces in ``own``, of which one may be empty.
+        other = np.full(len(one), len(own))
+        own.append(b"")
+        longer = pc.binary_length(words).to_numpy() - pc.binary_length(bare).to_numpy()
+        for n in np.unique(longer[longer > 0]).tolist():
+            at = np.flatnonzero(longer == n)
+            ends = pc.utf8_slice_codeunits(words.take(pa.array(at)), -n).dictionary_encode()
+            other[at] = len(own) + ends.indices.to_numpy()
+            own.extend(map(self.ends.__getitem__, strings(ends.dictionary)))
+        none = np.array([k for k, ids in enumerate(own) if ids is None], np.intp)
+        at = np.flatnonzero(np.isin(one, none)) if len(none) else none
+        one[at], other[at] = len(own) + np.arange(len(at)), len(stems.dictionary)
+        own.extend(map(self.words.__getitem__, strings(words.take(pa.array(at)))))
+        own = [*(ids or b"" for ids in own), last]
+        n = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        pair = np.append(np.column_stack([one, other]).ravel(), [len(own) - 1, len(stems.dictionary)])
+        ids, n = gathered(np.frombuffer(b"".join(own), "<u4"), n, pair)
+        return ids, n[::2] + n[1::2]
 
 
 @kept
