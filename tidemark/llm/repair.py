@@ -53,9 +53,9 @@ def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
     occurs ``LEAST`` times; each takes ids away, so a pair that is rare once stays rare,
     and only pairs that were common or have a new id are counted again."""
     sequence = ids.astype(np.uint32)
-    last = np.zeros(len(sequence), bool)
-    last[np.cumsum(lengths) - 1] = True
-    open_pairs = ~last
+    last = np.cumsum(lengths) - 1  # of each document
+    open_pairs = np.ones(len(sequence), bool)
+    open_pairs[last] = False
     left, right = [], []
     for round_number in count():
         found = _frequent(sequence, open_pairs, base + len(left), round_number)
@@ -66,13 +66,14 @@ def grammar(ids: np.ndarray, lengths: np.ndarray, base: int):
         right.extend(rights)
         sequence[at] = rule
         gone = at + 1
-        last[at] = last[gone]
+        last -= np.searchsorted(gone, last, side="right")
         open_pairs[at] = open_pairs[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(sequence), bool)
         keep[gone] = False
-        sequence, last, open_pairs = sequence[keep], last[keep], open_pairs[keep]
-        open_pairs &= ~last
-    return sequence, np.flatnonzero(last) + 1, np.array(left, np.int64), np.array(right, np.int64)
+        keep = np.flatnonzero(keep)
+        sequence, open_pairs = sequence[keep], open_pairs[keep]
+        open_pairs[last] = False
+    return sequence, last + 1, np.array(left, np.int64), np.array(right, np.int64)
 
 
 def _frequent(sequence: np.ndarray, open_pairs: np.ndarray, next_id: int, round_number: int = 0):
@@ -92,14 +93,15 @@ def _frequent(sequence: np.ndarray, open_pairs: np.ndarray, next_id: int, round_
     bucket >>= np.uint32(32 - TABLE_BITS)
     bucket = bucket.astype(np.intp)
     often = (np.bincount(bucket, minlength=1 << TABLE_BITS) >= LEAST)[bucket]
-    open_pairs[at[~often]] = False
-    if not often.any():
+    open_pairs[at] = often
+    often = np.flatnonzero(often)
+    if not len(often):
         return None
     some, bucket = at[often], bucket[often]
     key = (one[often].astype(np.int64) << 32) | other[often]
     speaker = np.zeros(1 << TABLE_BITS, np.int64)
     speaker[bucket] = key
-    same = key == speaker[bucket]
+    same = np.flatnonzero(key == speaker[bucket])
     found = _rules(some[same], bucket[same], speaker, next_id)
     if found is None:
         pairs, number = np.unique(key, return_inverse=True)
@@ -110,23 +112,32 @@ def _frequent(sequence: np.ndarray, open_pairs: np.ndarray, next_id: int, round_
 def _rules(some: np.ndarray, number: np.ndarray, pairs: np.ndarray, next_id: int):
     """Rules for the numbered pairs at the given places that are frequent there."""
     # Of equal pairs that overlap (a run of one id), every second one from the left counts.
-    starts = np.flatnonzero((np.diff(some, prepend=-2) > 1) | (np.diff(number, prepend=-1) != 0))
-    run = np.repeat(starts, np.diff(np.append(starts, len(some))))
-    even = (np.arange(len(some)) - run) % 2 == 0
-    counts = np.bincount(number[even], minlength=len(pairs))
+    even = _every_second((some[1:] - some[:-1] == 1) & (number[1:] == number[:-1]))
+    some, number = some[even], number[even]
+    counts = np.bincount(number, minlength=len(pairs))
     chosen = np.flatnonzero(counts >= LEAST)
     if not len(chosen):
         return None
     chosen = chosen[np.argsort(-counts[chosen], kind="stable")[:ROUND_RULES]]
     rule = np.full(len(pairs), -1, np.int64)
     rule[chosen] = next_id + np.arange(len(chosen))
-    taken = even & (rule[number] >= 0)
-    some, number = some[taken], number[taken]
+    rule = rule[number]
+    taken = np.flatnonzero(rule >= 0)
+    some, rule = some[taken], rule[taken]
     # Of different pairs that overlap, every second one from the left is replaced.
-    starts = np.flatnonzero(np.diff(some, prepend=-2) > 1)
-    run = np.repeat(starts, np.diff(np.append(starts, len(some))))
-    free = (np.arange(len(some)) - run) % 2 == 0
-    return some[free], rule[number[free]], pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF
+    free = _every_second(some[1:] - some[:-1] == 1)
+    return some[free], rule[free], pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF
+
+
+def _every_second(follows: np.ndarray) -> np.ndarray:
+    """The places that count if of each run every second one does, from its first on;
+    ``follows`` says of each place but the first if it goes on with a run."""
+    out = np.ones(len(follows) + 1, bool)
+    at = np.flatnonzero(follows) + 1
+    starts = np.flatnonzero(np.diff(at, prepend=-1) > 1)
+    run = np.repeat(at[starts], np.diff(np.append(starts, len(at))))
+    out[at] = (at - run) % 2 == 1
+    return np.flatnonzero(out)
 
 
 def spans(left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:

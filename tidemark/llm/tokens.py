@@ -7,6 +7,7 @@ the worker remembers it: its memory is bounded, and what it forgets is encoded a
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -66,12 +67,34 @@ class Memory(dict):
         found = self.older.get(key, self)
         if found is self:
             found = self.find(key)
+        self.keep(key, found)
+        return found
+
+    def keep(self, key, found) -> None:
         if len(key) <= LONGEST:
             if len(self) >= self.half:
                 self.older = dict(self)
                 self.clear()
             self[key] = found
-        return found
+
+    def all(self, keys: list, finish) -> list:
+        """For each of different keys what ``finish`` makes, for all new keys at once,
+        of what ``find`` gives for them; never None."""
+        own = list(map(self.get, keys))
+        absent = [k for k, found in enumerate(own) if found is None]
+        asked = [keys[k] for k in absent]
+        known = list(map(self.older.get, asked))
+        new = [key for key, found in zip(asked, known, strict=True) if found is None]
+        made = iter(finish(list(map(self.find, new))))
+        known = [next(made) if found is None else found for found in known]
+        for k, found in zip(absent, known, strict=True):
+            own[k] = found
+        if len(self) + len(asked) <= self.half and max(map(len, asked), default=0) <= LONGEST:
+            self.update(zip(asked, known, strict=True))
+        else:
+            for key, found in zip(asked, known, strict=True):
+                self.keep(key, found)
+        return own
 
 
 def gathered(ids: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,6 +108,13 @@ def strings(array: pa.Array) -> list[str]:
     return array.to_numpy(zero_copy_only=False).tolist()
 
 
+def together(texts: list[str]) -> Iterator[list[str]]:
+    """The texts, some at a time."""
+    sizes = np.cumsum([len(text) for text in texts]) // TOGETHER
+    cuts = [*np.flatnonzero(np.diff(sizes, prepend=-1)).tolist(), len(texts)]
+    yield from (texts[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+
+
 class WordIds:
     """Ids of a text by a vocabulary with word ends (lower case, white space
     dropped), as little-endian unsigned 32-bit integers."""
@@ -92,11 +122,15 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run in parallel
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.pieces_only = Tokenizer(self.model)  # neither changes nor cuts what it is given
         self.size = self.tokenizer.get_vocab_size()
+        suffix = self.model.end_of_word_suffix
+        self.final = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(self.size)])
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.stems = Memory(self.stem)
         self.ends = Memory(self.piece)
@@ -105,12 +139,28 @@ class WordIds:
     def piece(self, piece: str) -> bytes:
         return packed([t.id for t in self.model.tokenize(lettered(piece))])
 
-    def stem(self, letters: str) -> bytes | None:
-        """Ids of what stands before a word's punctuation, if that is one piece."""
+    def stem(self, letters: str) -> str:
+        """What stands before a word's punctuation as the vocabulary writes it, if that
+        is one piece."""
         low = letters.lower()
-        if low.isalpha() and (letters.isascii() or "Σ" not in letters and unicodedata.is_normalized("NFC", letters)):
-            return self.piece(low)
-        return None
+        if not low.isalpha():
+            return ""
+        if letters.isascii():
+            return low
+        return lettered(low) if "Σ" not in letters and unicodedata.is_normalized("NFC", letters) else ""
+
+    def pieces(self, written: list[str]) -> list[bytes]:
+        """Ids of each piece of letters, given as the vocabulary writes them. No token
+        but the last of such a piece ends a word."""
+        some = list(filter(None, written))
+        coded = self.pieces_only.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(coded[0].ids, "<u4")
+        ends = ((np.flatnonzero(self.final[ids]) + 1) * 4).tolist()
+        if len(ends) != len(some):
+            return [packed([t.id for t in self.model.tokenize(piece)]) for piece in written]
+        raw = ids.tobytes()
+        own = iter([raw[a:b] for a, b in zip([0, *ends], ends, strict=False)])
+        return [next(own) if piece else b"" for piece in written]
 
     def plain(self, text: str) -> str:
         """The text with ASCII white space only, and in lower case where that changes
@@ -136,10 +186,8 @@ class WordIds:
     def encode_all(self, texts: list[str], end: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of the texts one after the other, ``end`` behind each, and the number of
         ids of each text; some texts at a time. A word is looked up once in these."""
-        sizes = np.cumsum([len(text) for text in texts]) // TOGETHER
-        cuts = [*np.flatnonzero(np.diff(sizes, prepend=-1)).tolist(), len(texts)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield self._together(texts[a:b], end)
+        for some in together(texts):
+            yield self._together(some, end)
 
     def _together(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(pa.array(map(self.plain, texts), pa.large_string()))
@@ -156,23 +204,23 @@ class WordIds:
         of the whole."""
         bare = pc.utf8_rtrim(words, PUNCTUATION)
         stems = bare.dictionary_encode()
-        own = list(map(self.stems.__getitem__, strings(stems.dictionary)))
+        own = self.stems.all(strings(stems.dictionary), self.pieces)
+        n = np.fromiter(map(len, own), np.int64, len(own)) // 4
         one = stems.indices.to_numpy().astype(np.intp)
         # Every word is two of the pieces in ``own``, of which one may be empty.
         other = np.full(len(one), len(own))
         own.append(b"")
         longer = pc.binary_length(words).to_numpy() - pc.binary_length(bare).to_numpy()
-        for n in np.unique(longer[longer > 0]).tolist():
-            at = np.flatnonzero(longer == n)
-            ends = pc.utf8_slice_codeunits(words.take(pa.array(at)), -n).dictionary_encode()
+        for size in np.unique(longer[longer > 0]).tolist():
+            at = np.flatnonzero(longer == size)
+            ends = pc.utf8_slice_codeunits(words.take(pa.array(at)), -size).dictionary_encode()
             other[at] = len(own) + ends.indices.to_numpy()
             own.extend(map(self.ends.__getitem__, strings(ends.dictionary)))
-        none = np.array([k for k, ids in enumerate(own) if ids is None], np.intp)
-        at = np.flatnonzero(np.isin(one, none)) if len(none) else none
+        at = np.flatnonzero(n[one] == 0)
         one[at], other[at] = len(own) + np.arange(len(at)), len(stems.dictionary)
         own.extend(map(self.words.__getitem__, strings(words.take(pa.array(at)))))
-        own = [*(ids or b"" for ids in own), last]
-        n = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        own.append(last)
+        n = np.append(n, np.fromiter(map(len, own[len(n) :]), np.int64) // 4)
         pair = np.append(np.column_stack([one, other]).ravel(), [len(own) - 1, len(stems.dictionary)])
         ids, n = gathered(np.frombuffer(b"".join(own), "<u4"), n, pair)
         return ids, n[::2] + n[1::2]
