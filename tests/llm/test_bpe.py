@@ -168,3 +168,44 @@ def test_whole_shards_read_as_single_documents():
     assert len(shard.left) > 10
     assert shard.read_all().tolist() == np.concatenate(own).tolist()
     assert [shard.read(d).tolist() for d in range(60)] == [x.tolist() for x in own]
+
+
+WIDE = ["a　\nb  c", "x   y  z", " \n<|endoftext|> 　q", "é è é \n b c d", "日本 日本\n\n 日本　 日"]
+
+
+@pytest.mark.parametrize("together", [1, 50, 1 << 20])
+def test_chunks_of_many_texts_together(together, library, own, monkeypatch):
+    import numpy as np
+
+    from tidemark.llm import tokens
+
+    monkeypatch.setattr(tokens, "TOGETHER", together)
+    texts = ["", *ODD, *WIDE, *MIXED, "", *random_texts(300), "last", ""]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [(x & ~bpe.LAST).tolist() for x in own.each(texts)] == want
+    digests = [d for ids, n in own.encode_all(texts) for d in own.digests(ids, n)]
+    for (n, ids, text), w in zip(digests, want, strict=True):
+        assert n == len(w) and ids == hashlib.sha256(",".join(map(str, w)).encode()).hexdigest()
+        assert text == hashlib.sha256(library.decode(w, skip_special_tokens=False).encode()).hexdigest()
+    broken = np.array([own.bytes_of.index("é".encode()[:1]), own.bytes_of.index(b"x")], "<u4")
+    said = hashlib.sha256(library.decode(broken.tolist(), skip_special_tokens=False).encode()).hexdigest()
+    assert own.digests(broken, np.array([2]))[0][2] == said and list(own.each([])) == []
+
+
+def test_a_chunk_of_many_texts_is_looked_up_once():
+    own = bpe.ByteBpe(PATH)
+    looked = []
+    own.known = type("Seen", (dict,), {"__getitem__": lambda self, key: looked.append(key) or own.chunk(key)})()
+    assert [len(x) for x in own.each(["one two one two", "one two", " two"])] == [4, 2, 1]
+    assert sorted(looked) == [" one", " two", "one"]
+
+
+def test_joining_decodes_only_what_stands_at_the_cut(library, monkeypatch):
+    own = bpe.ByteBpe(PATH)
+    text = "many words, and more of them. " * 400
+    parts = [bpe.Part(*bpe.ids_and_counts(ids)) for ids in own.each(bpe.halved(text, 2000))]
+    decoded = []
+    monkeypatch.setattr(own, "decoded", lambda ids, old=own.decoded: decoded.append(ids) or old(ids))
+    ids = b"".join(own.tree(parts).ids)
+    assert bpe.unpacked(ids) == library.encode(text, add_special_tokens=False).ids
+    assert len(parts) == 8 and len(decoded) < 100

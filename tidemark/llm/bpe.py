@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept, text_of
-from tidemark.llm.tokens import LETTERS, SPACE, Memory, lettered
+from tidemark.llm.tokens import LETTERS, SPACE, WIDE_SPACE, Memory, gathered, lettered, strings, together
 
 LEAF = 16_384
 #: Longest string given to the library's merges in one go.
@@ -38,6 +39,10 @@ PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 PUNCTUATION = frozenset(".,;:!?")
 #: What a worker remembers at most.
 CHUNKS, PIECES = 300_000, 300_000
+#: Marks the last id of a pre-token; no id is as large.
+LAST = np.uint32(1 << 31)
+#: What is cut of a segment: all, between single spaces only, or nothing.
+PLAIN, WIDE, WHOLE = range(3)
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 LEAVES = "row long, doc_id long, segment int, leaf int, special boolean, text binary"
 
@@ -50,6 +55,33 @@ def unpacked(ids: bytes) -> list[int]:
     return np.frombuffer(ids, "<u4").tolist()
 
 
+def marked(ids: bytes) -> bytes:
+    """Packed ids of a pre-token, the last one marked."""
+    return ids[:-1] + b"\x80"
+
+
+def chunk_starts(text: np.ndarray, sizes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where chunks start in the UTF-8 bytes of segments that stand one after the other:
+    where white space starts; before the last of several blanks that a word follows; and
+    behind a blank that is no space. A pre-token starts at each of these places, and
+    none depends on what stands on the other side."""
+    ends = np.cumsum(sizes)
+    some = sizes > 0
+    space = text == 32
+    blank = space | (text - np.uint8(9) < 5)
+    before = np.append(False, blank[:-1])
+    behind = np.append(blank[1:], True)
+    behind[ends[some] - 1] = True
+    cut = np.where(blank, ~before | ~behind, before & ~np.append(False, space[:-1]))
+    if kinds.any():
+        kind = np.repeat(kinds, sizes)
+        wide = text >= 128  # white space beyond ASCII may be next to these
+        single = space & ~before & ~behind & ~np.append(False, wide[:-1]) & ~np.append(wide[1:], False)
+        cut &= (kind == PLAIN) | single & (kind == WIDE)
+    cut[(ends - sizes)[some]] = True
+    return np.flatnonzero(cut)
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary file, one for each worker."""
 
@@ -66,9 +98,9 @@ class ByteBpe:
         self.bytes_of = [
             special[i].encode() if i in special else bytes(byte_of[c] for c in tokenizer.id_to_token(i)) for i in range(size)
         ]
-        self.decimal = list(map(str, range(size)))
+        self.texts = pa.array(self.bytes_of, pa.large_binary())
+        self.decimals = pa.array([b"%d," % i for i in range(size)], pa.large_binary())
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.chunks = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
         space = f"[{SPACE}]", f"[^{SPACE}]"
         pattern = PRETOKEN.replace(r"[^\s", "[^" + SPACE).replace(r"\s", space[0]).replace(r"\S", space[1])
         self.pretokens = regex.compile(pattern).findall
@@ -115,38 +147,77 @@ class ByteBpe:
     # Texts.
 
     def chunk(self, chunk: str) -> bytes:
-        """Ids of what stands between two cuts at white space."""
+        """Ids of a chunk, the last of each pre-token marked."""
+        if chunk in self.special:
+            return marked(packed([self.special[chunk]]))
         word, end = (chunk[:-1], chunk[-1]) if chunk[-1] in PUNCTUATION else (chunk, "")
         bare = word[1:] if word[:1] == " " else word
         if bare.isalpha():
-            return self.pieces[word] + self.pieces[end] if end else self.pieces[word]
-        return b"".join(map(self.pieces.__getitem__, self.pretokens(chunk)))
+            return marked(self.pieces[word]) + marked(self.pieces[end]) if end else marked(self.pieces[word])
+        return b"".join([marked(self.pieces[piece]) for piece in self.pretokens(chunk)])
 
     def segments(self, text: str) -> list[str]:
         """The text cut before and after special tokens; every second is one."""
         return self.cut_special.split(text)
 
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the texts one after the other, the last of each pre-token marked, and
+        the number of ids of each text; some texts at a time. A chunk is looked up once
+        in these."""
+        for some in together(texts):
+            split = list(map(self.segments, some))
+            ids, n = self._together([segment for own in split for segment in own], [k % 2 for own in split for k in range(len(own))])
+            segments = np.cumsum([len(own) for own in split])
+            yield ids, np.diff(np.append(0, np.cumsum(n))[segments], prepend=0)
+
+    def _together(self, segments: list[str], special: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        kinds = [WHOLE if s else PLAIN if t.isascii() or not WIDE_SPACE.search(t) else WIDE for t, s in zip(segments, special, strict=True)]
+        raw = [segment.encode() for segment in segments]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        text = b"".join(raw)
+        starts = chunk_starts(np.frombuffer(text, np.uint8), sizes, np.array(kinds, np.int8))
+        offsets = np.append(starts, len(text))
+        coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(text)).dictionary_encode()
+        own = list(map(self.known.__getitem__, strings(coded.dictionary)))
+        n = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        ids, n = gathered(np.frombuffer(b"".join(own), "<u4"), n, coded.indices.to_numpy())
+        ends = np.append(0, np.cumsum(n))[np.searchsorted(starts, np.cumsum(sizes))]
+        return ids, np.diff(ends, prepend=0)
+
+    def each(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text, the last of each pre-token marked."""
+        for ids, n in self.encode_all(texts):
+            stops = np.cumsum(n).tolist()
+            yield from (ids[a:b] for a, b in zip([0, *stops], stops, strict=False))
+
     def encoded(self, text: str) -> bytes:
-        """Ids, chunk by chunk."""
-        out: list[bytes] = []
-        for k, segment in enumerate(self.segments(text)):
-            if k % 2:
-                out.append(packed([self.special[segment]]))
-            else:
-                out.extend(map(self.known.__getitem__, self.chunks(segment)))
-        return b"".join(out)
+        return (next(self.each([text])) & ~LAST).tobytes()
 
     def decoded(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
-    def decimals(self, ids: list[int]) -> str:
-        return ",".join(map(self.decimal.__getitem__, ids))
+    def digests(self, ids: np.ndarray, n: np.ndarray) -> list[tuple[int, str, str]]:
+        """Of texts whose ids stand one after the other: the number of ids, digest of
+        the ids and of the decoded text."""
+        bounds = np.append(0, np.cumsum(n))
+        ids = pa.array(ids & ~LAST)
+        decimal, text = self.decimals.take(ids), self.texts.take(ids)
+        a, b = (np.frombuffer(x.buffers()[1], np.int64, len(ids) + 1)[bounds].tolist() for x in (decimal, text))
+        decimal, text = (memoryview(x.buffers()[2] or b"") for x in (decimal, text))
+        return [
+            (
+                count,
+                # Without the last comma; an empty text has none.
+                hashlib.sha256(decimal[a[k] : max(a[k], a[k + 1] - 1)]).hexdigest(),
+                hashlib.sha256(str(text[b[k] : b[k + 1]], "utf-8", "replace").encode()).hexdigest(),
+            )
+            for k, count in enumerate(n.tolist())
+        ]
 
     # Leaves of a tree.
 
     def leaf(self, text: str) -> Part:
-        pieces = self.pretokens(text)
-        return Part(pieces, [self.pieces[p] for p in pieces])
+        return Part(*ids_and_counts(next(self.each([text]))))
 
     def tree(self, parts: list[Part]) -> Part:
         """Neighbours are joined, then neighbours of these, up to the whole."""
@@ -156,35 +227,49 @@ class ByteBpe:
         return parts[0]
 
     def join(self, left: Part, right: Part) -> Part:
-        if not left.pieces or not right.pieces:
-            return left if left.pieces else right
-        a, b = min(2, len(left.pieces)), min(2, len(right.pieces))
+        if not left.ids or not right.ids:
+            return left if left.ids else right
+        a, b = min(2, len(left.ids)), min(2, len(right.ids))
         while True:
-            old = left.pieces[-a:] + right.pieces[:b]
+            old = [self.decoded(unpacked(ids)) for ids in left.ids[-a:] + right.ids[:b]]
             window = self.pretokens("".join(old))
-            left_stands = a == len(left.pieces) or window[0] == old[0]
-            right_stands = b == len(right.pieces) or window[-1] == old[-1]
+            left_stands = a == len(left.ids) or window[0] == old[0]
+            right_stands = b == len(right.ids) or window[-1] == old[-1]
             if left_stands and right_stands:
                 break
             if not left_stands:
-                a = min(2 * a, len(left.pieces))
+                a = min(2 * a, len(left.ids))
             if not right_stands:
-                b = min(2 * b, len(right.pieces))
-        across = left.pieces[-1] + right.pieces[0]
+                b = min(2 * b, len(right.ids))
+        across = old[a - 1] + old[a]
         ids = []
         for piece in window:
             if piece == across and len(piece) > UNIT:
                 ids.append(packed(self.join_ids(unpacked(left.ids[-1]), unpacked(right.ids[0]))))
             else:
                 ids.append(self.pieces[piece])
-        return Part(left.pieces[:-a] + window + right.pieces[b:], left.ids[:-a] + ids + right.ids[b:])
+        return Part.of(left.ids[:-a] + ids + right.ids[b:])
 
 
 class Part:
-    """Pre-tokens of a stretch of text and the ids of each."""
+    """Packed ids of each pre-token of a stretch of text. Its pre-tokens are what
+    these decode to."""
+
+    def __init__(self, ids: bytes, counts: bytes):
+        ends = (4 * np.cumsum(np.frombuffer(counts, "<u4"), dtype=np.int64)).tolist()
+        self.ids = [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def __init__(self, pieces: list[str], ids: list[bytes]):
-        self.pieces, self.ids = pieces, ids
+    @classmethod
+    def of(cls, ids: list[bytes]) -> Part:
+        part = cls(b"", b"")
+        part.ids = ids
+        return part
+
+
+def ids_and_counts(ids: np.ndarray) -> tuple[bytes, bytes]:
+    """Packed ids, and the number of ids of each pre-token, from marked ids."""
+    counts = np.diff(np.flatnonzero(ids >= LAST), prepend=-1)
+    return (ids & ~LAST).tobytes(), counts.astype("<u4").tobytes()
 
 
 @kept
@@ -199,19 +284,11 @@ def halved(text: str, leaf: int = LEAF) -> list[str]:
     return halved(text[:middle], leaf) + halved(text[middle:], leaf)
 
 
-def _digest(bpe: ByteBpe, doc_id, packed_ids: bytes) -> tuple:
-    ids = unpacked(packed_ids)
-    return (
-        None if pd.isna(doc_id) else int(doc_id),
-        len(ids),
-        hashlib.sha256(bpe.decimals(ids).encode()).hexdigest(),
-        hashlib.sha256(bpe.decoded(ids).encode()).hexdigest(),
-    )
-
-
-def _results(rows: list[tuple]) -> pd.DataFrame:
+def _results(doc_ids: pd.Series, digests: list[tuple[int, str, str]]) -> pd.DataFrame:
     names = [x.split()[0] for x in RESULT.split(", ")]
-    return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+    results = pd.DataFrame(digests, columns=names[1:])
+    results.insert(0, names[0], pd.array([None if pd.isna(x) else int(x) for x in doc_ids], "Int64"))
+    return results
 
 
 def token_digests(documents: DataFrame, tokenizer: str, leaf: int = LEAF) -> DataFrame:
@@ -224,8 +301,8 @@ def token_digests(documents: DataFrame, tokenizer: str, leaf: int = LEAF) -> Dat
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer)
         for batch in batches:
-            rows = zip(batch["doc_id"], batch["text"], strict=True)
-            yield _results([_digest(bpe, doc_id, bpe.encoded(text)) for doc_id, text in rows])
+            digests = [own for ids, n in bpe.encode_all(batch["text"].tolist()) for own in bpe.digests(ids, n)]
+            yield _results(batch["doc_id"], digests)
 
     short = rows.filter(F.length("text") <= leaf).mapInPandas(whole, RESULT)
     return short.unionByName(long_digests(rows.filter(F.length("text") > leaf), tokenizer, leaf))
@@ -250,14 +327,8 @@ def encoded_leaves(rows: DataFrame, tokenizer: str, leaf: int) -> DataFrame:
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer)
         for batch in batches:
-            ids, counts = [], []
-            for special, text in zip(batch["special"], batch["text"], strict=True):
-                if special:
-                    own = [packed([bpe.special[text.decode()]])]
-                else:
-                    own = bpe.leaf(text.decode()).ids
-                ids.append(b"".join(own))
-                counts.append(np.array([len(x) // 4 for x in own], "<u4").tobytes())
+            texts = [text.decode() for text in batch["text"]]
+            ids, counts = zip(*map(ids_and_counts, bpe.each(texts)), strict=True) if texts else ((), ())
             yield batch.drop(columns="text").assign(ids=ids, counts=counts)
 
     # Leaves of one text go to different tasks.
@@ -277,12 +348,9 @@ def long_digests(rows: DataFrame, tokenizer: str, leaf: int = LEAF) -> DataFrame
             if segment["special"].iloc[0]:
                 ids.append(segment["ids"].iloc[0])
                 continue
-            parts = []
-            for own, counts in zip(segment["ids"], segment["counts"], strict=True):
-                ends = (4 * np.cumsum(np.frombuffer(counts, "<u4"))).tolist()
-                pieces = [own[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-                parts.append(Part([bpe.decoded(unpacked(p)) for p in pieces], pieces))
+            parts = [Part(*own) for own in zip(segment["ids"], segment["counts"], strict=True)]
             ids.extend(bpe.tree(parts).ids)
-        return _results([_digest(bpe, leaves["doc_id"].iloc[0], b"".join(ids))])
+        whole = np.frombuffer(b"".join(ids), "<u4")
+        return _results(leaves["doc_id"].iloc[:1], bpe.digests(whole, np.array([len(whole)])))
 
     return encoded_leaves(rows, tokenizer, leaf).groupBy("row").applyInPandas(joined, RESULT)
